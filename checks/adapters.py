@@ -5,6 +5,7 @@ Every frame carries ``pipeline_ts`` and ``kafka_offset``, the version of a chang
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wardlake.operators.merge import live_rows
 from wardlake.plans import bronze, gold, silver
+from wardlake.schemas import SOURCE_TABLES
 from wardlake.session import use_utc
 
 AS_OF = "2001-08-01"
@@ -100,6 +102,26 @@ NOTES = [
 ]
 
 
+class Lazy(Mapping):
+    """Named frames, each built when first asked for."""
+
+    def __init__(self, names: Iterable[str], build: Callable[[str], DataFrame]):
+        self._names, self._build, self._made = list(names), build, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._made:
+            self._made[name] = self._build(name)
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class Tables:
     """All adapters and layers of one data folder, built lazily."""
 
@@ -148,30 +170,30 @@ class Tables:
 
     # Layers ------------------------------------------------------------------------
     @cached_property
-    def bronze(self) -> dict[str, DataFrame]:
-        arrived = F.col("pipeline_ts")
-        return {
-            "patients": bronze.bronze_patients(self.patients_cdc, arrived),
-            "adt_events": bronze.bronze_adt(self.adt_raw, arrived),
-            "lab_results": bronze.bronze_labs(self.labs_raw, arrived),
-            "vitals": bronze.bronze_vitals(self.vitals_raw, arrived),
+    def bronze(self) -> Lazy:
+        sources = {
+            "patients": lambda: self.patients_cdc,
+            "adt_events": lambda: self.adt_raw,
+            "lab_results": lambda: self.labs_raw,
+            "vitals": lambda: self.vitals_raw,
         }
+        arrived = F.col("pipeline_ts")
+        return Lazy(sources, lambda n: bronze.BRONZE_RULES[n](sources[n](), arrived))
 
     @cached_property
-    def silver_versions(self) -> dict[str, DataFrame]:
+    def silver_versions(self) -> Lazy:
         """Newest version per key, delete markers included."""
-        return {
-            name: silver.build_silver(name, rows, AS_OF, self.at)
-            for name, rows in self.bronze.items()
-        }
+        return Lazy(
+            SOURCE_TABLES, lambda n: silver.build_silver(n, self.bronze[n], AS_OF, self.at)
+        )
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return {name: live_rows(rows) for name, rows in self.silver_versions.items()}
+    def silver(self) -> Lazy:
+        return Lazy(SOURCE_TABLES, lambda n: live_rows(self.silver_versions[n]))
 
     @cached_property
-    def marts(self) -> dict[str, DataFrame]:
-        return gold.build_gold(self.silver, AS_OF, self.at)
+    def marts(self) -> Lazy:
+        return Lazy(gold.MARTS, lambda n: gold.build_mart(n, self.silver, AS_OF, self.at))
 
     def mart(self, name: str) -> DataFrame:
         """A mart without its wall-clock column."""

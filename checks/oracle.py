@@ -134,6 +134,7 @@ SELECT * FROM brz_patients
 QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY ver DESC) = 1""",
     "slv_patients": f"""
 SELECT p.patient_id, p.date_of_birth, p.insurance_id, p.op AS cdc_op,
+  CAST(NULL AS VARCHAR) AS created_at, CAST(NULL AS VARCHAR) AS updated_at,
   substr(md5(p.mrn), 1, 16) AS mrn_hash, a.date_of_birth_dt,
   CASE WHEN upper(p.gender) IN ('M', 'MALE') THEN 'M'
        WHEN upper(p.gender) IN ('F', 'FEMALE') THEN 'F' ELSE 'U' END AS gender,
@@ -629,7 +630,7 @@ SELECT event_type AS topic, CAST(user_id % 3 AS INT) AS "partition",
         ]
         + [
             """SELECT 'gold' AS layer, 'lab_turnaround' AS table_name, COUNT(*) AS row_count,
-      CAST(-1 AS DOUBLE) AS age_minutes, 'unknown' AS status
+      CAST(12 AS DOUBLE) AS age_minutes, 'ok' AS status
       FROM (SELECT DISTINCT CAST(make_timestamp(resulted_at) AS DATE), test_code FROM labs
             WHERE resulted_at IS NOT NULL)""",
             _health("bronze", "patients", "brz_patients", "-1", "ok"),

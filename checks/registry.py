@@ -392,7 +392,7 @@ def join_left_chain(t: Tables) -> DataFrame:
 def join_left_agg(t: Tables) -> DataFrame:
     ranges = gold.vital_ranges(t.silver["vitals"])
     events = t.silver["adt_events"].select("event_id", "patient_id")
-    joined = join_unique(events, ranges, "patient_id", "event_id", hot_rows=500)
+    joined = join_unique(events, ranges, "patient_id", "event_id", hot_rows=500, small_bytes=0)
     return joined.select("event_id", "patient_id", "vital_count", "max_news2_score")
 
 
@@ -470,10 +470,7 @@ def mart_query(key: str, mart: str) -> None:
     QUERIES[key] = lambda t: t.mart(mart)
 
 
-for mart_name in (
-    "patient_summary", "encounter_metrics", "daily_census", "critical_alerts",
-    "quality_dashboard", "lab_turnaround",
-):
+for mart_name in gold.MARTS:
     mart_query(f"gold_{mart_name}", mart_name)
 
 
@@ -681,7 +678,7 @@ def str_bronze_multi(t: Tables) -> DataFrame:
 def str_silver_upsert(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     await_all([append_bronze(landing(t, folder, ["vitals"]), VITALS, folder, every=None)])
-    await_all([merge_bronze(t.spark, folder, VITALS, AS_OF, span=5_000)])
+    await_all([merge_bronze(t.spark, folder, VITALS, AS_OF, span=20_000)])
     rows = read_silver(t.spark, folder, "vitals")
     return rows.select(
         "vital_id", "patient_id", "heart_rate", "spo2", "recorded_at", "news2_score", "alert_flags"
@@ -692,7 +689,7 @@ def str_silver_upsert(t: Tables) -> DataFrame:
 def pipe_run(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     await_all(start_bronze(landing(t, folder, list(SOURCE_TABLES)), folder, every=None))
-    run_pipeline(t.spark, folder, AS_OF, span=5_000)
+    run_pipeline(t.spark, folder, AS_OF, span=20_000)
     summary = CommittedTable(t.spark, f"{folder}/gold/patient_summary").read()
     return summary.drop("gold_computed_at")
 

@@ -7,17 +7,42 @@ from pyspark.sql import functions as F
 
 # A key is hot from this many rows on; fewer rows fit one shuffle partition well.
 HOT_ROWS = 1_000_000
-# At most this many hot keys are salted, so the broadcast list is bounded. A key
-# outside the first thousand holds less than a thousandth of the rows.
+# Hot keys that are salted, at most: the bound of the list that is broadcast.
 MAX_HOT_KEYS = 1_000
+# Keys the sketch follows: enough to find every key with more than about 0.1 % of the rows.
+TRACKED_KEYS = 4_096
+# Groups in which the sketches of the scan tasks are merged before the last merge.
+SKETCH_GROUPS = 256
 SALTS = 64
+# Below this size no key can hold more than one task handles well.
+SMALL_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of a frame (never below the files it reads), if it can be asked."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys of ``df``, at most ``MAX_HOT_KEYS`` rows ``(key, _hot)``."""
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    heaviest = counted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), key)
-    return heaviest.limit(MAX_HOT_KEYS).select(key, F.lit(True).alias("_hot"))
+    """The heaviest keys of ``df``, at most ``MAX_HOT_KEYS`` rows ``(key, _hot)``.
+
+    A frequent-items sketch reads the key column once. Sketches, not rows, are shuffled,
+    and merged in two steps so that no task meets those of every scan task. The sketch
+    only chooses which keys to salt; the join is exact whatever it returns.
+    """
+    known = df.filter(F.col(key).isNotNull()).select(
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"), key
+    )
+    merged = known.groupBy("_group").agg(
+        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("_sketch")
+    )
+    total = merged.agg(F.expr("approx_top_k_combine(_sketch)").alias("_sketch"))
+    tops = F.expr(f"approx_top_k_estimate(_sketch, {MAX_HOT_KEYS})")
+    found = total.select(F.inline(tops)).filter(F.col("count") >= hot_rows)
+    return found.select(F.col("item").alias(key), F.lit(True).alias("_hot"))
 
 
 def join_unique(
@@ -28,14 +53,18 @@ def join_unique(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Join ``many`` to ``unique`` (one row per ``key``) without a hot-key task.
 
     Rows of a hot key are spread over ``salts`` tasks by a hash of ``spread_by`` and
     the one matching row is copied once per salt. Rows with a NULL key match nothing
-    and are spread too. Every other row keeps salt 0, so nothing else is copied. When
-    ``unique`` is small, Catalyst broadcasts it as usual and the salts are idle.
+    and are spread too. Every other row keeps salt 0, so nothing else is copied. A
+    ``many`` side below ``small_bytes`` is joined plainly.
     """
+    size = estimated_bytes(many)
+    if size is not None and size < small_bytes:
+        return many.join(unique, key, how)
     hot = F.broadcast(hot_keys(many, key, hot_rows))
     spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
     salted = (

@@ -21,6 +21,8 @@ SCORE_DIGITS = 3
 # ----------------------------------------------------------------------------------
 # Query vectors sent to the tasks at a time.
 BLOCK = 1_024
+# Corpus rows a task scores at a time, which bounds its score matrix.
+SLICE = 2_048
 # Scores are ranked at this precision: equal vectors tie whatever batch they are in.
 RANK_DIGITS = 12
 
@@ -29,16 +31,22 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / (np.linalg.norm(rows, axis=1, keepdims=True) + NORM_OFFSET)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k greatest scores, ties by greater id. Everything at or above
-    the k-th score is sorted, so ties are resolved exactly."""
-    if len(scores) > k:
-        threshold = np.partition(scores, len(scores) - k)[len(scores) - k]
-        places = np.flatnonzero(scores >= threshold)
-    else:
-        places = np.arange(len(scores))
-    order = np.lexsort((ids[places], scores[places]))[::-1]
-    return places[order[:k]]
+def _first_k(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int):
+    """The k best candidates of every query: greatest score first, ties by greater id."""
+    order = np.lexsort((ids, score, -query))[::-1]
+    query, score, ids = query[order], score[order], ids[order]
+    starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
+    place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
+    kept = place < k
+    return query[kept], score[kept], ids[kept]
+
+
+def _candidates(found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and queries of all scores not below the k-th of their query, ties included."""
+    if len(found) <= k:
+        return np.indices(found.shape).reshape(2, -1)
+    limit = np.partition(found, len(found) - k, axis=0)[len(found) - k]
+    return np.nonzero(found >= limit)
 
 
 def _scan(matrix: np.ndarray, k: int, vector: str, out: pa.Schema):
@@ -47,31 +55,24 @@ def _scan(matrix: np.ndarray, k: int, vector: str, out: pa.Schema):
     id_type = out.field(1).type
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(query_units)
-        scores: list[np.ndarray] = [np.empty(0)] * n
-        ids: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * n
+        best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            flat = batch.column(vector).flatten().to_numpy(zero_copy_only=False)
-            rows = flat.astype(np.float64).reshape(batch.num_rows, -1)
-            found = np.round(_unit(rows) @ query_units.T, RANK_DIGITS)
-            batch_ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for q in range(n):
-                all_scores = np.concatenate([scores[q], found[:, q]])
-                all_ids = np.concatenate([ids[q], batch_ids])
-                best = _best(all_scores, all_ids, k)
-                scores[q], ids[q] = all_scores[best], all_ids[best]
-        sizes = [len(s) for s in scores]
-        if sum(sizes):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.arange(n), sizes), pa.int32()),
-                    pa.array(np.concatenate(ids), id_type),
-                    pa.array(np.concatenate(scores), pa.float64()),
-                ],
-                schema=out,
-            )
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                flat = part.column(vector).flatten().to_numpy(zero_copy_only=False)
+                rows = flat.astype(np.float64).reshape(part.num_rows, -1)
+                found = np.round(_unit(rows) @ query_units.T, RANK_DIGITS)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                row, query = _candidates(found, k)
+                merged = (
+                    np.r_[best[0], query], np.r_[best[1], found[row, query]], np.r_[best[2], ids[row]]
+                )
+                best = _first_k(*merged, k)
+        if len(best[0]):
+            columns = [
+                pa.array(best[0], pa.int32()), pa.array(best[2], id_type), pa.array(best[1])
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return scan
 

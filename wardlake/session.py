@@ -14,6 +14,8 @@ BASE_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call sites of single column expressions: costly to collect, of use in a notebook.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Object-store client settings, used when an endpoint is given.
