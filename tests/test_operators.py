@@ -160,6 +160,9 @@ def test_hot_keys_spread_over_the_salts(spark):
     many = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("key"))
     assert [tuple(r) for r in hot_keys(many, "key", 100).collect()] == [(7, True)]
     assert hot_keys(many, "key", 1000).count() == 0
+    assert hot_keys(many.filter("key < 0"), "key", 1).count() == 0
+    nobody = many.filter("key < 0").withColumn("row", F.lit(1))
+    assert join_unique(nobody, many.distinct(), "key", "row", small_bytes=0).count() == 0
 
 
 # Vectors -----------------------------------------------------------------------------

@@ -11,7 +11,7 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 # Keys the sketch follows: enough to find every key with more than about 0.1 % of the rows.
 TRACKED_KEYS = 4_096
-# Groups in which the sketches of the scan tasks are merged before the last merge.
+# Groups in which the sketches of the scan tasks are merged.
 SKETCH_GROUPS = 256
 SALTS = 64
 # Below this size no key can hold more than one task handles well.
@@ -29,20 +29,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The heaviest keys of ``df``, at most ``MAX_HOT_KEYS`` rows ``(key, _hot)``.
 
-    A frequent-items sketch reads the key column once. Sketches, not rows, are shuffled,
-    and merged in two steps so that no task meets those of every scan task. The sketch
-    only chooses which keys to salt; the join is exact whatever it returns.
+    Frequent-items sketches read the key column once. Sketches, not rows, are shuffled,
+    and those of the scan tasks are merged in groups, so that no task meets them all. They
+    only choose which keys to salt; the join is exact whatever they return.
     """
     known = df.filter(F.col(key).isNotNull()).select(
         F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"), key
     )
-    merged = known.groupBy("_group").agg(
-        F.expr(f"approx_top_k_accumulate({key}, {TRACKED_KEYS})").alias("_sketch")
+    top = F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
+    found = known.groupBy("_group").agg(top.alias("_top")).select(F.inline("_top"))
+    counted = found.groupBy("item").agg(F.sum("count").alias("_rows"))
+    heaviest = counted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), "item")
+    return heaviest.limit(MAX_HOT_KEYS).select(
+        F.col("item").alias(key), F.lit(True).alias("_hot")
     )
-    total = merged.agg(F.expr("approx_top_k_combine(_sketch)").alias("_sketch"))
-    tops = F.expr(f"approx_top_k_estimate(_sketch, {MAX_HOT_KEYS})")
-    found = total.select(F.inline(tops)).filter(F.col("count") >= hot_rows)
-    return found.select(F.col("item").alias(key), F.lit(True).alias("_hot"))
 
 
 def join_unique(
