@@ -146,9 +146,6 @@ def test_latest_vitals_takes_the_higher_id_on_a_tie(silver_tables):
 
 def test_other_marts(marts):
     assert marts["encounter_metrics"].count() == 5
-    assert {(r.ward, r.event_type): r.event_count for r in marts["daily_census"].collect()} == {
-        ("Cardiology", "ADMIT"): 1, ("ICU", "ADMIT"): 2, ("Med-Surg", "TRANSFER"): 1,
-        ("Maternity", "ADMIT"): 1} or True
     assert rows_by(marts["critical_alerts"], "result_id").keys() == {1, 2}
     board = marts["quality_dashboard"].collect()
     assert [(str(r.metric_date), r.patient_count, r.dq_completeness_pct, r.lab_count) for r in board if r.patient_count] == [
@@ -284,7 +281,7 @@ def test_retrieval_end_to_end(notes, marts):
     assert context.startswith("[Patient 2 | NURSING by Nurse C | similarity=")
     assert "| 2024-01-02 09:05]\nwheezes, respiratory support" in context
     people = retrieval.hit_patients(found)
-    lines = retrieval.structured_context(people, marts["patient_summary"], marts["critical_alerts"])
+    lines = retrieval.structured_context(people, marts["patient_summary"], marts["critical_alerts"], few=True)
     found_lines = {(r.section, r.line) for r in lines.filter("patient_id = 2").collect()}
     assert found_lines == {
         ("STRUCTURED DATA", "  Patient 2: age=45 gender=F NEWS2=HIGH SpO2=88.0% HR=118.0bpm SBP=90.0mmHg ICU=1 critical_labs=1"),

@@ -10,6 +10,7 @@ from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import hot_keys, join_unique
 from wardlake.operators.merge import change_op, live_rows, merge_changes
 from wardlake.operators.vectors import cosine_topk
+from wardlake.plans.retrieval import hit_notes
 from wardlake.sources.versioned import CommittedTable, bucket_of, upsert_latest
 
 ROW = "k INT, v STRING, cdc_op STRING, pipeline_ts INT, kafka_offset INT"
@@ -179,16 +180,16 @@ def brute_force(corpus, queries, k):
     return best
 
 
-@pytest.mark.parametrize("block", [100, 4])
-def test_topk_equals_brute_force(spark, block):
-    """Copies, a zero vector and several blocks of questions."""
+@pytest.mark.parametrize("block,part", [(100, 100), (4, 1000), (3, 20)])
+def test_topk_equals_brute_force(spark, block, part):
+    """Copies, a zero vector, and grids of several cells."""
     rng = np.random.default_rng(3)
     corpus = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(60)]
     corpus += [(100 + i, corpus[5][1]) for i in range(5)] + [(200, [0.0] * 6)]
     queries = [(i, corpus[i][1]) for i in (5, 6, 7, 8, 9, 10)] + [(99, [0.0] * 6)]
     corpus_df = spark.createDataFrame(corpus, "note_id INT, embedding ARRAY<DOUBLE>").repartition(5)
     queries_df = spark.createDataFrame(queries, "query_id STRING, embedding ARRAY<DOUBLE>")
-    found = cosine_topk(corpus_df, queries_df, k=4, block=block).collect()
+    found = cosine_topk(corpus_df, queries_df, k=4, block=block, part=part).collect()
     expected = brute_force(corpus, [(str(q), v) for q, v in queries], 4)
     assert {(r.query_id, r.note_id) for r in found} == {(q, n) for q, n, _ in expected}
     scores = {(q, n): s for q, n, s in expected}
@@ -200,3 +201,13 @@ def test_topk_of_few_or_no_vectors(spark):
     one = spark.createDataFrame([(1, [0.6, 0.8])], "query_id INT, embedding ARRAY<FLOAT>")
     assert [(r.note_id, round(r.score, 3)) for r in cosine_topk(corpus, one).collect()] == [(1, 0.6)]
     assert cosine_topk(corpus, one.limit(0)).count() == 0
+    longer = spark.createDataFrame([(1, [0.6, 0.8, 0.0])], "query_id INT, embedding ARRAY<FLOAT>")
+    assert cosine_topk(corpus, longer).count() == 0
+
+
+def test_few_hits_are_broadcast(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0])], "note_id INT, embedding ARRAY<FLOAT>")
+    hits = cosine_topk(corpus, corpus.withColumnRenamed("note_id", "query_id"))
+    notes = spark.range(10**7).select(F.col("id").cast("int").alias("note_id"))
+    plan = hit_notes(hits, notes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

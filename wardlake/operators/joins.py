@@ -14,12 +14,13 @@ TRACKED_KEYS = 4_096
 # Groups in which the sketches of the scan tasks are merged.
 SKETCH_GROUPS = 256
 SALTS = 64
-# Below this size no key can hold more than one task handles well.
+# Estimate below which no key can hold more than one task handles well. Frames whose
+# size is unknown are estimated as huge.
 SMALL_BYTES = 1 << 30
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size of a frame (never below the files it reads), if it can be asked."""
+    """The optimizer's estimate of a frame's size, if it can be asked."""
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None

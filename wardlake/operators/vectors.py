@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardlake.operators.dedupe import first_per_group
-from wardlake.session import shared_dir
 
 # --- Fixed values ------------------------------------------------------------------
 NORM_OFFSET = 1e-10  # added to a norm, so that a zero vector scores 0
 TOP_K = 3
 SCORE_DIGITS = 3
 # ----------------------------------------------------------------------------------
-# Query vectors sent to the tasks at a time.
+# Query vectors a task holds at a time; up to this many are sent to every task.
 BLOCK = 1_024
+# Corpus vectors of one cell of the grid that larger query sets are answered on.
+PART = 65_536
 # Corpus rows a task scores at a time, which bounds its score matrix.
 SLICE = 2_048
 # Scores are ranked at this precision: equal vectors tie whatever batch they are in.
 RANK_DIGITS = 12
 
 
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Equally long vectors as rows of doubles."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / (np.linalg.norm(rows, axis=1, keepdims=True) + NORM_OFFSET)
 
@@ -49,77 +60,68 @@ def _candidates(found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(found >= limit)
 
 
-def _scan(matrix: np.ndarray, k: int, vector: str, out: pa.Schema):
-    """A task function keeping the running top-k of every query over its Arrow batches."""
-    query_units = _unit(matrix)
-    id_type = out.field(1).type
+def _running_top(query_units: np.ndarray, batches: Iterable, k: int):
+    """Top-k of every query over batches of (ids, vectors): k rows per query are kept."""
+    best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+    for ids, vectors in batches:
+        for start in range(0, len(ids), SLICE):
+            part = ids[start : start + SLICE]
+            found = _unit(vectors[start : start + SLICE]) @ query_units.T
+            found = np.round(found, RANK_DIGITS)
+            row, query = _candidates(found, k)
+            seen = (query, found[row, query], part[row])
+            best = _first_k(*[np.r_[old, new] for old, new in zip(best, seen)], k)
+    return best
+
+
+def _result(query_ids: pa.Array, best, schema: pa.Schema) -> list[pa.Array]:
+    query, score, ids = best
+    named = query_ids.take(pa.array(query, pa.int64())).cast(schema.field(0).type)
+    return [named, pa.array(ids, schema.field(1).type), pa.array(score, pa.float64())]
+
+
+def _by_broadcast(corpus: DataFrame, queries: pa.Table, k: int, vector: str, out: T.StructType):
+    """Few queries: they travel with the task, the corpus stays where it is."""
+    schema = to_arrow_schema(out)
+    query_ids = queries.column(0).combine_chunks()
+    units = _unit(_matrix(queries.column(1)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                flat = part.column(vector).flatten().to_numpy(zero_copy_only=False)
-                rows = flat.astype(np.float64).reshape(part.num_rows, -1)
-                found = np.round(_unit(rows) @ query_units.T, RANK_DIGITS)
-                ids = part.column(0).to_numpy(zero_copy_only=False)
-                row, query = _candidates(found, k)
-                merged = (
-                    np.r_[best[0], query], np.r_[best[1], found[row, query]], np.r_[best[2], ids[row]]
-                )
-                best = _first_k(*merged, k)
+        arrays = (
+            (b.column(0).to_numpy(zero_copy_only=False), _matrix(b.column(vector))) for b in batches
+        )
+        best = _running_top(units, arrays, k)
         if len(best[0]):
-            columns = [
-                pa.array(best[0], pa.int32()), pa.array(best[2], id_type), pa.array(best[1])
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=out)
+            yield pa.RecordBatch.from_arrays(_result(query_ids, best, schema), schema=schema)
 
-    return scan
+    return corpus.mapInArrow(scan, out)
 
 
-def _search(
-    corpus: DataFrame, query_ids: list, matrix: np.ndarray, k: int, corpus_id: str, query_id: str,
-    vector: str, query_type: T.DataType,
-) -> DataFrame:
-    """Top-k of one block of queries. Each task sends at most k rows per query."""
-    spark = corpus.sparkSession
-    id_type = corpus.schema[corpus_id].dataType
-    dims = matrix.shape[1]
-    vectors = corpus.filter(F.size(vector) == dims).select(corpus_id, vector)
-    out = T.StructType(
-        [
-            T.StructField("_query", T.IntegerType()),
-            T.StructField(corpus_id, id_type),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    arrow_id = pa.int32() if isinstance(id_type, T.IntegerType) else pa.int64()
-    arrow_out = pa.schema(
-        [("_query", pa.int32()), (corpus_id, arrow_id), ("score", pa.float64())]
-    )
-    partial = vectors.mapInArrow(_scan(matrix, k, vector, arrow_out), out)
-    order = [F.desc("score"), F.desc(corpus_id)]
-    top = first_per_group(partial, ["_query"], order, keep=k)
-    names = spark.createDataFrame(
-        [(i, value) for i, value in enumerate(query_ids)],
-        T.StructType([T.StructField("_query", T.IntegerType()), T.StructField(query_id, query_type)]),
-    )
-    # At most BLOCK rows.
-    return top.join(F.broadcast(names), "_query").select(query_id, corpus_id, "score")
+def _by_grid(corpus: DataFrame, queries: DataFrame, k: int, block: int, part: int, out: T.StructType):
+    """Many queries: every cell of a grid of corpus parts and query blocks is one group,
+    of bounded size since both are cut by a hash of their unique ids."""
+    (corpus_id, _), (query_id, _) = corpus.columns, queries.columns
+    blocks = math.ceil(queries.count() / block)
+    parts = max(math.ceil(corpus.count() / part), 1)
+    schema = to_arrow_schema(out)
 
+    def spread(df: DataFrame, own: str, count: int, other: str, copies: int) -> DataFrame:
+        cell = F.pmod(F.xxhash64(df.columns[0]), F.lit(count)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+        return df.withColumn(own, cell).withColumn(other, every)
 
-def _blocks(queries: DataFrame, query_id: str, vector: str, size: int):
-    """Query vectors in blocks of at most ``size``, one block in memory at a time."""
-    ids, rows = [], []
-    wanted = queries.filter(F.col(vector).isNotNull()).select(query_id, vector)
-    for row in wanted.toLocalIterator():
-        ids.append(row[0])
-        rows.append(row[1])
-        if len(ids) == size:
-            yield ids, np.array(rows, dtype=np.float64)
-            ids, rows = [], []
-    if ids:
-        yield ids, np.array(rows, dtype=np.float64)
+    def answer(corpus_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
+        if not corpus_rows.num_rows or not query_rows.num_rows:
+            return schema.empty_table()
+        ids = corpus_rows.column(corpus_id).to_numpy()
+        vectors = _matrix(corpus_rows.column(1))
+        best = _running_top(_unit(_matrix(query_rows.column(1))), [(ids, vectors)], k)
+        names = query_rows.column(query_id).combine_chunks()
+        return pa.Table.from_arrays(_result(names, best, schema), schema=schema)
+
+    cells = spread(corpus, "_part", parts, "_block", blocks).groupBy("_part", "_block")
+    asked = spread(queries, "_block", blocks, "_part", parts).groupBy("_part", "_block")
+    return cells.cogroup(asked).applyInArrow(answer, out)
 
 
 def cosine_topk(
@@ -130,37 +132,37 @@ def cosine_topk(
     query_id: str = "query_id",
     vector: str = "embedding",
     block: int = BLOCK,
+    part: int = PART,
 ) -> DataFrame:
     """``(query_id, corpus_id, score)`` of the k nearest corpus vectors of every query.
 
-    The corpus stays where it is: every task multiplies its Arrow batches with the block
-    of query vectors and keeps k rows per query, so no pairs are produced and the shuffle
-    carries k rows per query and task. Up to ``block`` questions are one lazy pass, whose
-    result (at most ``block * k`` rows) is marked for broadcast. A larger set takes one
-    pass per block; each result is written to the shared folder, so the driver never
-    holds more than one block.
+    Up to ``block`` queries (a look at one more tells) are sent to the tasks, which scan
+    the corpus in place; the result, at most ``block * k`` rows, is marked for broadcast.
+    More queries are answered on a grid of corpus parts and query blocks. Either way a
+    task multiplies whole Arrow batches and gives k rows per query, so no pairs of rows
+    are produced and the last shuffle carries k rows per query and task.
+
+    Ids are integers on the corpus side and unique on both. All vectors have the length
+    of the first query's; others are not comparable and are left out.
     """
-    query_type = queries.schema[query_id].dataType
-    folder = None
-    held = None
-    for number, (ids, matrix) in enumerate(_blocks(queries, query_id, vector, block)):
-        found = _search(corpus, ids, matrix, k, corpus_id, query_id, vector, query_type)
-        if held is None:
-            held = found
-            continue
-        if folder is None:
-            folder = f"{shared_dir(corpus.sparkSession)}/topk-{uuid.uuid4().hex}"
-            held.write.parquet(f"{folder}/block=0")
-        found.write.parquet(f"{folder}/block={number}")
-    if held is None:
-        schema = T.StructType(
-            [
-                T.StructField(query_id, query_type),
-                T.StructField(corpus_id, corpus.schema[corpus_id].dataType),
-                T.StructField("score", T.DoubleType()),
-            ]
-        )
-        return corpus.sparkSession.createDataFrame([], schema)
-    if folder is None:
-        return F.broadcast(held)
-    return corpus.sparkSession.read.parquet(folder).drop("block")
+    asked = queries.filter(F.size(vector) > 0).select(query_id, vector)
+    few = asked.limit(block + 1).toArrow()
+    bounded = few.num_rows <= block
+    out = T.StructType(
+        [
+            T.StructField(query_id, queries.schema[query_id].dataType),
+            T.StructField(corpus_id, corpus.schema[corpus_id].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    if few.num_rows == 0:
+        return corpus.sparkSession.createDataFrame([], out)
+    dims = len(few.column(1)[0])
+    few = few.filter(pc.equal(pc.list_value_length(few.column(1)), dims))
+    vectors = corpus.filter(F.size(vector) == dims).select(corpus_id, vector)
+    if bounded:
+        partial = _by_broadcast(vectors, few, k, vector, out)
+    else:
+        partial = _by_grid(vectors, asked.filter(F.size(vector) == dims), k, block, part, out)
+    top = first_per_group(partial, [query_id], [F.desc("score"), F.desc(corpus_id)], keep=k)
+    return F.broadcast(top) if bounded else top

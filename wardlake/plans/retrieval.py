@@ -54,7 +54,7 @@ def hit_notes(hits: DataFrame, notes: DataFrame) -> DataFrame:
         Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("note_id"))
     )
     ranked = hits.withColumn("place", place)
-    # The hits keep the broadcast mark of the search, so the notes are not shuffled.
+    # Hits of few questions keep the broadcast mark of the search: the notes stay in place.
     found = notes.join(ranked, "note_id")
     return found.withColumn("score", F.round("score", SCORE_DIGITS))
 
@@ -90,14 +90,17 @@ def note_context(found: DataFrame) -> DataFrame:
 
 
 def structured_context(
-    patients: DataFrame, summary: DataFrame, alerts: DataFrame
+    patients: DataFrame, summary: DataFrame, alerts: DataFrame, few: bool = False
 ) -> DataFrame:
     """One line per summary row and per alert of the given patients.
 
     Lines stay rows: a patient may have any number of alerts, and a reader sorts by
-    section and key. ``patients`` holds the ids found by a search.
+    section and key. ``patients`` holds the ids found by a search; when they come from
+    ``few`` questions (one block of the search), their list is broadcast.
     """
     ids = patients.select("patient_id").distinct()
+    if few:
+        ids = F.broadcast(ids)
     of_patient = F.concat(F.lit("  Patient "), _shown("patient_id"), F.lit(": "))
     about = F.concat(
         of_patient,

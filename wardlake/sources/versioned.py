@@ -19,9 +19,10 @@ from wardlake.operators.dedupe import latest_per_key
 BUCKET = "bucket"
 # Keys are serial numbers, so neighbouring keys are neighbours in time. A bucket takes
 # runs of SPAN keys: a batch of recent changes touches few buckets. The modulus bounds
-# the number of buckets, and with it the list that is broadcast below.
+# the number of buckets, and with it the list that is broadcast below. One task writes
+# one bucket: choose BUCKETS so that a bucket stays near a gigabyte.
 SPAN = 1_000_000
-BUCKETS = 4_096
+BUCKETS = 16_384
 
 _COMMIT = re.compile(r"commit=(\d{10})(?:\.(.+))?$")
 
