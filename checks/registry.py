@@ -51,7 +51,7 @@ def run_folder(spark: SparkSession) -> str:
 # Sources ---------------------------------------------------------------------------
 
 
-def change_records(t: Tables) -> dict[str, DataFrame]:
+def change_records(t: Tables, writers: int | None = None) -> dict[str, DataFrame]:
     """The source rows as change records, one topic per table."""
     sent = F.lit(AS_OF).cast("timestamp")
     # Later versions come later in the log.
@@ -68,6 +68,8 @@ def change_records(t: Tables) -> dict[str, DataFrame]:
         "lab_results": t.labs_raw.withColumn("log_offset", F.col("result_id")),
         "vitals": t.vitals_raw.withColumn("log_offset", vitals_offset),
     }
+    if writers:
+        rows = {name: frame.repartition(writers) for name, frame in rows.items()}
     return {
         name: to_records(frame, SOURCE_TABLES[name], "log_offset", sent)
         for name, frame in rows.items()
@@ -144,8 +146,11 @@ def chk_bronze_count(t: Tables) -> DataFrame:
 
 
 def landing(t: Tables, folder: str, names: list[str]) -> Callable:
-    """Write change records as landing files; returns the stream source reading them."""
-    records = change_records(t)
+    """Write change records as landing files; returns the stream source reading them.
+
+    A topic has several partitions, so the records are spread over several writers.
+    """
+    records = change_records(t, writers=t.spark.sparkContext.defaultParallelism)
     for name in names:
         records[name].write.json(f"{folder}/landing/{name}")
     return lambda table: read_landing(t.spark, f"{folder}/landing/{table.name}", [table.topic])
