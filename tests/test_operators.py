@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import hot_keys, join_unique
-from wardlake.operators.merge import change_op, live_rows, merge_changes
+from wardlake.operators.merge import change_op, live_rows, merge_changes, merge_into
 from wardlake.operators.vectors import cosine_topk
 from wardlake.plans.retrieval import hit_notes
 from wardlake.sources.versioned import CommittedTable, bucket_of, upsert_latest
@@ -59,6 +59,15 @@ def test_merge_creates_without_deletes(frame):
     assert state(merge_changes(None, source, "k")) == [(1, "a")]
 
 
+def test_merge_into_needs_a_format_with_row_level_operations(spark, frame):
+    frame([(1, "a", "c")], "k INT, v STRING, cdc_op STRING").write.saveAsTable("plain", mode="overwrite")
+    try:
+        with pytest.raises(Exception, match="(?i)MERGE"):
+            merge_into(frame([(1, "b", "u")], "k INT, v STRING, cdc_op STRING"), "plain", "k")
+    finally:
+        spark.sql("DROP TABLE plain")
+
+
 def test_change_op(frame):
     df = frame([("u", "true"), (None, "true"), (None, "false"), (None, None)], "__op STRING, __deleted STRING")
     assert [r[0] for r in df.select(change_op(df.columns)).collect()] == ["u", "d", "c", "c"]
@@ -101,6 +110,8 @@ def test_unfinished_commits_are_not_read(spark, tmp_path):
     table.publish(spark.range(5))
     assert table.commits() == ["commit=0000000000", "commit=0000000002"]
     assert table.read().count() == 5
+    assert table.drop_superseded(keep=0) == ["commit=0000000000", "commit=0000000001"]
+    assert table.read().count() == 5
 
 
 def test_a_transaction_is_applied_once(spark, tmp_path):

@@ -95,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
             rows = metrics.as_metric_rows(health).coalesce(1)
             rows.write.mode("append").parquet(f"{base}/metrics/health")
     elif given.job == "sql":
-        register_views(spark, MARTS, gold)
+        register_views(spark, MARTS, gold, semantic.describe)
         print(json.dumps(semantic.run_sql(spark, given.query), ensure_ascii=False))
     return 0
 

@@ -41,3 +41,17 @@ def merge_changes(target: DataFrame | None, source: DataFrame, key: str, op: str
     kept = target.filter(F.col(key).isNotNull()).join(acting, key, "left_anti")
     keyless = target.filter(F.col(key).isNull())
     return kept.unionByName(keyless).unionByName(inserts)
+
+
+def merge_into(source: DataFrame, table: str, key: str, op: str = OP) -> None:
+    """The same clauses on a catalog table whose format has row-level operations, where
+    the format itself finds and rewrites the files concerned. Plain parquet has none."""
+    acts = F.col(f"s.{op}")
+    (
+        source.alias("s")
+        .mergeInto(table, F.expr(f"{table}.{key} = s.{key}"))
+        .whenMatched(acts == DELETE).delete()
+        .whenMatched(acts != DELETE).updateAll()
+        .whenNotMatched(acts != DELETE).insertAll()
+        .merge()
+    )

@@ -44,12 +44,20 @@ class CommittedTable:
             return []
         return sorted(status.getPath().getName() for status in fs.listStatus(folder))
 
+    def holds(self, name: str) -> bool:
+        return name in self._list(self.root)
+
     def _names(self) -> list[str]:
         return [name for name in self._list(self.root) if _COMMIT.match(name)]
 
+    def _finished(self) -> dict[str, list[str]]:
+        """Finished commits, oldest first, with the names they contain."""
+        contents = {name: self._list(f"{self.root}/{name}") for name in self._names()}
+        return {name: inside for name, inside in contents.items() if "_SUCCESS" in inside}
+
     def commits(self) -> list[str]:
         """Names of the finished commits, oldest first."""
-        return [n for n in self._names() if "_SUCCESS" in self._list(f"{self.root}/{n}")]
+        return list(self._finished())
 
     def has(self, txn: str) -> bool:
         return any(_COMMIT.match(name).group(2) == txn for name in self.commits())
@@ -74,8 +82,8 @@ class CommittedTable:
 
     def _newest_buckets(self) -> dict[str, str]:
         newest = {}
-        for commit in self.commits():
-            for name in self._list(f"{self.root}/{commit}"):
+        for commit, inside in self._finished().items():
+            for name in inside:
                 if name.startswith(f"{BUCKET}="):
                     newest[name] = commit
         return newest
@@ -92,10 +100,13 @@ class CommittedTable:
         return reader.parquet(*paths).select(*schema.names)
 
     def drop_superseded(self, keep: int = 2) -> list[str]:
-        """Delete commits of which nothing is current, sparing the last ``keep``."""
+        """Delete commits of which nothing is current, sparing the last ``keep``, and
+        remains of writes that failed before them."""
         commits = self.commits()
         current = set(self._newest_buckets().values()) or set(commits[-1:])
-        stale = [c for c in commits[: max(len(commits) - keep, 0)] if c not in current]
+        spared = current | set(commits[len(commits) - keep :] if keep else [])
+        last = commits[-1] if commits else ""
+        stale = [name for name in self._names() if name < last and name not in spared]
         jvm = self.spark.sparkContext._jvm
         for name in stale:
             folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -112,23 +123,26 @@ def upsert_latest(
     txn: str | None = None,
     span: int = SPAN,
     buckets: int = BUCKETS,
+    keys: DataFrame | None = None,
 ) -> bool:
     """Bring a bucketed table to the newest version of every changed key.
 
     Delete markers are kept as rows, so an older change arriving late cannot revive a
     deleted key and applying a batch twice changes nothing. Only buckets that hold a
     changed key are read and rewritten: their list (at most ``buckets`` rows, hence
-    broadcast) prunes the partitions of the existing table at run time.
+    broadcast) prunes the partitions of the existing table at run time. ``keys`` may
+    name a frame with the same keys that is cheaper to read than ``changes``.
     """
     if txn is not None and table.has(txn):
         return False
-    keyed = changes.filter(F.col(key).isNotNull()).withColumn(
-        BUCKET, bucket_of(key, span, buckets)
-    )
-    rows = latest_per_key(keyed, key, newest_by)
+    bucket = bucket_of(key, span, buckets)
+    # Repeated changes of a key are dropped before the shuffle by bucket.
+    rows = latest_per_key(changes.filter(F.col(key).isNotNull()), key, newest_by)
+    rows = rows.withColumn(BUCKET, bucket)
     existing = table.read_buckets()
     if existing is not None:
-        touched = F.broadcast(keyed.select(BUCKET).distinct())
+        changed = (changes if keys is None else keys).filter(F.col(key).isNotNull())
+        touched = F.broadcast(changed.select(bucket.alias(BUCKET)).distinct())
         current = existing.join(touched, BUCKET, "left_semi")
         rows = current.unionByName(rows, allowMissingColumns=True)
     # One shuffle by bucket serves both the window and the partitioned write.
