@@ -11,7 +11,7 @@ from wardlake.operators.joins import hot_keys, join_unique
 from wardlake.operators.merge import change_op, live_rows, merge_changes, merge_into
 from wardlake.operators.vectors import cosine_topk
 from wardlake.plans.retrieval import hit_notes
-from wardlake.sources.versioned import CommittedTable, bucket_of, upsert_latest
+from wardlake.sources.versioned import CommittedTable, bucket_of, upsert_latest, upserted
 
 ROW = "k INT, v STRING, cdc_op STRING, pipeline_ts INT, kafka_offset INT"
 
@@ -136,6 +136,21 @@ def test_only_touched_buckets_are_rewritten(spark, frame, tmp_path):
     assert {r.v for r in table.read_buckets().collect()} == {"c"}
 
 
+def test_upsert_reads_touched_buckets_and_shuffles_twice(spark, frame, tmp_path):
+    table = CommittedTable(spark, str(tmp_path / "t"))
+    rows = frame([(k, "a", "c", 1, k) for k in range(40)], ROW)
+    upsert_latest(table, rows, "k", ["pipeline_ts"], span=10, buckets=8)
+    rows.write.parquet(str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes"))
+    existing = table.read_buckets({1, 2, 77})
+    assert {f.split("bucket=")[1].split("/")[0] for f in existing.inputFiles()} == {"1", "2"}
+    content = upserted(existing, changes, "k", ["pipeline_ts"], bucket_of("k", 10, 8))
+    plan = content._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k#") == 1
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert plan.count("Exchange ") == 2
+
+
 def test_new_columns_appear_as_null_in_old_buckets(spark, frame, tmp_path):
     table = CommittedTable(spark, str(tmp_path / "t"))
     upsert_latest(table, frame([(1, "a", "c", 1, 1), (11, "a", "c", 1, 1)], ROW), "k", ["pipeline_ts"], span=10, buckets=8)

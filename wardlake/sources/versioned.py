@@ -19,8 +19,8 @@ from wardlake.operators.dedupe import latest_per_key
 BUCKET = "bucket"
 # Keys are serial numbers, so neighbouring keys are neighbours in time. A bucket takes
 # runs of SPAN keys: a batch of recent changes touches few buckets. The modulus bounds
-# the number of buckets, and with it the list that is broadcast below. One task writes
-# one bucket: choose BUCKETS so that a bucket stays near a gigabyte.
+# the number of buckets. One task writes one bucket: choose BUCKETS so that a bucket
+# stays near a gigabyte.
 SPAN = 1_000_000
 BUCKETS = 16_384
 
@@ -88,9 +88,13 @@ class CommittedTable:
                     newest[name] = commit
         return newest
 
-    def read_buckets(self) -> DataFrame | None:
-        """Every bucket from its newest commit, with the ``bucket`` column."""
+    def read_buckets(self, only: set[int] | None = None) -> DataFrame | None:
+        """Every bucket (or ``only`` those named) from its newest commit, with the
+        ``bucket`` column. Other buckets are not even listed by the reader."""
         newest = self._newest_buckets()
+        if only is not None:
+            wanted = {f"{BUCKET}={number}" for number in only}
+            newest = {name: commit for name, commit in newest.items() if name in wanted}
         if not newest:
             return None
         paths = [f"{self.root}/{commit}/{name}" for name, commit in newest.items()]
@@ -115,6 +119,23 @@ class CommittedTable:
         return stale
 
 
+def upserted(
+    existing: DataFrame | None, changes: DataFrame, key: str, newest_by: list[str], bucket: Column
+) -> DataFrame:
+    """The new content of the buckets in ``existing`` and of those the changes open.
+
+    Delete markers are rows like any other, so an older change arriving late cannot
+    revive a deleted key and applying a batch twice changes nothing.
+    """
+    # Repeated changes of a key are dropped before the shuffle by bucket.
+    rows = latest_per_key(changes.filter(F.col(key).isNotNull()), key, newest_by)
+    rows = rows.withColumn(BUCKET, bucket)
+    if existing is not None:
+        rows = existing.unionByName(rows, allowMissingColumns=True)
+    # One shuffle by bucket serves both the window and the partitioned write.
+    return latest_per_key(rows.repartition(BUCKET), [BUCKET, key], newest_by)
+
+
 def upsert_latest(
     table: CommittedTable,
     changes: DataFrame,
@@ -127,24 +148,15 @@ def upsert_latest(
 ) -> bool:
     """Bring a bucketed table to the newest version of every changed key.
 
-    Delete markers are kept as rows, so an older change arriving late cannot revive a
-    deleted key and applying a batch twice changes nothing. Only buckets that hold a
-    changed key are read and rewritten: their list (at most ``buckets`` rows, hence
-    broadcast) prunes the partitions of the existing table at run time. ``keys`` may
-    name a frame with the same keys that is cheaper to read than ``changes``.
+    Only buckets that hold a changed key are read and rewritten. Their numbers, at most
+    ``buckets`` of them, are collected first, so that the paths of the others never enter
+    the plan. ``keys`` may name a frame with the same keys that is cheaper to read than
+    ``changes``.
     """
     if txn is not None and table.has(txn):
         return False
     bucket = bucket_of(key, span, buckets)
-    # Repeated changes of a key are dropped before the shuffle by bucket.
-    rows = latest_per_key(changes.filter(F.col(key).isNotNull()), key, newest_by)
-    rows = rows.withColumn(BUCKET, bucket)
-    existing = table.read_buckets()
-    if existing is not None:
-        changed = (changes if keys is None else keys).filter(F.col(key).isNotNull())
-        touched = F.broadcast(changed.select(bucket.alias(BUCKET)).distinct())
-        current = existing.join(touched, BUCKET, "left_semi")
-        rows = current.unionByName(rows, allowMissingColumns=True)
-    # One shuffle by bucket serves both the window and the partitioned write.
-    newest = latest_per_key(rows.repartition(BUCKET), [BUCKET, key], newest_by)
-    return table.publish(newest, txn=txn, by_bucket=True)
+    changed = (changes if keys is None else keys).filter(F.col(key).isNotNull())
+    touched = {row[0] for row in changed.select(bucket).distinct().collect()}
+    content = upserted(table.read_buckets(touched), changes, key, newest_by, bucket)
+    return table.publish(content, txn=txn, by_bucket=True)
