@@ -365,6 +365,7 @@ SELECT 'patients' AS table_name, COUNT(*) AS row_count, {_big("SUM(patient_id)")
 UNION ALL SELECT 'adt_events', COUNT(*), {_big("SUM(event_id)")} FROM adt_raw
 UNION ALL SELECT 'lab_results', COUNT(*), {_big("SUM(result_id)")} FROM labs_raw
 UNION ALL SELECT 'vitals', COUNT(*), {_big("SUM(vital_id)")} FROM vitals_raw""",
+    "src_delta_fallback": "SELECT * FROM daily_census",
     "src_view_register": """
 SELECT c_mktsegment, COUNT(*) AS order_count FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY c_mktsegment""",
@@ -651,4 +652,6 @@ SELECT vital_id, CAST(patient_id AS BIGINT) AS patient_id, heart_rate, spo2, rec
     "pipe_run": "SELECT * FROM patient_summary",
 }
 
+BODIES["str_rate_limit"] = BODIES["snk_stream_append"]
+
 ORACLE_SQL = {name: with_ctes(body).strip() for name, body in BODIES.items()}

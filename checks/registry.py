@@ -20,6 +20,7 @@ from wardlake.plans import bronze, gold, metrics, questions, reports, retrieval,
 from wardlake.schemas import PATIENTS, SOURCE_TABLES, VITALS
 from wardlake.session import shared_dir
 from wardlake.sources.changes import parse_table, parse_union, read_landing, route, to_records
+from wardlake.sources.tables import read_table
 from wardlake.sources.versioned import CommittedTable
 from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, write_bronze_batches
 from wardlake.streaming.pipeline import run_pipeline
@@ -114,6 +115,13 @@ def src_topic_route(t: Tables) -> DataFrame:
     )
 
 
+@query
+def src_delta_fallback(t: Tables) -> DataFrame:
+    folder = run_folder(t.spark)
+    CommittedTable(t.spark, f"{folder}/second/daily_census").publish(t.mart("daily_census"))
+    return read_table(t.spark, "daily_census", [f"{folder}/first", f"{folder}/second"])
+
+
 @query
 def src_view_register(t: Tables) -> DataFrame:
     for name in ("orders", "customer"):
@@ -679,6 +687,16 @@ def str_bronze_multi(t: Tables) -> DataFrame:
     )
 
 
+@query
+def str_rate_limit(t: Tables) -> DataFrame:
+    folder, table = run_folder(t.spark), SOURCE_TABLES["adt_events"]
+    landing(t, folder, ["adt_events"])
+    limited = read_landing(t.spark, f"{folder}/landing/adt_events", [table.topic], files_per_trigger=2)
+    await_all([write_bronze_batches(lambda _: limited, table, folder, every=None)])
+    rows = t.spark.read.parquet(f"{folder}/bronze/adt_events")
+    return rows.select("event_id", "patient_id", "event_type", "ward", "is_icu", OP)
+
+
 @query
 def str_silver_upsert(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)

@@ -109,16 +109,18 @@ def test_silver_follows_the_log(spark, tmp_path):
     assert len(commits) == 3 and commits[0].endswith("-0")
 
 
-def test_rebuild_equals_the_stream(spark, tmp_path):
+@pytest.mark.parametrize("sink", [append_bronze, write_bronze_batches])
+def test_rebuild_equals_the_stream(spark, tmp_path, sink):
     base = str(tmp_path / "lake")
     land(tmp_path / "in", "1", messy())
-    await_all([append_bronze(source(spark, tmp_path / "in"), VITALS_TABLE, base, every=None)])
+    await_all([sink(source(spark, tmp_path / "in"), VITALS_TABLE, base, every=None)])
     await_all([merge_bronze(spark, base, VITALS_TABLE, SEED_DAY, **LAYOUT)])
     target = CommittedTable(spark, str(tmp_path / "again"))
     rebuild_silver(spark, spark.read.parquet(f"{base}/bronze/vitals"), target, VITALS_TABLE, SEED_DAY, **LAYOUT)
     columns = ["vital_id", "heart_rate", "alert_flags", "news2_score", "kafka_offset"]
     streamed = CommittedTable(spark, f"{base}/silver/vitals").read_buckets()
     assert target.read_buckets().select(columns).collect() == streamed.select(columns).collect()
+    assert streamed.count() == 1
 
 
 def test_whole_run(spark, tmp_path):

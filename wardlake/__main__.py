@@ -15,6 +15,9 @@ from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, wr
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import publish_gold, run_pipeline
 
+# Metric rows that are written together while streams run.
+METRIC_ROWS_PER_FILE = 500
+
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="wardlake", description=__doc__)
@@ -63,11 +66,13 @@ def main(argv: list[str] | None = None) -> int:
             return read_kafka(spark, given.servers, [table.topic], **limits)
 
         sink = write_bronze_batches if given.batches else append_bronze
+        table = f"{base}/metrics/streaming"
         try:
-            await_all(start_bronze(source, base, every=given.every, start=sink))
+            queries = start_bronze(source, base, every=given.every, start=sink)
+            await_all(queries, lambda: listener.flush(spark, table, METRIC_ROWS_PER_FILE))
         finally:
             spark.streams.removeListener(listener)
-            listener.flush(spark, f"{base}/metrics/streaming")
+            listener.flush(spark, table)
     elif given.job == "run":
         if given.gold_only:
             publish_gold(spark, base, given.as_of, given.keep)

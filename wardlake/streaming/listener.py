@@ -56,9 +56,12 @@ class MetricsListener(StreamingQueryListener):
         with self._lock:
             return list(self._rows)
 
-    def flush(self, spark: SparkSession, path: str) -> int:
-        """Append the waiting rows to the metrics table; they are kept if that fails."""
+    def flush(self, spark: SparkSession, path: str, at_least: int = 1) -> int:
+        """Append the waiting rows, if ``at_least`` so many, to the metrics table; they are
+        kept if that fails."""
         waiting = self.rows()
+        if len(waiting) < at_least:
+            return 0
         if waiting:
             frame = spark.createDataFrame(waiting, METRIC_ROW).coalesce(1)
             frame.write.mode("append").parquet(path)
