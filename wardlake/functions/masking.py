@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: hex characters kept of a digest.
 DIGEST_CHARS = 16
 
 

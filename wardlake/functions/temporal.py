@@ -11,6 +11,7 @@ __all__ = ["age_in_years", "as_date", "birth_date", "days_before", "from_micros"
 
 AsOf = dt.date | Column | str | None
 
+# Fixed value.
 DAYS_PER_YEAR = 365.25
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Age from which a mart is stale, and the age of an undated one.
 FRESH_MINUTES = 30
 UNKNOWN_AGE = -1.0
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardlake.functions import temporal
 from wardlake.operators.joins import join_unique
 
+# Fixed values of the questions.
 WEEK_DAYS = 7
 LOW_SPO2 = 92
 SENIOR_AGE = 60

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Rows of the bounded reports and the order of risk levels.
 TOP_PATIENTS = 10
 CENSUS_DAYS = 14
 ALERTS_SHOWN = 20

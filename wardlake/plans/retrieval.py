@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlake.operators.vectors import SCORE_DIGITS
 
+# Fixed value: characters of a note that an answer cites.
 PREVIEW_CHARS = 200
 
 
