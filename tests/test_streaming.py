@@ -72,8 +72,9 @@ def test_listener(spark, tmp_path):
     listener = MetricsListener()
     spark.streams.addListener(listener)
     try:
-        await_all([append_bronze(source(spark, tmp_path / "in"), VITALS_TABLE, str(tmp_path / "lake"), every=None)])
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        query = append_bronze(source(spark, tmp_path / "in"), VITALS_TABLE, str(tmp_path / "lake"), every=None)
+        await_all([query])
+        assert listener.wait_for_end([query])
     finally:
         spark.streams.removeListener(listener)
     written = listener.flush(spark, str(tmp_path / "metrics"))

@@ -67,10 +67,11 @@ def main(argv: list[str] | None = None) -> int:
 
         sink = write_bronze_batches if given.batches else append_bronze
         table = f"{base}/metrics/streaming"
+        queries = start_bronze(source, base, every=given.every, start=sink)
         try:
-            queries = start_bronze(source, base, every=given.every, start=sink)
             await_all(queries, lambda: listener.flush(spark, table, METRIC_ROWS_PER_FILE))
         finally:
+            listener.wait_for_end(queries)
             spark.streams.removeListener(listener)
             listener.flush(spark, table)
     elif given.job == "run":

@@ -6,7 +6,7 @@ import datetime as dt
 import threading
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from wardlake.schemas import METRIC_ROW
 
@@ -22,7 +22,9 @@ class MetricsListener(StreamingQueryListener):
     def __init__(self) -> None:
         self._rows: list[tuple] = []
         self._names: dict[str, str] = {}
+        self._ended: set[str] = set()
         self._lock = threading.Lock()
+        self._end_seen = threading.Condition()
 
     def _add(self, entity: str, figures: dict[str, float], tag: str) -> None:
         now = dt.datetime.now(dt.timezone.utc)
@@ -51,6 +53,15 @@ class MetricsListener(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         name = self._names.pop(str(event.runId), DEFAULT_NAME)
         self._add(name, {"active": 0}, "error" if event.exception else "0")
+        with self._end_seen:
+            self._ended.add(str(event.runId))
+            self._end_seen.notify_all()
+
+    def wait_for_end(self, queries: list[StreamingQuery], seconds: float = 30) -> bool:
+        """Wait for the last event of ended queries: Spark delivers events afterwards."""
+        runs = {str(query.runId) for query in queries}
+        with self._end_seen:
+            return self._end_seen.wait_for(lambda: runs <= self._ended, seconds)
 
     def rows(self) -> list[tuple]:
         with self._lock:
