@@ -9,7 +9,7 @@ from wardlake.plans import metrics, reports, semantic
 from wardlake.plans.gold import MARTS
 from wardlake.schemas import SOURCE_TABLES
 from wardlake.session import build_session
-from wardlake.sources.changes import RECORDS_PER_TRIGGER, read_kafka, read_landing
+from wardlake.sources.changes import read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, read_table, register_views
 from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, write_bronze_batches
 from wardlake.streaming.listener import MetricsListener
@@ -30,7 +30,7 @@ def arguments() -> argparse.ArgumentParser:
     origin.add_argument("--servers", help="broker addresses")
     origin.add_argument("--landing", help="folder of JSON change records")
     bronze.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
-    bronze.add_argument("--per-trigger", type=int, default=RECORDS_PER_TRIGGER)
+    bronze.add_argument("--per-trigger", type=int, default=None, help="records per topic; no limit when left out")
     bronze.add_argument("--every", default=None, help="trigger interval; once when left out")
     bronze.add_argument("--batches", action="store_true", help="one directory per batch")
 

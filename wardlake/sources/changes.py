@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from wardlake.operators.merge import OP, change_op
 from wardlake.schemas import CHANGE_RECORD, SOURCE_TABLES, SourceTable, union_schema
 
-# Fixed value: intake limit per trigger and topic.
-RECORDS_PER_TRIGGER = 500
-
 
 def kafka_options(
     servers: str,
