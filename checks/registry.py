@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +16,7 @@ from wardlake.operators.merge import OP, change_op, merge_changes
 from wardlake.operators.vectors import cosine_topk
 from wardlake.plans import bronze, gold, metrics, questions, reports, retrieval, semantic, silver
 from wardlake.schemas import PATIENTS, SOURCE_TABLES, VITALS
-from wardlake.session import shared_dir
+from wardlake.session import run_folder
 from wardlake.sources.changes import parse_table, parse_union, read_landing, route, to_records
 from wardlake.sources.tables import read_table
 from wardlake.sources.versioned import CommittedTable
@@ -41,14 +39,6 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one; a local one only where none is configured."""
-    try:
-        return f"{shared_dir(spark)}/wardlake-{uuid.uuid4().hex}"
-    except ValueError:
-        return tempfile.mkdtemp(prefix="wardlake-")
-
-
 # Sources ---------------------------------------------------------------------------
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +67,33 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         raise ValueError("spark.checkpoint.dir is not set: name a folder every executor can reach")
     return configured.rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one. Only a session whose tasks all run on this machine may
+    go without a shared folder: it then gets one of its own, set in its configuration."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            shared_dir(spark)
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wardlake-"))
+    return f"{shared_dir(spark)}/wardlake-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the tasks, so that they find it wherever the session was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="wardlake-"), "wardlake.zip")
+    with zipfile.ZipFile(target, "w") as bundle:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    bundle.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
