@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import base, exact_dedup, quality_rules
+from wardlake.llm import base, byte_bpe, exact_dedup, packing, quality_rules, token_shards
+from wardlake.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +26,29 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs, stream)
 
 
+@query
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{run_folder(spark)}/shards"
+    token_shards.write_shards(base.documents(spark, sf_dir), path)
+    stored = token_shards.read_shards(spark, path)
+    return (
+        token_shards.read_documents(stored)
+        .select("part", "shard", "doc_id", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+        .join(token_shards.first_places(stored), ["part", "shard"])
+        .select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+    )
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.decode(byte_bpe.encode(base.documents(spark, sf_dir))).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_rules.apply_policy(quality_rules.ledger(base.documents(spark, sf_dir)))
@@ -36,5 +60,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(base.documents(spark, sf_dir))
+
+
 def registered() -> dict[str, Query]:
     return dict(QUERIES)
