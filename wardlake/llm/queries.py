@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import base, byte_bpe, exact_dedup, packing, quality_rules, token_shards
+from wardlake.llm import base, byte_bpe, exact_dedup, ngram_join, packing, quality_rules, token_shards
 from wardlake.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(base.documents(spark, sf_dir))
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = base.documents(spark, sf_dir)
