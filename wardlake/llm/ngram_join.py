@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from wardlake.llm.base import texts, written
 from wardlake.llm.encoding import slices
+from wardlake.llm.hashing import Words, as_arrays, as_lists, column_bytes, mixed, powers
 from wardlake.session import run_folder
 
 WORDS = 5
@@ -43,58 +44,10 @@ WORDS = 5
 FIRST_EIGHTHS = 3
 HOOKS = 2
 _U = np.uint64
-_POWER = 0x9E3779B97F4A7C15 | 1
-
-
-def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A finalising 64-bit hash."""
-    x = x + _U((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (1 << 64) - 1)
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-@functools.lru_cache(maxsize=2)
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-    up, down = np.full(size, _POWER, _U), np.full(size, pow(_POWER, -1, 1 << 64), _U)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
-
-
-BYTE = mixed(np.arange(256, dtype=_U), 1)
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[ord("A") : ord("Z") + 1] += 32
-IN_WORD = np.ones(256, bool)
-IN_WORD[[32, *range(9, 14)]] = False
-
-
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words of UTF-8 texts, one after the other, and the place of each
-    text's first word in them. ``data`` is the texts' bytes, ``offsets`` where texts start and end."""
-    inside = IN_WORD[data]
-    before = np.empty_like(inside)
-    before[1:] = inside[:-1]
-    before[offsets[:-1][offsets[:-1] < len(data)]] = False
-    starts = np.flatnonzero(inside & ~before)
-    after = np.zeros_like(inside)
-    after[:-1] = inside[1:]
-    after[offsets[1:][offsets[1:] > 0] - 1] = False
-    ends = np.flatnonzero(inside & ~after) + 1
-    size = 1 << max(16, int(len(data)).bit_length())
-    up, down = powers(size)
-    total = np.zeros(len(data) + 1, _U)
-    np.cumsum(BYTE[LOWER[data]] * up[: len(data)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts]), np.searchsorted(starts, offsets)
-
-
 def shingle_sets(column: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     """The sorted set of 64-bit shingle hashes of every text of an Arrow string array."""
-    column = column.cast(pa.large_string())
-    _, raw_offsets, raw = column.buffers()
-    offsets = np.frombuffer(raw_offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.zeros(0, np.uint8)
-    hashes, first = word_hashes(data, offsets - offsets[0])
+    words_of = Words(*column_bytes(column))
+    hashes, first = words_of.hashes(), words_of.first
     rows = np.zeros(len(hashes), _U)
     for step in range(words):
         rows[: max(0, len(hashes) - step)] += hashes[step:] * _U(pow(0xD6E8FEB86659FD93, step + 1, 1 << 64))
@@ -123,17 +76,6 @@ def fingerprints(found: list[np.ndarray]) -> list[bytes]:
     ]
 
 
-def as_lists(found: list[np.ndarray]) -> pa.ListArray:
-    """Arrays of hashes as lists of long."""
-    flat = np.concatenate(found) if found else np.zeros(0, _U)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(flat.view(np.int64)))
-
-
-def as_arrays(column: pa.ListArray) -> list[np.ndarray]:
-    flat, ends = column.values.to_numpy().view(_U), column.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-
-
 def sets_of(docs: DataFrame, content: str = "") -> DataFrame:
     """doc_id, key (16 bytes), n_shingles and, as ``content`` says, ``shingles``: none, the "sample"
     for the first look, or the whole set ("shingles")."""

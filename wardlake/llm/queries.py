@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import base, byte_bpe, exact_dedup, ngram_join, packing, quality_rules, token_shards
+from wardlake.llm import base, byte_bpe, exact_dedup, language, ngram_join, packing, quality_rules, token_shards, toxicity
 from wardlake.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs, stream)
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(base.documents(spark, sf_dir))
+
+
 @query
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_folder(spark)}/shards"
@@ -65,6 +70,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(base.documents(spark, sf_dir), base.labels(spark, sf_dir))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(base.documents(spark, sf_dir))
