@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import base, byte_bpe, exact_dedup, language, ngram_join, packing, quality_rules, token_shards, toxicity
+from wardlake.llm import (
+    base,
+    byte_bpe,
+    exact_dedup,
+    language,
+    language_model,
+    ngram_join,
+    packing,
+    perplexity,
+    quality_rules,
+    token_shards,
+    toxicity,
+)
 from wardlake.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +48,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(base.documents(spark, sf_dir))
 
 
+@query
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(base.documents(spark, sf_dir))
+
+
 @query
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_folder(spark)}/shards"
@@ -59,6 +76,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality(base.documents(spark, sf_dir), base.labels(spark, sf_dir))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_rules.apply_policy(quality_rules.ledger(base.documents(spark, sf_dir)))
