@@ -22,11 +22,13 @@ import pyarrow.compute as pc
 
 #: Anything that some engine may take for white space.
 BLANK = r"\s\x00-\x1f\x7f-\xa0\u180e\u200b-\u200f\u2060-\u2064\ufeff"
-UNSAFE = re.compile(rf"[{BLANK}] | [{BLANK}]|\A | \Z")
+UNSAFE = re.compile(rf" (?:(?=[{BLANK}]|\Z)|(?<=[{BLANK}] )|(?<=\A ))")
 SAFE = re.compile(rf"(?<=[^{BLANK}]) (?=[^{BLANK}])")
 #: Pieces remembered by a worker; reaching the bound only means encoding some of them again.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 LONGEST_PIECE = 200
+#: After a letter, one of these that ends a piece is a match of its own.
+STOPS = ",."
 CHARS_PER_CALL = 40_000
 CHARS_PER_BATCH = 4_000_000
 
@@ -38,11 +40,29 @@ class Encoder:
     def __init__(self, encode, spaced: np.ndarray):
         self.encode, self.spaced = encode, spaced
         self.known: dict[str, bytes] = {}
+        self.stops = {stop: self.whole(stop) for stop in STOPS}
 
     def whole(self, text: str) -> bytes:
+        if not text:
+            return b""
         return np.asarray(self.encode([text])[0], "<u4").tobytes()
 
     def learn(self, pieces: Iterable[str]) -> None:
+        """Ids of pieces that each follow a space; words with a stop after them from the words."""
+        known, stops = self.known, self.stops
+        plain, stopped = set(), []
+        for piece in pieces:
+            word = piece[:-1]
+            if piece[-1] in STOPS and word.isalpha():
+                stopped.append((piece, word))
+                if word not in known:
+                    plain.add(word)
+            else:
+                plain.add(piece)
+        self.learn_plain(plain)
+        known.update([(piece, known[word] + stops[piece[-1]]) for piece, word in stopped])
+
+    def learn_plain(self, pieces: Iterable[str]) -> None:
         """Ids of pieces that each follow a space: encoded together, and parted where a token starts
         with a space, which only a piece's first token does."""
         calls: list[list[str]] = []
@@ -66,23 +86,30 @@ class Encoder:
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        cut = [None if UNSAFE.search(text) else text.split(" ") for text in texts]
-        wanted: set[str] = set()
-        for pieces in cut:
-            if pieces:
-                wanted.update(pieces[1:])
-        if len(self.known) + len(wanted) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = wanted.difference(self.known)
-        long = {p for p in new if len(p) > LONGEST_PIECE}
-        self.learn(new - long)
-        known = self.known.__getitem__
-        out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            if not pieces or not long.isdisjoint(pieces[1:]):
-                out.append(self.whole(text) if text else b"")
+        out: list = [None] * len(texts)
+        flat: list[str] = []
+        cut = []
+        for at, text in enumerate(texts):
+            if UNSAFE.search(text):
+                out[at] = self.whole(text)
             else:
-                out.append((self.whole(pieces[0]) if pieces[0] else b"") + b"".join(map(known, pieces[1:])))
+                first, *pieces = text.split(" ")
+                cut.append((at, first, len(flat)))
+                flat += pieces
+        found = list(map(self.known.get, flat))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        new = {flat[i] for i in missed}
+        long = {piece for piece in new if len(piece) > LONGEST_PIECE}
+        self.learn(new - long)
+        for i in missed:
+            found[i] = self.known.get(flat[i])
+        cut.append((0, "", len(flat)))
+        for (at, first, start), (_, _, end) in zip(cut, cut[1:], strict=False):
+            parts = found[start:end]
+            whole = long and None in parts
+            out[at] = self.whole(texts[at]) if whole else self.whole(first) + b"".join(parts)
         return out
 
 
