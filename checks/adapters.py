@@ -1,6 +1,6 @@
 """The driver's tables in the shape of the source tables (rules of FIXTURES.md).
 
-Every frame carries ``pipeline_ts`` and ``kafka_offset``, the version of a change.
+Every frame carries ``kafka_timestamp``, ``kafka_offset`` and ``pipeline_ts``, the version of a change.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from wardlake.session import use_utc
 AS_OF = "2001-08-01"
 CENSUS_AS_OF = "2024-01-31"
 QUERY_VECTORS = 5
+# Patients were loaded on many days, of which some are days of results and readings.
+LOADED = "cast(date_add(DATE'1997-01-01', cast(patient_id % 400 + kafka_offset as int)) as timestamp)"
 
 PATIENTS = [
     "cast(c_custkey as int) AS patient_id",
@@ -142,7 +144,10 @@ class Tables:
         )
         versioned = self.raw("customer").withColumn("ver", versions)
         return versioned.selectExpr(*PATIENTS).withColumns(
-            {"pipeline_ts": F.col("ver"), "kafka_offset": F.col("ver"), "cdc_op": F.col("op")}
+            {
+                "kafka_timestamp": F.lit(AS_OF).cast("timestamp"),
+                "pipeline_ts": F.col("ver"), "kafka_offset": F.col("ver"), "cdc_op": F.col("op"),
+            }
         )
 
     @cached_property
@@ -183,8 +188,10 @@ class Tables:
     @cached_property
     def silver_versions(self) -> Lazy:
         """Newest version per key, delete markers included."""
+        loaded = {"patients": F.expr(LOADED)}
         return Lazy(
-            SOURCE_TABLES, lambda n: silver.build_silver(n, self.bronze[n], AS_OF, self.at)
+            SOURCE_TABLES,
+            lambda n: silver.build_silver(n, self.bronze[n], AS_OF, loaded.get(n, self.at)),
         )
 
     @cached_property
@@ -202,7 +209,10 @@ class Tables:
 
 def _versioned(rows: DataFrame, at: str, tie: str) -> DataFrame:
     return rows.withColumns(
-        {"pipeline_ts": F.col(at), "kafka_offset": F.col(tie).cast("bigint"), "cdc_op": F.lit("c")}
+        {
+            "kafka_timestamp": F.timestamp_micros(at),
+            "pipeline_ts": F.col(at), "kafka_offset": F.col(tie).cast("bigint"), "cdc_op": F.lit("c"),
+        }
     )
 
 

@@ -142,7 +142,7 @@ SELECT p.patient_id, p.date_of_birth, p.insurance_id, p.op AS cdc_op,
   CASE WHEN a.age_years < 18 THEN 'PEDIATRIC' WHEN a.age_years < 65 THEN 'ADULT'
        ELSE 'SENIOR' END AS age_group,
   coalesce(upper(p.gender) IN ('M', 'MALE', 'F', 'FEMALE'), FALSE) AS dq_complete,
-  TIMESTAMP '{AS_OF} 00:00:00' AS silver_ts
+  CAST(DATE '1997-01-01' + CAST(p.patient_id % 400 + p.ver AS INT) AS TIMESTAMP) AS silver_ts
 FROM newest_patients p JOIN aged a ON a.patient_id = p.patient_id AND a.ver = p.ver""",
     "patients": "SELECT * FROM slv_patients WHERE cdc_op <> 'd'",
     "adt": f"""
@@ -243,6 +243,19 @@ FROM vitals GROUP BY ALL""",
     "quality_dashboard": """
 SELECT * FROM dq_patients FULL OUTER JOIN dq_labs USING (metric_date)
   FULL OUTER JOIN dq_vitals USING (metric_date)""",
+    "note_weights": """
+SELECT bucket, ln(((SELECT COUNT(*) FROM notes) + 1) / (COUNT(*) + 1)) + 1 AS weight FROM note_words GROUP BY bucket""",
+    "odd_units": """
+SELECT vec_id, len(v) AS dims, v, sqrt(list_dot_product(v, v)) + 1e-10 AS norm
+FROM (SELECT vec_id, CASE WHEN vec_id % 10 = 0
+        THEN list_append(CAST(embedding AS DOUBLE[]), CAST(vec_id % 7 AS DOUBLE)) ELSE CAST(embedding AS DOUBLE[]) END AS v
+      FROM embeddings WHERE vec_id % 10 NOT IN (1, 2, 3))""",
+    "odd_hits": """
+SELECT q.vec_id AS query_id, c.vec_id AS note_id,
+  round(list_dot_product(q.v, c.v) / (q.norm * c.norm), 12) AS score
+FROM odd_units q JOIN odd_units c ON q.dims = c.dims
+QUALIFY row_number() OVER (PARTITION BY q.vec_id
+  ORDER BY round(list_dot_product(q.v, c.v) / (q.norm * c.norm), 12) DESC, c.vec_id DESC) <= 3""",
     # Retrieval ---------------------------------------------------------------------
     "units": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
@@ -339,9 +352,15 @@ _NOTE_BLOCK = (
     + " || strftime(authored_at, '%Y-%m-%d %H:%M') || ']' || chr(10) || note_text"
 )
 
+_EMBED_TEXT = _text("Patient ", "@patient_id", " | ", "@note_type", " by ", "@authored_by", ": ", "@note_text")
+CTES["note_words"] = rf"""
+SELECT note_id, CAST(('0x' || substr(md5(word), 1, 8))::BIGINT % 256 AS INT) AS bucket, COUNT(*) AS n
+FROM (SELECT note_id, unnest(regexp_split_to_array(lower({_EMBED_TEXT}), '[ \t\n\x0b\f\r]+')) AS word FROM notes)
+WHERE word <> '' GROUP BY ALL"""
+
 BODIES = {
     # Sources and sinks
-    "src_parquet": "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'",
+    "src_parquet": "SELECT o_orderkey, o_custkey, o_orderdate FROM orders",
     "src_json_parse_union": """
 SELECT 'ehr.public.patients' AS topic, CAST(patient_id AS BIGINT) AS patient_id,
   CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BIGINT) AS result_id,
@@ -457,8 +476,10 @@ HAVING ver = 1 AND NOT (patient_id % 4 = 0 OR patient_id % 10 = 0)""",
 SELECT note_id, patient_id, note_type, gender, latest_news2_risk
 FROM notes JOIN patient_summary USING (patient_id)""",
     "join_id_filter": """
-SELECT patient_id, mrn_hash, total_encounters FROM patient_summary
-WHERE patient_id IN (SELECT patient_id FROM notes)""",
+SELECT 'STRUCTURED DATA' AS section, COUNT(*) AS line_count, COUNT(DISTINCT patient_id) AS patient_count
+FROM patient_summary WHERE patient_id IN (SELECT patient_id FROM notes)
+UNION ALL SELECT 'CRITICAL ALERTS', COUNT(*), COUNT(DISTINCT patient_id)
+FROM critical_alerts WHERE patient_id IN (SELECT patient_id FROM notes)""",
     # Aggregations, marts, windows
     "agg_encounters": "SELECT * FROM encounters",
     "agg_labs_90d": "SELECT * FROM labs_90d",
@@ -569,10 +590,12 @@ FROM (SELECT doc_id, trim(array_to_string(list_filter(
       WHEN 1 THEN '```sql' || chr(10) || text || chr(10) || '```'
       WHEN 2 THEN 'Here is the query:' || chr(10) || '  ' || text || chr(10) || chr(10)
         || 'This query reads one table.'
-      WHEN 3 THEN 'NOTE: none' || chr(10) || left(text, 4)
+      WHEN 3 THEN 'NOTE: none' || chr(10) || text
       WHEN 4 THEN ' ' || chr(10) || chr(9) || '```' || chr(10) || 'SELECT '
         || CAST(doc_id AS VARCHAR) || chr(10) || ' ```  ' || chr(10) || 'Explanation: ' || text
-      ELSE '' END AS response FROM documents))""",
+      ELSE 'note: ' || text || chr(10) || chr(9) || text END AS response FROM documents
+    UNION ALL SELECT doc_id, 'NOTE: none' || chr(10) || left(text, 4) FROM documents
+    UNION ALL SELECT doc_id, '' FROM documents))""",
     "sem_fence_strip": f"""
 SELECT doc_id, trim(replace(replace({_DOC_RESPONSE}, '```sql', ''), '```', ''), {_BLANKS}) AS sql_text
 FROM documents""",
@@ -602,6 +625,11 @@ ORDER BY note_count DESC, authored_by LIMIT 1""",
     "rag_note_text": f"""
 SELECT note_id, {_text("Patient ", "@patient_id", " | ", "@note_type", " by ", "@authored_by", ": ", "@note_text")}
   AS embed_text FROM notes""",
+    "rag_embed": """
+SELECT note_id, bucket, CAST(round(CAST(value / norm AS FLOAT), 4) AS DECIMAL(7,4)) AS value
+FROM (SELECT *, sqrt(SUM(value * value) OVER (PARTITION BY note_id)) AS norm
+      FROM (SELECT note_id, bucket, n * weight AS value FROM note_words JOIN note_weights USING (bucket)))""",
+    "rag_topk_odd_vectors": "SELECT query_id, note_id, round(score, 3) AS score FROM odd_hits",
     "rag_cosine_topk": "SELECT query_id, note_id, round(score, 3) AS score FROM hits",
     "rag_structured_ctx": f"""
 SELECT 'STRUCTURED DATA' AS section, patient_id, CAST(NULL AS BIGINT) AS result_id,
@@ -621,6 +649,16 @@ SELECT query_id, place, patient_id, note_type, authored_by, score,
 SELECT event_type AS topic, CAST(user_id % 3 AS INT) AS "partition",
   MIN(event_id) AS earliest_offset, MAX(event_id) + 1 AS latest_offset,
   MAX(event_id) + 1 - MIN(event_id) AS total_messages FROM events GROUP BY ALL""",
+    "met_topic_health": """
+SELECT topic, coalesce(latest_offset, -1) AS latest_offset, coalesce(total_messages, -1) AS total_messages
+FROM (VALUES ('signup'), ('view'), ('never sent')) t(topic) LEFT JOIN (
+  SELECT topic, CAST(SUM(latest) AS BIGINT) AS latest_offset, CAST(SUM(latest - earliest) AS BIGINT) AS total_messages
+  FROM (SELECT event_type AS topic, user_id % 3 AS part, MAX(event_id) + 1 AS latest, MIN(event_id) AS earliest
+        FROM events GROUP BY ALL) GROUP BY topic) USING (topic)""",
+    "met_stream_listener": """
+SELECT 'bronze_lab_results' AS entity, metric, CAST(CASE WHEN metric IN ('num_input_rows', 'records_read')
+  THEN (SELECT COUNT(*) FROM labs_raw) ELSE 0 END AS DOUBLE) AS value
+FROM (VALUES ('num_input_rows'), ('records_read'), ('tombstones'), ('records_without_key')) m(metric)""",
     "met_layer_health": " UNION ALL ".join(
         [
             _health("gold", name, name, "12.0", "ok")
@@ -652,6 +690,13 @@ SELECT vital_id, CAST(patient_id AS BIGINT) AS patient_id, heart_rate, spo2, rec
     "pipe_run": "SELECT * FROM patient_summary",
 }
 
-BODIES["str_rate_limit"] = BODIES["snk_stream_append"]
+BODIES["str_rate_limit"] = "SELECT event_id, CAST(0 AS INT) AS batches_not_of_one_file FROM brz_adt"
+BODIES["report_runner"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, COUNT(*) AS row_count FROM (SELECT * FROM ({BODIES[name]}) r)"
+    for name in (
+        "q1_population", "q2_age_groups", "q3_top_critical", "q6_census_pivot", "q7_busiest_wards", "q8_alert_list",
+        "q9_alerts_by_test",
+    )
+) + " UNION ALL SELECT 'nonsense', -1"
 
 ORACLE_SQL = {name: with_ctes(body).strip() for name, body in BODIES.items()}

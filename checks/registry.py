@@ -18,9 +18,10 @@ from wardlake.plans import bronze, gold, metrics, questions, reports, retrieval,
 from wardlake.schemas import PATIENTS, SOURCE_TABLES, VITALS
 from wardlake.session import run_folder
 from wardlake.sources.changes import parse_table, parse_union, read_landing, route, to_records
-from wardlake.sources.tables import read_table
+from wardlake.sources.tables import read_table, register_views
 from wardlake.sources.versioned import CommittedTable
 from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, write_bronze_batches
+from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import run_pipeline
 from wardlake.streaming.silver import merge_bronze, read_silver
 
@@ -69,8 +70,9 @@ def change_records(t: Tables, writers: int | None = None) -> dict[str, DataFrame
 
 @query
 def src_parquet(t: Tables) -> DataFrame:
-    orders = t.raw("orders").filter(F.col("o_orderstatus") == "F")
-    return orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return read_table(t.spark, "orders.parquet", [f"{t.folder}/nowhere", t.folder]).select(
+        "o_orderkey", "o_custkey", "o_orderdate"
+    )
 
 
 @query
@@ -114,11 +116,13 @@ def src_delta_fallback(t: Tables) -> DataFrame:
 
 @query
 def src_view_register(t: Tables) -> DataFrame:
+    folder = run_folder(t.spark)
     for name in ("orders", "customer"):
-        t.raw(name).createOrReplaceTempView(f"v_{name}")
+        CommittedTable(t.spark, f"{folder}/{name}").publish(t.raw(name))
+    registered = register_views(t.spark, ["orders", "absent", "customer"], [folder])
     return t.spark.sql(
-        """SELECT c_mktsegment, count(*) AS order_count
-           FROM v_orders JOIN v_customer ON o_custkey = c_custkey GROUP BY c_mktsegment"""
+        f"""SELECT c_mktsegment, count(*) AS order_count
+           FROM {registered[0]} JOIN {registered[1]} ON o_custkey = c_custkey GROUP BY c_mktsegment"""
     )
 
 
@@ -194,7 +198,7 @@ def brz_mask_pii(t: Tables) -> DataFrame:
 
 @query
 def brz_patients(t: Tables) -> DataFrame:
-    return t.bronze["patients"].drop("pipeline_ts", "kafka_offset", OP)
+    return t.bronze["patients"].drop("kafka_timestamp", "pipeline_ts", "kafka_offset", OP)
 
 
 @query
@@ -343,18 +347,17 @@ def slv_vital_bounds(t: Tables) -> DataFrame:
 
 @query
 def slv_cast_vitals(t: Tables) -> DataFrame:
-    readings = [F.col(c).cast("double").alias(c) for c in clinical.VITAL_BOUNDS]
-    return t.vitals_raw.select("vital_id", "tie", *readings)
+    return silver.cast_vitals(t.vitals_raw).select("vital_id", "tie", *clinical.VITAL_BOUNDS)
 
 
 @query
 def slv_dedupe_latest(t: Tables) -> DataFrame:
-    newest = latest_per_key(t.vitals_raw, "vital_id", ["pipeline_ts", "kafka_offset"])
+    newest = latest_per_key(t.vitals_raw, "vital_id", silver.NEWEST_BY)
     return newest.select("vital_id", "patient_id", "created_at", "tie")
 
 
 def silver_rows(t: Tables, name: str) -> DataFrame:
-    return t.silver_versions[name].drop("pipeline_ts", "kafka_offset")
+    return t.silver_versions[name].drop(*silver.NEWEST_BY)
 
 
 @query
@@ -382,11 +385,11 @@ def slv_vitals(t: Tables) -> DataFrame:
 
 @query
 def join_left_chain(t: Tables) -> DataFrame:
-    chain = (
-        t.silver["patients"]
-        .join(gold.latest_vitals(t.silver["vitals"]), "patient_id", "left")
-        .join(gold.encounter_counts(t.silver["adt_events"]), "patient_id", "left")
-        .join(gold.recent_lab_counts(t.silver["lab_results"], AS_OF), "patient_id", "left")
+    chain = gold.with_patient_figures(
+        t.silver["patients"],
+        gold.latest_vitals(t.silver["vitals"]),
+        gold.encounter_counts(t.silver["adt_events"]),
+        gold.recent_lab_counts(t.silver["lab_results"], AS_OF),
     )
     return chain.select("patient_id", "latest_hr", "total_encounters", "lab_count_90d")
 
@@ -395,7 +398,7 @@ def join_left_chain(t: Tables) -> DataFrame:
 def join_left_agg(t: Tables) -> DataFrame:
     ranges = gold.vital_ranges(t.silver["vitals"])
     events = t.silver["adt_events"].select("event_id", "patient_id")
-    joined = join_unique(events, ranges, "patient_id", "event_id", hot_rows=500, small_bytes=0)
+    joined = join_unique(events, ranges, "patient_id")
     return joined.select("event_id", "patient_id", "vital_count", "max_news2_score")
 
 
@@ -403,24 +406,23 @@ def join_left_agg(t: Tables) -> DataFrame:
 def join_left_dim(t: Tables) -> DataFrame:
     labs = t.silver["lab_results"].filter("is_critical").select("result_id", "patient_id")
     people = t.silver["patients"].select("patient_id", "gender", "age_years")
-    return join_unique(labs, people, "patient_id", "result_id")
+    return join_unique(labs, people, "patient_id")
 
 
 @query
 def join_full_outer_using(t: Tables) -> DataFrame:
-    joined = (
-        gold.patient_quality(t.silver["patients"])
-        .join(gold.lab_quality(t.silver["lab_results"]), "metric_date", "outer")
-        .join(gold.vital_quality(t.silver["vitals"]), "metric_date", "outer")
-    )
+    tables = t.silver["patients"], t.silver["lab_results"], t.silver["vitals"]
+    joined = gold.quality_dashboard(*tables, t.at)
     return joined.select("metric_date", "patient_count", "lab_count", "vital_count")
 
 
 @query
 def join_merge_key(t: Tables) -> DataFrame:
-    rows = t.patients_cdc.select("patient_id", "mrn", "ver")
-    changed = rows.filter("ver > 1").select("patient_id")
-    return rows.filter("ver = 1").join(changed, "patient_id", "left_anti")
+    # Where every change is a deletion, what is left are the rows whose key matched none.
+    rows = t.patients_cdc.select("patient_id", "mrn", "ver", F.lit("c").alias("op"))
+    changed = rows.filter("ver > 1").withColumn("op", F.lit("d"))
+    source = latest_per_key(changed, "patient_id", ["ver"])
+    return merge_changes(rows.filter("ver = 1"), source, "patient_id", op="op").drop("op")
 
 
 @query
@@ -431,9 +433,10 @@ def join_notes(t: Tables) -> DataFrame:
 
 @query
 def join_id_filter(t: Tables) -> DataFrame:
-    ids = t.notes.select("patient_id").distinct()
-    summary = t.mart("patient_summary").join(ids, "patient_id", "left_semi")
-    return summary.select("patient_id", "mrn_hash", "total_encounters")
+    lines = retrieval.structured_context(t.notes, t.mart("patient_summary"), t.mart("critical_alerts"))
+    return lines.groupBy("section").agg(
+        F.count(F.lit(1)).alias("line_count"), F.count_distinct("patient_id").alias("patient_count")
+    )
 
 
 # Aggregations and marts ------------------------------------------------------------
@@ -456,17 +459,17 @@ def agg_vitals(t: Tables) -> DataFrame:
 
 @query
 def agg_dq_patients(t: Tables) -> DataFrame:
-    return gold.patient_quality(t.silver["patients"])
+    return gold.table_quality("patients", t.silver["patients"])
 
 
 @query
 def agg_dq_labs(t: Tables) -> DataFrame:
-    return gold.lab_quality(t.silver["lab_results"])
+    return gold.table_quality("lab_results", t.silver["lab_results"])
 
 
 @query
 def agg_dq_vitals(t: Tables) -> DataFrame:
-    return gold.vital_quality(t.silver["vitals"])
+    return gold.table_quality("vitals", t.silver["vitals"])
 
 
 def mart_query(key: str, mart: str) -> None:
@@ -503,6 +506,15 @@ for report_name in reports.REPORTS:
     report_query(report_name)
 
 
+@query
+def report_runner(t: Tables) -> DataFrame:
+    """How many rows the reports of all marts have, and an unknown mart as a problem."""
+    run = reports.run_reports(lambda name: t.marts[name], ["patient_summary", "daily_census", "critical_alerts", "nonsense"])
+    counts = [frame.agg(F.count(F.lit(1)).alias("row_count")).withColumn("name", F.lit(n)) for n, frame in run.frames.items()]
+    problem = t.spark.createDataFrame([(-1, name) for name in run.problems], "row_count BIGINT, name STRING")
+    return union([*counts, problem]).select("name", "row_count")
+
+
 # Described layer and questions -----------------------------------------------------
 
 
@@ -528,11 +540,14 @@ def sem_sql_clean(t: Tables) -> DataFrame:
            WHEN 0 THEN text
            WHEN 1 THEN '```sql\n' || text || '\n```'
            WHEN 2 THEN 'Here is the query:\n  ' || text || '\n\nThis query reads one table.'
-           WHEN 3 THEN 'NOTE: none\n' || left(text, 4)
+           WHEN 3 THEN 'NOTE: none\n' || text
            WHEN 4 THEN ' \n\t```\nSELECT ' || cast(doc_id as string) || '\n ```  \nExplanation: ' || text
-           ELSE '' END"""
+           ELSE 'note: ' || text || '\n\t' || text END"""
+    )
+    # Beside every document, an answer that is too short and an empty one.
+    responses = t.raw("documents").select(
+        "doc_id", F.explode(F.array(response, F.expr("'NOTE: none\n' || left(text, 4)"), F.lit(""))).alias("response")
     )
-    responses = t.raw("documents").select("doc_id", response.alias("response"))
     return semantic.clean_responses(responses).select("doc_id", "sql_text", "is_valid")
 
 
@@ -593,15 +608,15 @@ def nl_notes_by_author(t: Tables) -> DataFrame:
 # Retrieval -------------------------------------------------------------------------
 
 
-def hits(t: Tables) -> DataFrame:
+def hits(vectors: DataFrame) -> DataFrame:
     """Every vector asked against every vector."""
-    corpus = t.vectors.withColumnRenamed("vec_id", "note_id")
-    asked = t.vectors.withColumnRenamed("vec_id", "query_id")
+    corpus = vectors.withColumnRenamed("vec_id", "note_id")
+    asked = vectors.withColumnRenamed("vec_id", "query_id")
     return cosine_topk(corpus, asked)
 
 
 def found_notes(t: Tables) -> DataFrame:
-    return retrieval.hit_notes(hits(t), t.notes)
+    return retrieval.hit_notes(hits(t.vectors), t.notes)
 
 
 @query
@@ -612,19 +627,39 @@ def rag_note_text(t: Tables) -> DataFrame:
 @query
 def rag_embed(t: Tables) -> DataFrame:
     texts = retrieval.note_text(t.notes)
-    return retrieval.embed(retrieval.fit_embedder(texts), texts).select("note_id", "embedding")
+    vectors = retrieval.embed(retrieval.fit_embedder(texts), texts)
+    # As rows, since zeros are most of a vector.
+    entries = vectors.select("note_id", F.posexplode("embedding").alias("bucket", "value")).filter("value <> 0")
+    return entries.withColumn("value", F.round("value", 4).cast("decimal(7,4)"))
 
 
 @query
 def rag_cosine_topk(t: Tables) -> DataFrame:
-    return hits(t).withColumn("score", F.round("score", 3))
+    return hits(t.vectors).withColumn("score", F.round("score", 3))
+
+
+@query
+def rag_topk_odd_vectors(t: Tables) -> DataFrame:
+    """Some vectors are longer, some have an unknown or an undefined element, some are missing."""
+    odd = t.vectors.withColumn(
+        "embedding",
+        F.expr(
+            """CASE vec_id % 10 WHEN 0 THEN concat(embedding, array(cast(vec_id % 7 as float)))
+               WHEN 1 THEN concat(array(cast(NULL as float)), slice(embedding, 2, size(embedding)))
+               WHEN 2 THEN concat(array(float('NaN')), slice(embedding, 2, size(embedding)))
+               WHEN 3 THEN NULL ELSE embedding END"""
+        ),
+    )
+    return hits(odd).withColumn("score", F.round("score", 3))
 
 
 @query
 def rag_structured_ctx(t: Tables) -> DataFrame:
-    people = retrieval.hit_patients(found_notes(t))
+    corpus = retrieval.hit_patients(found_notes(t))
+    path = f"{run_folder(t.spark)}/patients"
+    corpus.write.parquet(path)
     return retrieval.structured_context(
-        people, t.mart("patient_summary"), t.mart("critical_alerts")
+        t.spark.read.parquet(path), t.mart("patient_summary"), t.mart("critical_alerts")
     )
 
 
@@ -656,6 +691,34 @@ def met_topic_offsets(t: Tables) -> DataFrame:
     return metrics.topic_offsets(log)
 
 
+@query
+def met_topic_health(t: Tables) -> DataFrame:
+    log = t.raw("events").select(
+        F.col("event_type").alias("topic"),
+        (F.col("user_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    return metrics.topic_health(log, ["signup", "view", "never sent"])
+
+
+@query
+def met_stream_listener(t: Tables) -> DataFrame:
+    """Figures of a finished stream that do not depend on time or batches."""
+    folder, table = run_folder(t.spark), SOURCE_TABLES["lab_results"]
+    listener = MetricsListener()
+    t.spark.streams.addListener(listener)
+    try:
+        running = write_bronze_batches(landing(t, folder, [table.name]), table, folder, every=None)
+        await_all([running])
+        listener.wait_for_end([running])
+    finally:
+        t.spark.streams.removeListener(listener)
+    listener.flush(t.spark, f"{folder}/metrics")
+    rows = t.spark.read.parquet(f"{folder}/metrics")
+    fixed = ("num_input_rows", "records_read", "tombstones", "records_without_key")
+    return rows.filter(F.col("metric").isin(*fixed)).groupBy("entity", "metric").agg(F.sum("value").alias("value"))
+
+
 @query
 def met_layer_health(t: Tables) -> DataFrame:
     now = F.expr(f"timestamp'{AS_OF} 00:12:00'")
@@ -681,17 +744,22 @@ def str_bronze_multi(t: Tables) -> DataFrame:
 def str_rate_limit(t: Tables) -> DataFrame:
     folder, table = run_folder(t.spark), SOURCE_TABLES["adt_events"]
     landing(t, folder, ["adt_events"])
-    limited = read_landing(t.spark, f"{folder}/landing/adt_events", [table.topic], files_per_trigger=2)
+    limited = read_landing(t.spark, f"{folder}/landing/adt_events", [table.topic], files_per_trigger=1)
     await_all([write_bronze_batches(lambda _: limited, table, folder, every=None)])
     rows = t.spark.read.parquet(f"{folder}/bronze/adt_events")
-    return rows.select("event_id", "patient_id", "event_type", "ward", "is_icu", OP)
+    # A batch has the records of one file: those that one writer was given.
+    files = t.spark.read.json(f"{folder}/landing/adt_events").select(F.input_file_name().alias("file"))
+    of_files = files.groupBy("file").count().groupBy(F.col("count").alias("batch_rows")).agg(F.count(F.lit(1)).alias("files"))
+    of_batches = rows.groupBy("batch_id").count().groupBy(F.col("count").alias("batch_rows")).agg(F.count(F.lit(1)).alias("batches"))
+    odd = of_files.join(of_batches, "batch_rows", "full").filter("files IS DISTINCT FROM batches").count()
+    return rows.select("event_id", F.lit(odd).cast("int").alias("batches_not_of_one_file"))
 
 
 @query
 def str_silver_upsert(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     await_all([append_bronze(landing(t, folder, ["vitals"]), VITALS, folder, every=None)])
-    await_all([merge_bronze(t.spark, folder, VITALS, AS_OF, span=20_000)])
+    await_all([merge_bronze(t.spark, folder, VITALS, AS_OF)])
     rows = read_silver(t.spark, folder, "vitals")
     return rows.select(
         "vital_id", "patient_id", "heart_rate", "spo2", "recorded_at", "news2_score", "alert_flags"
@@ -702,7 +770,7 @@ def str_silver_upsert(t: Tables) -> DataFrame:
 def pipe_run(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     await_all(start_bronze(landing(t, folder, list(SOURCE_TABLES)), folder, every=None))
-    run_pipeline(t.spark, folder, AS_OF, span=20_000)
+    run_pipeline(t.spark, folder, AS_OF)
     summary = CommittedTable(t.spark, f"{folder}/gold/patient_summary").read()
     return summary.drop("gold_computed_at")
 

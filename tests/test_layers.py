@@ -105,8 +105,10 @@ def test_bounds_do_not_change_scores(spark):
 
 def test_silver_keeps_the_newest_version_and_its_operation(spark):
     rows = [(1, "A", "c", 1, 1), (1, "B", "u", 2, 2), (2, "C", "c", 1, 3), (2, None, "d", 1, 4), (None, "D", "c", 1, 5)]
+    # The log was read again from its start: what arrives last is not what is newest.
+    rows += [(1, "A", "c", 9, 1), (2, "C", "c", 9, 3)]
     df = spark.createDataFrame(rows, "patient_id BIGINT, mrn STRING, cdc_op STRING, pipeline_ts INT, kafka_offset INT")
-    df = df.withColumns({"date_of_birth": F.lit("2000-01-01"), "gender": F.lit("F")})
+    df = df.withColumns({"kafka_timestamp": F.lit("2024-01-01").cast("timestamp"), "date_of_birth": F.lit("2000-01-01"), "gender": F.lit("F")})
     found = rows_by(silver.silver_patients(df, "2020-01-01"), "patient_id")
     assert {k: r.cdc_op for k, r in found.items()} == {1: "u", 2: "d"}
     assert found[1].insurance_id is None
@@ -273,7 +275,7 @@ def test_retrieval_end_to_end(notes, marts):
     asked = notes.sparkSession.createDataFrame([("a", "respiratory support wheezes,")], "query_id STRING, embed_text STRING")
     from wardlake.operators.vectors import cosine_topk
 
-    hits = cosine_topk(corpus, retrieval.embed(model, asked), k=2)
+    hits = cosine_topk(corpus, retrieval.embed(model, asked, key="query_id"), k=2)
     found = retrieval.hit_notes(hits, corpus)
     used = retrieval.notes_used(found).orderBy("place").collect()
     assert used[0].patient_id == 2 and used[0].place == 1 and used[0].text.endswith("support...")
@@ -281,7 +283,7 @@ def test_retrieval_end_to_end(notes, marts):
     assert context.startswith("[Patient 2 | NURSING by Nurse C | similarity=")
     assert "| 2024-01-02 09:05]\nwheezes, respiratory support" in context
     people = retrieval.hit_patients(found)
-    lines = retrieval.structured_context(people, marts["patient_summary"], marts["critical_alerts"], few=True)
+    lines = retrieval.structured_context(people, marts["patient_summary"], marts["critical_alerts"])
     found_lines = {(r.section, r.line) for r in lines.filter("patient_id = 2").collect()}
     assert found_lines == {
         ("STRUCTURED DATA", "  Patient 2: age=45 gender=F NEWS2=HIGH SpO2=88.0% HR=118.0bpm SBP=90.0mmHg ICU=1 critical_labs=1"),

@@ -7,10 +7,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wardlake.operators.dedupe import latest_per_key
-from wardlake.operators.joins import hot_keys, join_unique
+from wardlake.operators.joins import join_unique
 from wardlake.operators.merge import change_op, live_rows, merge_changes, merge_into
-from wardlake.operators.vectors import cosine_topk
-from wardlake.plans.retrieval import hit_notes
+from wardlake.operators.vectors import cosine_topk, left_out
 from wardlake.sources.versioned import CommittedTable, bucket_of, upsert_latest, upserted
 
 ROW = "k INT, v STRING, cdc_op STRING, pipeline_ts INT, kafka_offset INT"
@@ -169,27 +168,35 @@ def test_buckets_are_bounded(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("hot_rows", [1, 100, 10_000])
-def test_salted_join_equals_the_plain_join(spark, how, hot_rows):
-    """A third of the rows on one key, and many rows without a key."""
-    many = spark.range(900).select(
+def test_a_hot_key_is_split(spark, how):
+    """A third of the rows on one key, and many rows without a key: the rows are those of a map,
+    and adaptive execution cuts the partitions that the hot ones fall into."""
+    many = spark.range(60_000).select(
         F.col("id").alias("row"),
         F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 10 = 1 THEN NULL ELSE id % 50 END").alias("key"),
     )
     unique = spark.range(5, 40).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
-    salted = join_unique(many, unique, "key", "row", how, hot_rows=hot_rows, salts=4, small_bytes=0)
-    plain = many.join(unique, "key", how)
-    assert salted.columns == plain.columns
-    assert sorted(map(tuple, salted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
-
-
-def test_hot_keys_spread_over_the_salts(spark):
-    many = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("key"))
-    assert [tuple(r) for r in hot_keys(many, "key", 100).collect()] == [(7, True)]
-    assert hot_keys(many, "key", 1000).count() == 0
-    assert hot_keys(many.filter("key < 0"), "key", 1).count() == 0
-    nobody = many.filter("key < 0").withColumn("row", F.lit(1))
-    assert join_unique(nobody, many.distinct(), "key", "row", small_bytes=0).count() == 0
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        joined = join_unique(many.repartition(8), unique, "key", how)
+        found = {(r.row, r.twice) for r in joined.collect()}
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    keys = {i: 7 if i % 3 == 0 else None if i % 10 == 1 else i % 50 for i in range(60_000)}
+    expected = {(i, 2 * k if k is not None and 5 <= k < 40 else None) for i, k in keys.items()}
+    assert found == (expected if how == "left" else {e for e in expected if e[1] is not None})
+    assert "isSkew=true" in plan or "skewed" in plan
 
 
 # Vectors -----------------------------------------------------------------------------
@@ -206,8 +213,8 @@ def brute_force(corpus, queries, k):
     return best
 
 
-@pytest.mark.parametrize("block,part", [(100, 100), (4, 1000), (3, 20)])
-def test_topk_equals_brute_force(spark, block, part):
+@pytest.mark.parametrize("corpus_bytes,query_bytes", [(10**6, 10**6), (10**6, 200), (900, 150)])
+def test_topk_equals_brute_force(spark, corpus_bytes, query_bytes):
     """Copies, a zero vector, and grids of several cells."""
     rng = np.random.default_rng(3)
     corpus = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(60)]
@@ -215,7 +222,7 @@ def test_topk_equals_brute_force(spark, block, part):
     queries = [(i, corpus[i][1]) for i in (5, 6, 7, 8, 9, 10)] + [(99, [0.0] * 6)]
     corpus_df = spark.createDataFrame(corpus, "note_id INT, embedding ARRAY<DOUBLE>").repartition(5)
     queries_df = spark.createDataFrame(queries, "query_id STRING, embedding ARRAY<DOUBLE>")
-    found = cosine_topk(corpus_df, queries_df, k=4, block=block, part=part).collect()
+    found = cosine_topk(corpus_df, queries_df, k=4, corpus_bytes=corpus_bytes, query_bytes=query_bytes).collect()
     expected = brute_force(corpus, [(str(q), v) for q, v in queries], 4)
     assert {(r.query_id, r.note_id) for r in found} == {(q, n) for q, n, _ in expected}
     scores = {(q, n): s for q, n, s in expected}
@@ -231,9 +238,16 @@ def test_topk_of_few_or_no_vectors(spark):
     assert cosine_topk(corpus, longer).count() == 0
 
 
-def test_few_hits_are_broadcast(spark):
-    corpus = spark.createDataFrame([(1, [1.0, 0.0])], "note_id INT, embedding ARRAY<FLOAT>")
-    hits = cosine_topk(corpus, corpus.withColumnRenamed("note_id", "query_id"))
-    notes = spark.range(10**7).select(F.col("id").cast("int").alias("note_id"))
-    plan = hit_notes(hits, notes)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+def test_vectors_that_cannot_be_compared(spark):
+    """The first query is odd, and so are some of the corpus; every good query keeps its k answers."""
+    nan, inf = float("nan"), float("inf")
+    rng = np.random.default_rng(4)
+    good = [(i, [float(x) for x in rng.normal(size=2)]) for i in range(10)]
+    bad = [(100, [None, 1.0]), (101, [nan, 1.0]), (102, [1.0, nan]), (103, [inf, 0.0]), (104, []), (105, None)]
+    other = [(200 + i, [float(i), 1.0, 0.0]) for i in range(4)]
+    corpus = spark.createDataFrame(bad + good + other, "note_id INT, embedding ARRAY<DOUBLE>")
+    queries = spark.createDataFrame([(9, other[1][1])] + bad + [(1, good[0][1]), (2, good[5][1])], "query_id INT, embedding ARRAY<DOUBLE>")
+    found = cosine_topk(corpus, queries, k=3).collect()
+    expected = brute_force(good, [(1, good[0][1]), (2, good[5][1])], 3) | brute_force(other, [(9, other[1][1])], 3)
+    assert {(r.query_id, r.note_id) for r in found} == {(q, n) for q, n, _ in expected}
+    assert {(r.length, r.row_count) for r in left_out(corpus).collect()} >= {(2, 4), (0, 1)}

@@ -63,7 +63,8 @@ def test_strip_fences(frame):
 def test_run_sql(spark, frame):
     frame([(i, None if i % 2 else "x") for i in range(150)], "a INT, b STRING").createOrReplaceTempView("t")
     found = semantic.run_sql(spark, "```sql\nSELECT a, b, b FROM t ORDER BY a -- all\n```")
-    assert found["success"] and found["columns"] == ["a", "b", "b"] and found["count"] == 100
+    assert found["success"] and found["columns"] == ["a", "b", "b"] and found["count"] == 100 and found["truncated"]
+    assert semantic.run_sql(spark, "SELECT a FROM t", rows=150)["truncated"] is False
     assert found["rows"][:2] == [["0", "x", "x"], ["1", "—", "—"]]
 
 
@@ -75,6 +76,11 @@ def test_run_sql(spark, frame):
         "SELECT 1) AS a; DROP VIEW t; SELECT * FROM (SELECT 1",
         "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a",
         "SELECT nothing FROM t",
+        "SELECT * FROM text.`/etc/hostname`",
+        "SELECT * FROM parquet.`/tmp`",
+        "SELECT java_method('java.lang.System', 'getenv', 'HOME') FROM t",
+        "SELECT `reflect`('java.lang.System', 'getenv', 'HOME') FROM t",
+        "SELECT TRY_REFLECT ('java.lang.System', 'getenv', 'HOME') FROM t",
         "",
     ],
 )

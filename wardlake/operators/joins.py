@@ -3,85 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A key is hot from this many rows on; fewer rows fit one shuffle partition well.
-HOT_ROWS = 1_000_000
-# Hot keys that are salted, at most: the bound of the list that is broadcast.
-MAX_HOT_KEYS = 1_000
-# Keys the sketch follows: enough to find every key with more than about 0.1 % of the rows.
-TRACKED_KEYS = 4_096
-# Groups in which the sketches of the scan tasks are merged.
-SKETCH_GROUPS = 256
-SALTS = 64
-# Estimate below which no key can hold more than one task handles well. Frames whose
-# size is unknown are estimated as huge.
-SMALL_BYTES = 1 << 30
 
+def join_unique(many: DataFrame, unique: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join ``many`` to ``unique`` (one row per ``key``).
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's estimate of a frame's size, if it can be asked."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys of ``df``, at most ``MAX_HOT_KEYS`` rows ``(key, _hot)``.
-
-    Frequent-items sketches read the key column once. Sketches, not rows, are shuffled,
-    and those of the scan tasks are merged in groups, so that no task meets them all. They
-    only choose which keys to salt; the join is exact whatever they return.
-    """
-    known = df.filter(F.col(key).isNotNull()).select(
-        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"), key
-    )
-    top = F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {TRACKED_KEYS})")
-    found = known.groupBy("_group").agg(top.alias("_top")).select(F.inline("_top"))
-    counted = found.groupBy("item").agg(F.sum("count").alias("_rows"))
-    heaviest = counted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), "item")
-    return heaviest.limit(MAX_HOT_KEYS).select(
-        F.col("item").alias(key), F.lit(True).alias("_hot")
-    )
-
-
-def join_unique(
-    many: DataFrame,
-    unique: DataFrame,
-    key: str,
-    spread_by: str,
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-    small_bytes: int = SMALL_BYTES,
-) -> DataFrame:
-    """Join ``many`` to ``unique`` (one row per ``key``) without a hot-key task.
-
-    Rows of a hot key are spread over ``salts`` tasks by a hash of ``spread_by`` and
-    the one matching row is copied once per salt. Rows with a NULL key match nothing
-    and are spread too. Every other row keeps salt 0, so nothing else is copied. A
-    ``many`` side below ``small_bytes`` is joined plainly.
+    One plan at every size: a shuffled join, or a broadcast one where Spark measures the unique
+    side as small. A key with a large part of all rows, and the rows without a key, which meet in
+    one partition too, are split by adaptive execution, which copies the one matching row to each
+    part (``spark.sql.adaptive.skewJoin``, on in every session of ``build_session``).
     """
-    size = estimated_bytes(many)
-    if size is not None and size < small_bytes:
-        return many.join(unique, key, how)
-    hot = F.broadcast(hot_keys(many, key, hot_rows))
-    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    salted = (
-        many.join(hot, key, "left")
-        .withColumn(
-            "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0))
-        )
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copied = (
-        unique.filter(F.col(key).isNotNull())
-        .join(hot, key, "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
-    )
-    return salted.join(copied, [key, "_salt"], how).drop("_salt")
+    return many.join(unique, key, how)

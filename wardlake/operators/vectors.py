@@ -2,43 +2,49 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardlake.operators.dedupe import first_per_group
+from wardlake.session import ship_package
 
 # --- Fixed values ------------------------------------------------------------------
 NORM_OFFSET = 1e-10  # added to a norm, so that a zero vector scores 0
 TOP_K = 3
 SCORE_DIGITS = 3
 # ----------------------------------------------------------------------------------
-# Query vectors a task holds at a time; up to this many are sent to every task.
-BLOCK = 1_024
-# Corpus vectors of one cell of the grid that larger query sets are answered on.
-PART = 65_536
+# Bytes of vectors, as doubles, that a cell of the grid holds of either side.
+CORPUS_BYTES = 128 << 20
+QUERY_BYTES = 32 << 20
 # Corpus rows a task scores at a time, which bounds its score matrix.
 SLICE = 2_048
-# Scores are ranked at this precision: equal vectors tie whatever batch they are in.
+# Scores are ranked at this precision: equal vectors tie whatever cell they are in.
 RANK_DIGITS = 12
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def comparable(vector: str = "embedding") -> Column:
+    """Whether a vector can be compared: not empty, all elements known and finite."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, finite), F.lit(False))
+
+
+def left_out(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
+    """``(length, row_count)`` of the vectors that cannot be compared with any."""
+    bad = vectors.filter(~comparable(vector))
+    return bad.groupBy(F.size(vector).alias("length")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     """Equally long vectors as rows of doubles."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _unit(rows: np.ndarray) -> np.ndarray:
+def unit(rows: np.ndarray) -> np.ndarray:
     return rows / (np.linalg.norm(rows, axis=1, keepdims=True) + NORM_OFFSET)
 
 
@@ -60,70 +66,18 @@ def _candidates(found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(found >= limit)
 
 
-def _running_top(query_units: np.ndarray, batches: Iterable, k: int):
-    """Top-k of every query over batches of (ids, vectors): k rows per query are kept."""
+def _top_of_cell(query_units: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
+    """Top-k of every query over a cell: k rows per query are kept while it is scored."""
     best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
-    for ids, vectors in batches:
-        for start in range(0, len(ids), SLICE):
-            part = ids[start : start + SLICE]
-            found = _unit(vectors[start : start + SLICE]) @ query_units.T
-            found = np.round(found, RANK_DIGITS)
-            row, query = _candidates(found, k)
-            seen = (query, found[row, query], part[row])
-            best = _first_k(*[np.r_[old, new] for old, new in zip(best, seen)], k)
+    for start in range(0, len(ids), SLICE):
+        part = ids[start : start + SLICE]
+        found = np.round(unit(vectors[start : start + SLICE]) @ query_units.T, RANK_DIGITS)
+        row, query = _candidates(found, k)
+        seen = (query, found[row, query], part[row])
+        best = _first_k(*[np.r_[old, new] for old, new in zip(best, seen)], k)
     return best
 
 
-def _result(query_ids: pa.Array, best, schema: pa.Schema) -> list[pa.Array]:
-    query, score, ids = best
-    named = query_ids.take(pa.array(query, pa.int64())).cast(schema.field(0).type)
-    return [named, pa.array(ids, schema.field(1).type), pa.array(score, pa.float64())]
-
-
-def _by_broadcast(corpus: DataFrame, queries: pa.Table, k: int, vector: str, out: T.StructType):
-    """Few queries: they travel with the task, the corpus stays where it is."""
-    schema = to_arrow_schema(out)
-    query_ids = queries.column(0).combine_chunks()
-    units = _unit(_matrix(queries.column(1)))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = (
-            (b.column(0).to_numpy(zero_copy_only=False), _matrix(b.column(vector))) for b in batches
-        )
-        best = _running_top(units, arrays, k)
-        if len(best[0]):
-            yield pa.RecordBatch.from_arrays(_result(query_ids, best, schema), schema=schema)
-
-    return corpus.mapInArrow(scan, out)
-
-
-def _by_grid(corpus: DataFrame, queries: DataFrame, k: int, block: int, part: int, out: T.StructType):
-    """Many queries: every cell of a grid of corpus parts and query blocks is one group,
-    of bounded size since both are cut by a hash of their unique ids."""
-    (corpus_id, _), (query_id, _) = corpus.columns, queries.columns
-    blocks = math.ceil(queries.count() / block)
-    parts = max(math.ceil(corpus.count() / part), 1)
-    schema = to_arrow_schema(out)
-
-    def spread(df: DataFrame, own: str, count: int, other: str, copies: int) -> DataFrame:
-        cell = F.pmod(F.xxhash64(df.columns[0]), F.lit(count)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-        return df.withColumn(own, cell).withColumn(other, every)
-
-    def answer(corpus_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        if not corpus_rows.num_rows or not query_rows.num_rows:
-            return schema.empty_table()
-        ids = corpus_rows.column(corpus_id).to_numpy()
-        vectors = _matrix(corpus_rows.column(1))
-        best = _running_top(_unit(_matrix(query_rows.column(1))), [(ids, vectors)], k)
-        names = query_rows.column(query_id).combine_chunks()
-        return pa.Table.from_arrays(_result(names, best, schema), schema=schema)
-
-    cells = spread(corpus, "_part", parts, "_block", blocks).groupBy("_part", "_block")
-    asked = spread(queries, "_block", blocks, "_part", parts).groupBy("_part", "_block")
-    return cells.cogroup(asked).applyInArrow(answer, out)
-
-
 def cosine_topk(
     corpus: DataFrame,
     queries: DataFrame,
@@ -131,23 +85,21 @@ def cosine_topk(
     corpus_id: str = "note_id",
     query_id: str = "query_id",
     vector: str = "embedding",
-    block: int = BLOCK,
-    part: int = PART,
+    corpus_bytes: int = CORPUS_BYTES,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """``(query_id, corpus_id, score)`` of the k nearest corpus vectors of every query.
 
-    Up to ``block`` queries (a look at one more tells) are sent to the tasks, which scan
-    the corpus in place; the result, at most ``block * k`` rows, is marked for broadcast.
-    More queries are answered on a grid of corpus parts and query blocks. Either way a
-    task multiplies whole Arrow batches and gives k rows per query, so no pairs of rows
-    are produced and the last shuffle carries k rows per query and task.
+    Vectors are compared with those of their own length; which cannot be compared at all says
+    ``comparable``, and ``left_out`` counts them. Corpus and queries are answered on a
+    grid: either side is cut, by a hash of its unique ids, into parts of so many bytes,
+    and a task multiplies one part of each. It gives k rows per query, of which every task of the
+    next stage keeps k before the last shuffle; no pairs of rows are produced. The number of
+    parts comes from the counts of each length, which Spark joins to the rows.
 
-    Ids are integers on the corpus side and unique on both. All vectors have the length
-    of the first query's; others are not comparable and are left out.
+    Ids are integers on the corpus side and unique on both.
     """
-    asked = queries.filter(F.size(vector) > 0).select(query_id, vector)
-    few = asked.limit(block + 1).toArrow()
-    bounded = few.num_rows <= block
+    ship_package(corpus.sparkSession)
     out = T.StructType(
         [
             T.StructField(query_id, queries.schema[query_id].dataType),
@@ -155,14 +107,36 @@ def cosine_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    if few.num_rows == 0:
-        return corpus.sparkSession.createDataFrame([], out)
-    dims = len(few.column(1)[0])
-    few = few.filter(pc.equal(pc.list_value_length(few.column(1)), dims))
-    vectors = corpus.filter(F.size(vector) == dims).select(corpus_id, vector)
-    if bounded:
-        partial = _by_broadcast(vectors, few, k, vector, out)
-    else:
-        partial = _by_grid(vectors, asked.filter(F.size(vector) == dims), k, block, part, out)
-    top = first_per_group(partial, [query_id], [F.desc("score"), F.desc(corpus_id)], keep=k)
-    return F.broadcast(top) if bounded else top
+    schema = to_arrow_schema(out)
+    sides = {}
+    for name, frame, own in (("corpus", corpus, corpus_id), ("query", queries, query_id)):
+        known = frame.filter(comparable(vector)).select(F.col(own).alias("_id"), F.col(vector).alias("_vector"))
+        sides[name] = known.withColumn("_length", F.size("_vector"))
+
+    def parts(name: str, cell: int) -> DataFrame:
+        rows = F.count(F.lit(1))
+        count = F.ceil(rows * F.col("_length") * 8 / cell).cast("int").alias(f"{name}_parts")
+        return sides[name].groupBy("_length").agg(count)
+
+    grid = parts("corpus", corpus_bytes).join(parts("query", query_bytes), "_length")
+
+    def spread(name: str, other: str) -> DataFrame:
+        own = F.pmod(F.xxhash64("_id"), F.col(f"{name}_parts")).cast("int").alias(f"{name}_part")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)).alias(f"{other}_part")
+        rows = sides[name].join(grid, "_length").select("_length", "_id", "_vector", own, f"{other}_parts")
+        return rows.select("_length", "_id", "_vector", f"{name}_part", every)
+
+    def answer(corpus_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
+        if not corpus_rows.num_rows or not query_rows.num_rows:
+            return schema.empty_table()
+        ids = corpus_rows.column("_id").to_numpy()
+        vectors = _matrix(corpus_rows.column("_vector"))
+        query, score, found = _top_of_cell(unit(_matrix(query_rows.column("_vector"))), ids, vectors, k)
+        named = query_rows.column("_id").combine_chunks().take(pa.array(query, pa.int64()))
+        columns = [named.cast(schema.field(0).type), pa.array(found, schema.field(1).type), pa.array(score, pa.float64())]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    cell = ["_length", "corpus_part", "query_part"]
+    cells = spread("corpus", "query").groupBy(*cell).cogroup(spread("query", "corpus").groupBy(*cell))
+    partial = cells.applyInArrow(answer, out)
+    return first_per_group(partial, [query_id], [F.desc("score"), F.desc(corpus_id)], keep=k)

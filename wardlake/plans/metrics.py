@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Age from which a mart is stale, and the age of an undated one.
 FRESH_MINUTES = 30
 UNKNOWN_AGE = -1.0
+UNREADABLE = -1
 
 
 def topic_offsets(log: DataFrame) -> DataFrame:
@@ -28,6 +30,18 @@ def topic_totals(log: DataFrame) -> DataFrame:
     )
 
 
+def topic_health(log: DataFrame | None, topics: Iterable[str]) -> DataFrame:
+    """Latest offset and messages of each topic of a captured log (topic, partition, offset); a topic
+    of which nothing can be read has -1 for both."""
+    spark = SparkSession.active() if log is None else log.sparkSession
+    named = spark.createDataFrame([(t,) for t in topics], "topic STRING")
+    empty = spark.createDataFrame([], "topic STRING, latest_offset BIGINT, total_messages BIGINT")
+    found = named.join(empty if log is None else topic_totals(log), "topic", "left")
+    return found.select(
+        "topic", *[F.coalesce(name, F.lit(UNREADABLE)).alias(name) for name in ("latest_offset", "total_messages")]
+    )
+
+
 def _moment(now: dt.datetime | Column | None) -> Column:
     if now is None:
         return F.current_timestamp()

@@ -43,16 +43,16 @@ def women_over_60(summary: DataFrame) -> DataFrame:
     return summary.filter((F.col("gender") == "F") & (F.col("age_years") > SENIOR_AGE))
 
 
-def notes_with_patients(notes: DataFrame, summary: DataFrame, **skew: int) -> DataFrame:
+def notes_with_patients(notes: DataFrame, summary: DataFrame) -> DataFrame:
     """Notes beside the summary of their patient."""
-    return join_unique(notes, summary, "patient_id", "note_id", how="inner", **skew)
+    return join_unique(notes, summary, "patient_id", how="inner")
 
 
-def note_search(notes: DataFrame, summary: DataFrame, keyword: str, **skew: int) -> DataFrame:
+def note_search(notes: DataFrame, summary: DataFrame, keyword: str) -> DataFrame:
     """Notes containing the keyword in any case, with their patients. The search runs
     before the join, so only matching notes are shuffled."""
     found = notes.filter(F.contains(F.lower("note_text"), F.lit(keyword.lower())))
-    return notes_with_patients(found, summary, **skew)
+    return notes_with_patients(found, summary)
 
 
 def notes_by_author(notes: DataFrame, top: int = 1) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, Tokenizer
-from pyspark.ml.functions import vector_to_array
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlake.operators.vectors import SCORE_DIGITS
+from wardlake.operators.vectors import SCORE_DIGITS, TOP_K, cosine_topk
 
 # Fixed value: characters of a note that an answer cites.
 PREVIEW_CHARS = 200
+# Length of the vectors of hashed words.
+DIMS = 256
 
 
 def _shown(value: Column | str) -> Column:
@@ -31,22 +32,78 @@ def note_text(notes: DataFrame) -> DataFrame:
     return notes.withColumn("embed_text", text)
 
 
-def fit_embedder(texts: DataFrame, column: str = "embed_text", dims: int = 256) -> PipelineModel:
-    """Weighted word counts hashed to ``dims`` numbers, fitted on the notes. A model from
-    elsewhere can be used instead: retrieval only needs a vector column."""
-    stages = [
-        Tokenizer(inputCol=column, outputCol="_words"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dims),
-        IDF(inputCol="_counts", outputCol="_weights"),
-        Normalizer(inputCol="_weights", outputCol="_unit", p=2.0),
-    ]
-    return Pipeline(stages=stages).fit(texts)
+def _counts(texts: DataFrame, key: str, column: str, dims: int) -> DataFrame:
+    """How often the words of a text fall into each of ``dims`` buckets: (key, bucket, n)."""
+    words = F.explode(F.array_remove(F.split(F.lower(column), r"\s+"), ""))
+    number = F.conv(F.substring(F.md5("_word"), 1, 8), 16, 10).cast("bigint")
+    bucket = F.pmod(number, F.lit(dims)).cast("int").alias("bucket")
+    return texts.select(key, words.alias("_word")).groupBy(key, bucket).agg(F.count(F.lit(1)).alias("n"))
+
+
+@dataclass(frozen=True)
+class Embedder:
+    """Weights of the buckets (bucket, weight): at most ``dims`` rows."""
+
+    weights: DataFrame
+    dims: int
 
 
-def embed(model: PipelineModel, texts: DataFrame) -> DataFrame:
-    """The texts with an ``embedding`` array column."""
-    vectors = model.transform(texts).withColumn("embedding", vector_to_array("_unit", "float32"))
-    return vectors.drop("_words", "_counts", "_weights", "_unit")
+def fit_embedder(texts: DataFrame, column: str = "embed_text", dims: int = DIMS, key: str = "note_id") -> Embedder:
+    """Smoothed inverse document frequencies of hashed words. Any other source of a vector column can
+    be used instead: retrieval needs nothing else."""
+    counts = _counts(texts, key, column, dims)
+    total = texts.agg(F.count(F.lit(1)).alias("total"))
+    seen = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("seen"))
+    weight = F.log((F.col("total") + 1) / (F.col("seen") + 1)) + 1
+    # One row beside at most ``dims`` rows.
+    return Embedder(seen.join(F.broadcast(total)).select("bucket", weight.alias("weight")), dims)
+
+
+def bucket_weights(model: Embedder, texts: DataFrame, column: str = "embed_text", key: str = "note_id") -> DataFrame:
+    """(key, bucket, value) of the texts' vectors, whose length is 1; zeros are left out. Buckets
+    that no fitted text had weigh nothing."""
+    counts = _counts(texts, key, column, model.dims)
+    weighted = counts.join(F.broadcast(model.weights), "bucket").select(
+        key, "bucket", (F.col("n") * F.col("weight")).alias("value")
+    )
+    entries = weighted.groupBy(key).agg(
+        F.collect_list(F.struct("bucket", "value")).alias("entries"), F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm")
+    )
+    return entries.select(key, "norm", F.inline("entries")).select(key, "bucket", (F.col("value") / F.col("norm")).alias("value"))
+
+
+def embed(model: Embedder, texts: DataFrame, column: str = "embed_text", key: str = "note_id") -> DataFrame:
+    """The texts with an ``embedding`` array column of unit length, or zeros without a known word.
+    Store it: a search then only multiplies."""
+    values = bucket_weights(model, texts, column, key).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("bucket", "value"))).alias("_values")
+    )
+    at = F.sequence(F.lit(0), F.lit(model.dims - 1))
+    vector = F.transform(at, lambda i: F.coalesce(F.try_element_at("_values", i), F.lit(0.0)))
+    return texts.join(values, key, "left").withColumn("embedding", vector.cast("array<float>")).drop("_values")
+
+
+def retrieve(
+    corpus: DataFrame, asked: DataFrame, model: Embedder, summary: DataFrame, alerts: DataFrame, folder: str, k: int = TOP_K
+) -> dict[str, DataFrame]:
+    """From questions (query_id, embed_text) to hits, patients, notes used and both contexts.
+
+    ``corpus`` are notes with stored vectors. The hits are written once below ``folder``, since every
+    part of an answer starts from them.
+    """
+    spark = corpus.sparkSession
+    hits = cosine_topk(corpus, embed(model, asked, key="query_id"), k)
+    found = hit_notes(hits, corpus.drop("embedding"))
+    found.write.mode("overwrite").parquet(f"{folder}/hits")
+    found = spark.read.schema(found.schema).parquet(f"{folder}/hits")
+    people = hit_patients(found)
+    return {
+        "hits": found.select("query_id", "place", "note_id", "score"),
+        "patients": people,
+        "notes": notes_used(found),
+        "note_context": note_context(found),
+        "structured_context": structured_context(people, summary, alerts),
+    }
 
 
 def hit_notes(hits: DataFrame, notes: DataFrame) -> DataFrame:
@@ -55,7 +112,6 @@ def hit_notes(hits: DataFrame, notes: DataFrame) -> DataFrame:
         Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("note_id"))
     )
     ranked = hits.withColumn("place", place)
-    # Hits of few questions keep the broadcast mark of the search: the notes stay in place.
     found = notes.join(ranked, "note_id")
     return found.withColumn("score", F.round("score", SCORE_DIGITS))
 
@@ -90,18 +146,17 @@ def note_context(found: DataFrame) -> DataFrame:
     return blocks.groupBy("query_id").agg(F.array_join(ordered, "\n\n").alias("context"))
 
 
+# The wording of the lines below, which readers of an answer parse.
 def structured_context(
-    patients: DataFrame, summary: DataFrame, alerts: DataFrame, few: bool = False
+    patients: DataFrame, summary: DataFrame, alerts: DataFrame
 ) -> DataFrame:
     """One line per summary row and per alert of the given patients.
 
     Lines stay rows: a patient may have any number of alerts, and a reader sorts by
-    section and key. ``patients`` holds the ids found by a search; when they come from
-    ``few`` questions (one block of the search), their list is broadcast.
+    section and key. ``patients`` holds the ids found by a search; it is read twice, so it
+    should be stored.
     """
     ids = patients.select("patient_id").distinct()
-    if few:
-        ids = F.broadcast(ids)
     of_patient = F.concat(F.lit("  Patient "), _shown("patient_id"), F.lit(": "))
     about = F.concat(
         of_patient,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,6 +160,10 @@ def strip_fences(text: Column) -> Column:
     return strip_blanks(bare)
 
 
+SQL_ON_FILES = "spark.sql.runSQLOnFiles"
+JVM_CALLS = re.compile(r"(?i)\b(java_method|reflect|try_reflect)\b")
+
+
 def clean_sql(text: Column) -> Column:
     """The answer without fence lines and prose lines; the fenced content stays."""
 
@@ -180,16 +186,24 @@ def clean_responses(responses: DataFrame, text: str = "response") -> DataFrame:
     )
 
 
-def select_only(spark: SparkSession, sql: str, rows: int = ANSWER_ROWS) -> DataFrame:
-    """The first rows of a query. The text is placed in a subquery, where Spark's own
-    grammar admits nothing but a query: no DDL, no insert, no second statement."""
+def select_only(spark: SparkSession, sql: str) -> DataFrame:
+    """A query over registered views. The text is placed in a subquery, where Spark's own
+    grammar admits nothing but a query: no DDL, no insert, no second statement. Functions that
+    call into the JVM are refused, and paths are not read as tables."""
     query = sql.strip().rstrip(";")
-    return spark.sql(f"SELECT * FROM (\n{query}\n) AS answer").limit(rows)
+    if called := JVM_CALLS.search(query.replace("`", "")):
+        raise ValueError(f"{called[0]} is not allowed")
+    before = spark.conf.get(SQL_ON_FILES)
+    spark.conf.set(SQL_ON_FILES, "false")
+    try:
+        return spark.sql(f"SELECT * FROM (\n{query}\n) AS answer")
+    finally:
+        spark.conf.set(SQL_ON_FILES, before)
 
 
 def answer_rows(spark: SparkSession, sql: str, rows: int = ANSWER_ROWS) -> DataFrame:
-    """The answer as text columns, with a dash for NULL."""
-    found = select_only(spark, sql, rows)
+    """The first rows of the answer as text columns, with a dash for NULL."""
+    found = select_only(spark, sql).limit(rows)
     places = [f"_c{i}" for i in range(len(found.columns))]  # two columns may share a name
     texts = [
         F.coalesce(F.col(place).cast("string"), F.lit(MISSING)).alias(name)
@@ -199,17 +213,19 @@ def answer_rows(spark: SparkSession, sql: str, rows: int = ANSWER_ROWS) -> DataF
 
 
 def run_sql(spark: SparkSession, sql: str, rows: int = ANSWER_ROWS) -> dict:
-    """One SQL text run on the registered views. An error is returned, not raised."""
+    """One SQL text run on the registered views: the first ``rows`` rows, and whether the answer
+    was ``truncated`` there. An error is returned, not raised."""
     text = sql.replace("```sql", "").replace("```", "").strip()
     try:
-        found = answer_rows(spark, text, rows)
-        lines = [list(row) for row in found.collect()]  # at most ``rows``
+        found = answer_rows(spark, text, rows + 1)
+        lines = [list(row) for row in found.collect()]  # at most one more than ``rows``
     except (PySparkException, ValueError) as error:
         return {"success": False, "error": str(error), "sql": ""}
     return {
         "success": True,
         "sql": text,
         "columns": found.columns,
-        "rows": lines,
-        "count": len(lines),
+        "rows": lines[:rows],
+        "count": min(len(lines), rows),
+        "truncated": len(lines) > rows,
     }

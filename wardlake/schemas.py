@@ -31,19 +31,12 @@ METRIC_ROW = T.StructType(
 )
 
 
-_TYPES = {
-    "BIGINT": T.LongType(),
-    "INT": T.IntegerType(),
-    "DOUBLE": T.DoubleType(),
-    "STRING": T.StringType(),
-}
+_LONG, _INT, _DOUBLE, _TEXT = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 
 
-def _struct(columns: str) -> T.StructType:
-    """Columns written as ``name TYPE, ...``, followed by the two change marks."""
-    declared = [column.split() for column in columns.split(",")]
-    marks = [["__op", "STRING"], ["__deleted", "STRING"]]
-    return T.StructType([T.StructField(n, _TYPES[kind]) for n, kind in declared + marks])
+def _wire(*fields: T.StructField) -> T.StructType:
+    """The fields of a table, followed by the two change marks."""
+    return T.StructType([*fields, T.StructField("__op", _TEXT), T.StructField("__deleted", _TEXT)])
 
 
 @dataclass(frozen=True)
@@ -63,44 +56,79 @@ class SourceTable:
         return TOPIC_PREFIX + self.name
 
 
+# The columns of the source tables on the wire.
 PATIENTS = SourceTable(
     "patients",
     "patient_id",
-    _struct(
-        "patient_id BIGINT, mrn STRING, first_name STRING, last_name STRING,"
-        " date_of_birth STRING, gender STRING, ssn STRING, phone STRING, email STRING,"
-        " address STRING, insurance_id STRING, created_at STRING, updated_at STRING"
+    _wire(
+        T.StructField("patient_id", _LONG),
+        T.StructField("mrn", _TEXT),
+        T.StructField("first_name", _TEXT),
+        T.StructField("last_name", _TEXT),
+        T.StructField("date_of_birth", _TEXT),
+        T.StructField("gender", _TEXT),
+        T.StructField("ssn", _TEXT),
+        T.StructField("phone", _TEXT),
+        T.StructField("email", _TEXT),
+        T.StructField("address", _TEXT),
+        T.StructField("insurance_id", _TEXT),
+        T.StructField("created_at", _TEXT),
+        T.StructField("updated_at", _TEXT),
     ),
 )
 
 ADT_EVENTS = SourceTable(
     "adt_events",
     "event_id",
-    _struct(
-        "event_id BIGINT, patient_id BIGINT, event_type STRING, event_timestamp BIGINT,"
-        " facility_id STRING, ward STRING, bed_number STRING, attending_doctor STRING,"
-        " reason STRING, created_at BIGINT"
+    _wire(
+        T.StructField("event_id", _LONG),
+        T.StructField("patient_id", _LONG),
+        T.StructField("event_type", _TEXT),
+        T.StructField("event_timestamp", _LONG),
+        T.StructField("facility_id", _TEXT),
+        T.StructField("ward", _TEXT),
+        T.StructField("bed_number", _TEXT),
+        T.StructField("attending_doctor", _TEXT),
+        T.StructField("reason", _TEXT),
+        T.StructField("created_at", _LONG),
     ),
 )
 
 LAB_RESULTS = SourceTable(
     "lab_results",
     "result_id",
-    _struct(
-        "result_id BIGINT, patient_id BIGINT, order_id STRING, test_code STRING,"
-        " test_name STRING, result_value STRING, unit STRING, reference_range STRING,"
-        " abnormal_flag STRING, collected_at BIGINT, resulted_at BIGINT,"
-        " ordering_provider STRING, created_at BIGINT"
+    _wire(
+        T.StructField("result_id", _LONG),
+        T.StructField("patient_id", _LONG),
+        T.StructField("order_id", _TEXT),
+        T.StructField("test_code", _TEXT),
+        T.StructField("test_name", _TEXT),
+        T.StructField("result_value", _TEXT),
+        T.StructField("unit", _TEXT),
+        T.StructField("reference_range", _TEXT),
+        T.StructField("abnormal_flag", _TEXT),
+        T.StructField("collected_at", _LONG),
+        T.StructField("resulted_at", _LONG),
+        T.StructField("ordering_provider", _TEXT),
+        T.StructField("created_at", _LONG),
     ),
 )
 
 VITALS = SourceTable(
     "vitals",
     "vital_id",
-    _struct(
-        "vital_id BIGINT, patient_id BIGINT, heart_rate INT, systolic_bp INT,"
-        " diastolic_bp INT, temperature DOUBLE, spo2 INT, respiratory_rate INT,"
-        " recorded_at BIGINT, recorded_by STRING, created_at BIGINT"
+    _wire(
+        T.StructField("vital_id", _LONG),
+        T.StructField("patient_id", _LONG),
+        T.StructField("heart_rate", _INT),
+        T.StructField("systolic_bp", _INT),
+        T.StructField("diastolic_bp", _INT),
+        T.StructField("temperature", _DOUBLE),
+        T.StructField("spo2", _INT),
+        T.StructField("respiratory_rate", _INT),
+        T.StructField("recorded_at", _LONG),
+        T.StructField("recorded_by", _TEXT),
+        T.StructField("created_at", _LONG),
     ),
 )
 

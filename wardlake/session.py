@@ -9,8 +9,10 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-# Skewed joins and small partitions are left to adaptive execution; the number
-# of shuffle partitions is therefore an upper bound, not a tuned value.
+# Adaptive execution joins small shuffle partitions and splits skewed ones of joins, but it never
+# makes more of them: a shuffle starts with as many as its size may need.
+SHUFFLE_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITION_BYTES = 128 << 20
 BASE_OPTIONS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -34,10 +36,15 @@ def build_session(
     app_name: str,
     master: str | None = None,
     object_store_endpoint: str | None = None,
+    shuffle_bytes: int | None = None,
     **options: str,
 ) -> SparkSession:
     """Create or reuse a session. Credentials come from the environment or the
-    cluster's own configuration, never from code."""
+    cluster's own configuration, never from code.
+
+    ``shuffle_bytes`` is the size of the largest shuffle to be expected; from it follows the
+    number of partitions that every shuffle starts with.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -49,6 +56,8 @@ def build_session(
             merged["spark.hadoop.fs.s3a.aws.credentials.provider"] = (
                 "com.amazonaws.auth.EnvironmentVariableCredentialsProvider"
             )
+    if shuffle_bytes:
+        merged[SHUFFLE_PARTITIONS] = str(max(200, -(-shuffle_bytes // PARTITION_BYTES)))
     merged |= {k.replace("__", "."): v for k, v in options.items()}
     for key, value in merged.items():
         builder = builder.config(key, value)

@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from wardlake.operators.dedupe import latest_per_key
 
 BUCKET = "bucket"
+_SHARE = "_share"
 # Keys are serial numbers, so neighbouring keys are neighbours in time. A bucket takes
 # runs of SPAN keys: a batch of recent changes touches few buckets. The modulus bounds
-# the number of buckets. One task writes one bucket: choose BUCKETS so that a bucket
-# stays near a gigabyte.
+# the number of buckets. Within a bucket, rows are dealt to SHARES tasks by a hash of the
+# key, so that a batch of recent changes, all in one or two buckets, uses as many; adaptive
+# execution joins shares that are small.
 SPAN = 1_000_000
 BUCKETS = 16_384
+SHARES = 1_024
 
 _COMMIT = re.compile(r"commit=(\d{10})(?:\.(.+))?$")
 
@@ -132,8 +135,10 @@ def upserted(
     rows = rows.withColumn(BUCKET, bucket)
     if existing is not None:
         rows = existing.unionByName(rows, allowMissingColumns=True)
-    # One shuffle by bucket serves both the window and the partitioned write.
-    return latest_per_key(rows.repartition(BUCKET), [BUCKET, key], newest_by)
+    # One shuffle by bucket and share serves both the window and the partitioned write.
+    shared = rows.withColumn(_SHARE, F.pmod(F.xxhash64(key), F.lit(SHARES)))
+    latest = latest_per_key(shared.repartition(BUCKET, _SHARE), [BUCKET, _SHARE, key], newest_by)
+    return latest.drop(_SHARE)
 
 
 def upsert_latest(
