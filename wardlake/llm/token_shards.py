@@ -43,14 +43,17 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         bits = max(1, int(ids.max(initial=0)).bit_length())
+        ids = narrow(ids, bits)
         zeros, planes, before = [], [], []
         for level in range(bits - 1, -1, -1):
-            bit = (ids >> level) & 1 == 1
-            planes.append(np.packbits(bit).tobytes())
-            blocks = np.add.reduceat(bit, np.arange(0, len(bit), BLOCK), dtype=np.int64) if len(bit) else []
+            bit = ids & ids.dtype.type(1 << level) != 0
+            packed = np.packbits(bit)
+            ones = np.bitwise_count(packed).astype("<u4")
+            blocks = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK // 8)) if len(ones) else ones
+            planes.append(packed.tobytes())
             before.append(np.concatenate([[0], np.cumsum(blocks)]).astype("<u4").tobytes())
-            zeros.append(int(len(ids) - bit.sum()))
-            ids = np.concatenate([ids[~bit], ids[bit]])
+            ids = np.concatenate([ids.take(np.flatnonzero(~bit)), ids.take(np.flatnonzero(bit))])
+            zeros.append(len(ids) - int(ones.sum()))
         return cls(len(ids), zeros, planes, before)
 
     def ones(self, level: int, at: int) -> int:
@@ -111,16 +114,20 @@ class WaveletMatrix:
 
     def all(self) -> np.ndarray:
         """Every id, in order: the planes are undone from the last to the first."""
-        ids = np.zeros(self.length, np.uint32)
+        ids = narrow(np.zeros(self.length, np.uint32), len(self.zeros))
         for level in range(len(self.zeros) - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.length).view(bool)
             above = np.empty_like(ids)
-            above[~bit] = ids[: self.zeros[level]]
-            above[bit] = ids[self.zeros[level] :] | np.uint32(1 << (len(self.zeros) - 1 - level))
+            above[np.flatnonzero(~bit)] = ids[: self.zeros[level]]
+            above[np.flatnonzero(bit)] = ids[self.zeros[level] :] | ids.dtype.type(1 << (len(self.zeros) - 1 - level))
             ids = above
         return ids
 
 
+def narrow(ids: np.ndarray, bits: int) -> np.ndarray:
+    return ids.astype(np.uint16 if bits <= 16 else np.uint32)
+
+
 def of_row(row) -> WaveletMatrix:
     return WaveletMatrix(row["n_tokens"], row["zeros"], row["planes"], row["ones_before"])
 
