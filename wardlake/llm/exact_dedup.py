@@ -20,8 +20,14 @@ from pyspark.sql import functions as F
 from wardlake.llm.base import written
 from wardlake.session import run_folder
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STORE = "spark.sql.streaming.stateStore"
+#: State on disk; batches save what they changed, and files are not given room in advance, which for
+#: many small stores would be most of their size.
+STATE_OPTIONS = {
+    f"{STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{STORE}.rocksdb.allowFAllocate": "false",
+}
 #: Bytes of files that one core takes in a micro-batch.
 BATCH_BYTES_PER_CORE = 64 << 20
 
@@ -44,8 +50,9 @@ def update_state(stream: DataFrame, checkpoint: str, digest: Callable[[Column],
     ``stream`` is a file stream with doc_id and text.
     """
     spark = stream.sparkSession
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {option: spark.conf.get(option, None) for option in STATE_OPTIONS}
+    for option, value in STATE_OPTIONS.items():
+        spark.conf.set(option, value)
     try:
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         keyed = stream.select(
@@ -65,7 +72,8 @@ def update_state(stream: DataFrame, checkpoint: str, digest: Callable[[Column],
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for option, value in before.items():
+            spark.conf.unset(option) if value is None else spark.conf.set(option, value)
     value = spark.read.format("statestore").load(checkpoint).select("key.digest", "value.*")
     _, keeper, size = value.columns  # the buffers of max and count, in the order of the aggregates
     return value.select(
