@@ -6,6 +6,7 @@ import contextlib
 import json
 import os
 import sys
+import tempfile
 import time
 
 from checks.registry import registered
@@ -30,7 +31,8 @@ def main() -> None:
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
     }
-    with contextlib.redirect_stdout(sys.stderr):
+    with contextlib.redirect_stdout(sys.stderr), tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        options["spark.checkpoint.dir"] = f"file://{shared}"
         spark = build_session("bench", f"local[{cpus}]", **options)
         spark.sparkContext.setLogLevel("ERROR")
         all_queries = registered()

@@ -150,6 +150,23 @@ def test_upsert_reads_touched_buckets_and_shuffles_twice(spark, frame, tmp_path)
     assert plan.count("Exchange ") == 2
 
 
+def test_one_bucket_is_the_work_of_many_tasks(spark, frame):
+    """Recent keys share a bucket; with small shares left apart, they still reach many partitions."""
+    changes = spark.range(4000).select(
+        F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("c").alias("cdc_op"), F.lit(1).alias("pipeline_ts"), F.lit(1).alias("kafka_offset")
+    )
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        content = upserted(None, changes, "k", ["pipeline_ts"], bucket_of("k"))
+        used = content.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("bucket").alias("b"), F.count("*").alias("n")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(used) == 16 and {r.b for r in used} == {1} and sum(r.n for r in used) == 4000
+
+
 def test_new_columns_appear_as_null_in_old_buckets(spark, frame, tmp_path):
     table = CommittedTable(spark, str(tmp_path / "t"))
     upsert_latest(table, frame([(1, "a", "c", 1, 1), (11, "a", "c", 1, 1)], ROW), "k", ["pipeline_ts"], span=10, buckets=8)
