@@ -23,5 +23,4 @@ def test_query_agrees_with_sql(spark, connection, name):
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(ORACLE_SQL) <= set(registered())
-    assert set(registered()) - set(ORACLE_SQL) == {"rag_embed"}
+    assert set(registered()) == set(ORACLE_SQL)
