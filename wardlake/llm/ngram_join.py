@@ -4,8 +4,9 @@ Two sets link when ``100 * |x & y| >= 75 * |x | y|``. Equal sets are one class a
 
 1. *Shared shingles.* A shingle that no other class has lies in no intersection, and a linked set has
    at most a quarter of its shingles outside the other. Classes with more private shingles than
-   that are set aside: first judged by three eighths of the shingle domain, where a class
-   with two thirds private shingles shows already, then, among those left, by all of it.
+   that are set aside: first judged by five sixteenths of the shingle domain, where a class
+   with four fifths private shingles shows already, then, among those left, by all of it and only
+   against classes of sizes that can link.
 2. *Signatures.* Sizes fall into bands, each up to a third above the one below, so that linked sets
    lie in the same band or in neighbouring ones; a set takes part in its own band and the next. In
    a band whose sets have at most ``r`` shingles, linked sets differ in at most ``k = 2r/7`` places. The
@@ -14,10 +15,10 @@ Two sets link when ``100 * |x & y| >= 75 * |x | y|``. Equal sets are one class a
    them at most ``k2`` parts differ, and some choice of ``n2 - k2`` parts is equal and not empty:
    every such choice is enumerated, and its content is a signature. The condition is counted for
    every set; should a set miss it, all are cut again by another hash.
-3. *Verification.* Every set is first compared with one other, the least that it shares a signature
-   with. Signature groups within one component then are done. In the others, sets of
-   different components that have not been compared are, until all that share a signature
-   have been compared or are connected.
+3. *Verification.* Of the signatures that exactly the same sets share, one is kept. Every set is first
+   compared with one other of the smallest group that it is in. Signature groups within one component then are done. In the others, sets of
+   different components that have not been compared are, unless their sizes or the parities of their
+   sketches show that they differ in too many shingles.
 4. *Components.* Least labels by alternating stars, as tables.
 
 No group of equal sets or of a hot signature is expanded into pairs within a component.
@@ -40,9 +41,16 @@ from wardlake.llm.hashing import Words, as_arrays, as_lists, column_bytes, mixed
 from wardlake.session import run_folder
 
 WORDS = 5
-#: Eighths of the shingle domain that the first look at private shingles takes.
-FIRST_EIGHTHS = 3
+#: Sixteenths of the shingle domain that the first look at private shingles takes.
+FIRST_SIXTEENTHS = 5
+#: Further looks, and rounds of one comparison per set.
+LOOKS = 2
 HOOKS = 2
+#: Longs of a set's sketch: one bit for the parity of each of 64 times as many parts of the domain.
+SKETCH = 16
+#: Bits of the filter that keeps most rows without likely sets from being shuffled: 4 MB. Being full
+#: only lets more rows through.
+FILTER_BITS = 1 << 25
 _U = np.uint64
 def shingle_sets(column: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     """The sorted set of 64-bit shingle hashes of every text of an Arrow string array."""
@@ -76,22 +84,49 @@ def fingerprints(found: list[np.ndarray]) -> list[bytes]:
     ]
 
 
-def sets_of(docs: DataFrame, content: str = "") -> DataFrame:
-    """doc_id, key (16 bytes), n_shingles and, as ``content`` says, ``shingles``: none, the "sample"
-    for the first look, or the whole set ("shingles")."""
-    schema = "doc_id long, key binary, n_shingles long" + (", shingles array<long>" if content else "")
+def places_of(doc_ids: pa.Array) -> list[np.ndarray]:
+    """Two bits of the filter for every doc_id; null counts as 0."""
+    hashes = mixed(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).view(_U), 21)
+    return [(hashes >> _U(shift)) % _U(FILTER_BITS) for shift in (0, 32)]
+
+
+def filter_of(rows: DataFrame) -> np.ndarray:
+    """The filter of the doc_ids of ``rows``, as 64-bit words: at most FILTER_BITS / 64 rows reach
+    the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.concatenate(places_of(batch.column("doc_id")))
+            masks = (_U(1) << (place % _U(64))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((place >> _U(6)).astype(np.int32)), pa.array(masks)], ["word", "mask"])
+
+    words = rows.select("doc_id").mapInArrow(run, "word int, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    found, out = words.toArrow(), np.zeros(FILTER_BITS // 64, _U)
+    out[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(_U)
+    return out
+
+
+def sets_of(docs: DataFrame, content: str = "", passing=None) -> DataFrame:
+    """doc_id, key (16 bytes), short (8 of them), n_shingles and, as ``content`` says, ``shingles``: none, the
+    "sample" for the first look, or the whole set ("shingles"). ``passing``: a broadcast filter of doc_ids."""
+    schema = "doc_id long, key binary, short long, n_shingles long" + (", shingles array<long>" if content else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
+                if passing is not None:
+                    in_word = [(passing.value[p >> _U(6)] >> (p % _U(64))) & _U(1) for p in places_of(batch.column("doc_id"))]
+                    batch = batch.filter(pa.array((in_word[0] & in_word[1]).astype(bool)))
                 found = shingle_sets(batch.column("text"))
+                keys = fingerprints(found)
                 columns = {
                     "doc_id": batch.column("doc_id"),
-                    "key": pa.array(fingerprints(found), pa.binary()),
+                    "key": pa.array(keys, pa.binary()),
+                    "short": pa.array(np.frombuffer(b"".join(k[:8] for k in keys), np.int64)),
                     "n_shingles": pa.array([len(s) for s in found], pa.int64()),
                 }
                 if content == "sample":
-                    columns["shingles"] = as_lists([s[: np.searchsorted(s, _U(FIRST_EIGHTHS << 61))] for s in found])
+                    columns["shingles"] = as_lists([s[: np.searchsorted(s, _U(FIRST_SIXTEENTHS << 60))] for s in found])
                 elif content == "shingles":
                     columns["shingles"] = as_lists(found)
                 yield pa.RecordBatch.from_pydict(columns)
@@ -99,21 +134,30 @@ def sets_of(docs: DataFrame, content: str = "") -> DataFrame:
     return texts(docs).mapInArrow(run, schema)
 
 
-def without_private(classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Classes (key, short, n_shingles, ...) with at most a quarter of private shingles among
-    ``rows`` (short, shingle): shingles, each with 8 bytes of the class that has it."""
-    private = (
-        rows.groupBy("shingle")
-        .agg(F.min("short").alias("short"), F.max("short").alias("other"))
-        .where("short = other")
-        .groupBy("short")
-        .agg(F.count(F.lit(1)).alias("private"))
-    )
-    return classes.join(private, "short", "left").where("4 * coalesce(private, 0) <= n_shingles").drop("private")
+def without_private(classes: DataFrame, private: DataFrame, by: str) -> DataFrame:
+    """Classes with at most a quarter of their shingles in ``private`` (by, ...; a row for each)."""
+    n = private.groupBy(by).agg(F.count(F.lit(1)).alias("private"))
+    return classes.join(n, by, "left").where("4 * coalesce(private, 0) <= n_shingles").drop("private")
+
+
+def alone(rows: DataFrame, holder: str, *group: str) -> DataFrame:
+    """``holder`` and ``group`` of those groups of ``rows`` that only one holder is in. A hot group
+    sends one row per task."""
+    least = rows.groupBy(*group).agg(F.min(holder).alias(holder), F.max(holder).alias("other"))
+    return least.where(f"{holder} = other").drop("other")
 
 
-def short(key: str = "key"):
-    return F.xxhash64(key).alias("short")
+def without_private_in_bands(sets: DataFrame) -> DataFrame:
+    """``sets`` (cls, n_shingles, shingles) without those of mostly private shingles, where only
+    sets of the same and neighbouring bands count as others: both groups of a shingle, for the
+    set's own band and the next, must have no one else."""
+    ends = F.array(*map(F.lit, band_ends()))
+    band = F.size(F.filter(ends, lambda end: end < F.col("n_shingles")))
+    rows = sets.select("cls", "shingles", band.alias("band")).select("cls", "band", F.explode("shingles").alias("shingle"))
+    both = rows.select("cls", "shingle", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    private = alone(both, "cls", "shingle", "band").groupBy("cls", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n = 2")
+    left = without_private(sets.select("cls", "n_shingles"), private, "cls")
+    return sets.join(left.select("cls"), "cls")
 
 
 @functools.lru_cache(maxsize=4096)
@@ -171,25 +215,55 @@ def signatures(shingles: np.ndarray, seed: int = 0) -> tuple[np.ndarray, bool]:
     return np.unique(np.concatenate(out)), safe
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of a set in parts of the domain. Two sketches differ in at most as many bits as the
+    sets in shingles."""
+    counts = np.bincount((mixed(shingles, 400) % _U(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits(counts & 1 == 1).view(_U)
+
+
 def signed(sets: DataFrame, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [signatures(shingles, seed) for shingles in as_arrays(batch.column("shingles"))]
+            arrays = as_arrays(batch.column("shingles"))
+            found = [signatures(shingles, seed) for shingles in arrays]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("key"), batch.column("n_shingles"), pa.array([safe for _, safe in found], pa.bool_()),
-                    as_lists([signed for signed, _ in found]),
+                    batch.column("cls"), batch.column("n_shingles"), pa.array([safe for _, safe in found], pa.bool_()),
+                    as_lists([signed for signed, _ in found]), as_lists([sketch(shingles) for shingles in arrays]),
                 ],
-                ["key", "n_shingles", "safe", "signatures"],
+                ["cls", "n_shingles", "safe", "signatures", "sketch"],
             )
 
-    return sets.select("key", "n_shingles", "shingles").mapInArrow(
-        run, "key binary, n_shingles long, safe boolean, signatures array<long>"
+    return sets.select("cls", "n_shingles", "shingles").mapInArrow(
+        run, "cls long, n_shingles long, safe boolean, signatures array<long>, sketch array<long>"
     )
 
 
+def measures(table: DataFrame) -> DataFrame:
+    words = [F.element_at("sketch", i + 1).alias(f"s{i}") for i in range(SKETCH)]
+    return table.select("cls", "n_shingles", *words)
+
+
+#: Whether the sizes and sketches of two sets, a and b, leave it open that they link.
+LINKABLE = (
+    "4 * least(a_n_shingles, b_n_shingles) >= 3 * greatest(a_n_shingles, b_n_shingles) and 7 * ("
+    + " + ".join(f"bit_count(a_s{i} ^ b_s{i})" for i in range(SKETCH))
+    + ") <= a_n_shingles + b_n_shingles"
+)
+
+
+def may_link(pairs: DataFrame, table: DataFrame, *ends: str) -> DataFrame:
+    """Those of ``pairs`` whose two classes, in the columns ``ends``, may link."""
+    found = pairs
+    for x, end in zip("ab", ends, strict=True):
+        own = measures(table)
+        found = found.join(own.select([F.col(c).alias(end if c == "cls" else f"{x}_{c}") for c in own.columns]), end)
+    return found.where(LINKABLE).select(pairs.columns)
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b: keys) with ``link``: whether their sets link."""
+    """``pairs`` (a, b: classes) with ``link``: whether their sets link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,14 +276,14 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 links.append(100 * shared >= 75 * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(links, pa.bool_())], ["a", "b", "link"])
 
-    a, b = (sets.select(F.col("key").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
+    a, b = (sets.select(F.col("cls").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
     return pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(
-        run, "a binary, b binary, link boolean"
+        run, "a long, b long, link boolean"
     )
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
-    """key and component (the least key connected with it) of every end of ``edges`` (a, b).
+    """cls and component (the least class connected with it) of every end of ``edges`` (a, b).
 
     Alternating stars: every node points its larger neighbours, then its smaller ones, to the least
     of them, until nothing changes.
@@ -244,15 +318,15 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         if after == before:
             break
         before = after
-    found = current.select(F.col("a").alias("key"), F.col("b").alias("component"))
-    roots = current.select(F.col("b").alias("key"), F.col("b").alias("component")).distinct()
+    found = current.select(F.col("a").alias("cls"), F.col("b").alias("component"))
+    roots = current.select(F.col("b").alias("cls"), F.col("b").alias("component")).distinct()
     return found.unionByName(roots)
 
 
 def class_components(sets: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(key, component) of classes that link with another, and the links found (a, b).
+    """(cls, component) of classes that link with another, and the links found (a, b).
 
-    ``sets``: key, n_shingles, shingles. The links are those needed to connect the components.
+    ``sets``: cls, n_shingles, shingles. The links are those needed to connect the components.
     """
     spark = sets.sparkSession
     for seed in range(20):
@@ -261,46 +335,49 @@ def class_components(sets: DataFrame, folder: str) -> tuple[DataFrame, DataFrame
             break
     else:
         raise RuntimeError("no cut of the shingle domain suits all sets")
-    rows = table.select("key", "n_shingles", F.explode("signatures").alias("signature"))
-    shared = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("signature")
-    rows = written(rows.join(shared, "signature"), "shared", folder)
-    links = spark.createDataFrame([], "a binary, b binary, link boolean")
-    labels = spark.createDataFrame([], "key binary, component binary")
+    rows = table.select("cls", F.explode("signatures").alias("signature"))
+    # Of the signatures that the same sets share, one is enough.
+    members = [F.bit_xor(F.xxhash64("cls", F.lit(salt))).alias(f"members_{salt}") for salt in (1, 2)]
+    groups = rows.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
+    chosen = groups.groupBy("n", "members_1", "members_2").agg(F.min("signature").alias("signature"))
+    rows = written(rows.join(chosen.select("signature", "n"), "signature"), "shared", folder)
+    links = spark.createDataFrame([], "a long, b long, link boolean")
+    labels = spark.createDataFrame([], "cls long, component long")
     for hook in range(HOOKS + 1):
-        placed = rows.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        placed = rows.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         # Groups that more than one component shares, and a member of the least of these.
         mixed_groups = (
             placed.groupBy("signature")
-            .agg(F.min(F.struct("component", "key")).alias("lead"), F.max("component").alias("high"))
+            .agg(F.min(F.struct("component", "cls")).alias("lead"), F.max("component").alias("high"))
             .where("lead.component != high")
             .select("signature", "lead")
         )
         open_rows = placed.join(mixed_groups, "signature")
         compared = links.select("a", "b")
         if hook < HOOKS:
-            # One comparison per set: with the least leader that it has not been compared with.
+            # One comparison per set: with the leader of the smallest group, whose members have
+            # most in common, among those that it may link with and has not been compared with.
+            leaders = open_rows.where("component != lead.component").groupBy("cls", F.col("lead.cls").alias("leader"))
             pairs = (
-                open_rows.where("component != lead.component")
-                .select(F.col("lead.key").alias("leader"), "key")
-                .distinct()
-                .select("key", F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b"))
+                may_link(leaders.agg(F.min("n").alias("n")), table, "cls", "leader")
+                .select("cls", "n", F.least("leader", "cls").alias("a"), F.greatest("leader", "cls").alias("b"))
                 .join(compared, ["a", "b"], "left_anti")
-                .groupBy("key")
-                .agg(F.min(F.struct("a", "b")).alias("pair"))
+                .groupBy("cls")
+                .agg(F.min(F.struct("n", "a", "b")).alias("pair"))
                 .select("pair.a", "pair.b")
                 .distinct()
             )
         else:
+            # Sizes and sketches rule out most pairs that cannot link before they become rows.
+            sized = open_rows.select("signature", "cls", "component").join(measures(table), "cls")
             left, right = (
-                open_rows.select(
-                    "signature", F.col("key").alias(x), F.col("component").alias(f"{x}_in"), F.col("n_shingles").alias(f"{x}_n")
-                )
-                for x in "ab"
+                sized.select([F.col(c).alias(f"{x}_{c}") if c != "signature" else F.col(c) for c in sized.columns]) for x in "ab"
             )
             pairs = (
                 left.join(right, "signature")
-                .where("a < b and a_in != b_in and 4 * least(a_n, b_n) >= 3 * greatest(a_n, b_n)")
-                .select("a", "b")
+                .where("a_cls < b_cls and a_component != b_component")
+                .where(LINKABLE)
+                .select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
                 .distinct()
                 .join(compared, ["a", "b"], "left_anti")
             )
@@ -319,36 +396,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     their own doc_id. Rows with the same words are linked. A null doc_id takes part, but names
     no component unless all of its component are null. No rows give no rows; other columns are not read.
     """
-    folder = run_folder(docs.sparkSession)
+    spark = docs.sparkSession
+    folder = run_folder(spark)
     members = written(sets_of(docs), "members", folder)
-    classes = written(
-        members.where("n_shingles > 0")
-        .groupBy("key", "n_shingles")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("key", short(), "n_shingles", "doc_id"),
-        "classes",
-        folder,
-    )
-    sample = sets_of(docs, "sample").select(short(), F.explode("shingles").alias("shingle"))
-    likely = written(without_private(classes, sample), "likely", folder)
-    wanted = likely.select(F.col("doc_id").alias("wanted_id"), F.col("key").alias("wanted"))
-    rows = docs.join(wanted.select("wanted_id").distinct(), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    classes = members.where("n_shingles > 0").groupBy("key", "short", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    classes = written(classes.withColumn("cls", F.monotonically_increasing_id()), "classes", folder)
+    sample = sets_of(docs, "sample").select("short", F.explode("shingles").alias("shingle"))
+    likely = written(without_private(classes, alone(sample, "short", "shingle"), "short"), "likely", folder)
+    passing = spark.sparkContext.broadcast(filter_of(likely))
+    wanted = likely.select("cls", F.col("key").alias("wanted"), F.col("doc_id").alias("wanted_id"))
     sets = (
-        sets_of(rows, "shingles")
+        sets_of(docs, "shingles", passing)
         .join(wanted, (F.col("key") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-        .groupBy("key", "n_shingles")
+        .groupBy("cls", "n_shingles")
         .agg(F.first("shingles").alias("shingles"))
     )
-    sets = written(sets, "likely-sets", folder)
-    every = sets.select(short(), F.explode("shingles").alias("shingle"))
-    left = written(without_private(sets.select("key", short(), "n_shingles"), every), "left", folder)
-    sets = written(sets.join(left.select("key"), "key"), "sets", folder)
+    sets = written(sets, "sets-0", folder)
+    for look in range(1, LOOKS + 1):
+        sets = written(without_private_in_bands(sets), f"sets-{look}", folder)
     labels, links = class_components(sets, folder)
-    ends = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key")))
-    degree = ends.groupBy("key").agg(F.count(F.lit(1)).alias("links"))
-    placed = classes.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls")))
+    degree = ends.groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    placed = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = placed.join(lowest, "component").join(degree, "key", "left").select("key", "component_id", "links")
+    named = placed.join(lowest, "component").join(degree, "cls", "left").select("key", "component_id", "links")
     return members.join(named, "key", "left").select(
         "doc_id",
         "n_shingles",
