@@ -13,8 +13,8 @@ LEAST_SCORE = 0.5
 
 
 def keeping(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` for which ``decisions`` (doc_id, kept, and text_sha256 if rows of one
-    doc_id may differ) says so, each as often as it is kept."""
+    """The rows of ``docs`` whose doc_id, null included, is among those decided to be kept. Rows that
+    repeat a doc_id are one document: they stay or go together."""
     return docs.join(decisions, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
 

@@ -13,7 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id (long), text (null as empty) and the columns named."""
+    """doc_id (long), text (null as empty) and the columns named; tasks get this package."""
+    ship_package(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

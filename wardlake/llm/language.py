@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlake.llm.base import fold
+from wardlake.llm.base import fold, texts
 from wardlake.llm.encoding import slices
 from wardlake.llm.hashing import column_bytes
 
@@ -229,7 +229,7 @@ def identified(docs: DataFrame, network: Network | None) -> DataFrame:
                 )
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), has_letter(text).alias("lettered"))
+    rows = texts(docs, has_letter(text).alias("lettered"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
