@@ -27,7 +27,9 @@ MOST_LABELLED = 16_000
 MOST_TERMS = 4_096
 FACTORS = 6
 LEAST_Z = 2.2
-STEPS = 400
+BATCH = 1_024
+LEAST_EPOCHS = 12
+LEAST_STEPS = 300
 _U = np.uint64
 FILTER_BITS = 20
 
@@ -78,31 +80,44 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margin(flat, rows, len(found)), -30, 30)))
 
 
-def fit(terms: np.ndarray, found: list[np.ndarray], labels: np.ndarray, steps: int = STEPS) -> Machine:
-    """Logistic loss with a small penalty, by Adam over all rows."""
+def fit(terms: np.ndarray, found: list[np.ndarray], labels: np.ndarray) -> Machine:
+    """Logistic loss with a small penalty, by Adam on shuffled batches."""
     rng = np.random.default_rng(7)
     size, n = len(terms), len(labels)
     rate = (labels.sum() + 1) / (n + 2)
     machine = Machine(terms, float(np.log(rate / (1 - rate))), np.zeros(size), rng.normal(0, 0.05, (size, FACTORS)))
-    flat = np.searchsorted(terms, np.concatenate(found)) if n else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(n), [len(f) for f in found])
+    if not n:
+        return machine
+    places = [np.searchsorted(terms, f) for f in found]
     moments = [np.zeros((2, size)), np.zeros((2, size, FACTORS)), np.zeros(2)]
-    for step in range(1, steps + 1 if n else 1):
-        error = (1 / (1 + np.exp(-np.clip(machine.margin(flat, rows, n), -30, 30))) - labels) / n
-        sums = np.stack([np.bincount(rows, f[flat], n) for f in machine.factors.T], 1)
-        by_term = error[rows]
-        weights = np.bincount(flat, by_term, size) + 1e-5 * machine.weights
-        factors = 1e-4 * machine.factors
-        for f in range(FACTORS):
-            factors[:, f] += np.bincount(flat, by_term * (sums[rows, f] - machine.factors[flat, f]), size)
-        new = []
-        pairs = zip(moments, (machine.weights, machine.factors, machine.bias), (weights, factors, error.sum()), strict=True)
-        for (m, v), value, slope in ((h, p, s) for h, p, s in pairs):
-            m = 0.9 * m + 0.1 * slope
-            v = 0.999 * v + 0.001 * slope**2
-            new.append((m, v, value - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)))
-        moments = [np.stack([m, v]) for m, v, _ in new]
-        machine.weights, machine.factors, machine.bias = (x for _, _, x in new)
+    epochs = max(LEAST_EPOCHS, -(-LEAST_STEPS // -(-n // BATCH)))
+    step = 0
+    for _ in range(epochs):
+        order = rng.permutation(n)
+        for at in range(0, n, BATCH):
+            some = order[at : at + BATCH]
+            step += 1
+            flat = np.concatenate([places[i] for i in some])
+            rows = np.repeat(np.arange(len(some)), [len(places[i]) for i in some])
+            margin = machine.margin(flat, rows, len(some))
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[some]) / len(some)
+            by_term = error[rows]
+            weights = np.bincount(flat, by_term, size) + 1e-5 * machine.weights
+            factors = 1e-4 * machine.factors
+            for f in range(FACTORS):
+                own = machine.factors[flat, f]
+                factors[:, f] += np.bincount(flat, by_term * (np.bincount(rows, own, len(some))[rows] - own), size)
+            values = machine.weights, machine.factors, machine.bias
+            for i, (value, slope) in enumerate(zip(values, (weights, factors, error.sum()), strict=True)):
+                m, v = 0.9 * moments[i][0] + 0.1 * slope, 0.999 * moments[i][1] + 0.001 * slope**2
+                moments[i] = np.stack([m, v])
+                moved = value - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+                if i == 0:
+                    machine.weights = moved
+                elif i == 1:
+                    machine.factors = moved
+                else:
+                    machine.bias = float(moved)
     return machine
 
 
