@@ -43,8 +43,7 @@ from wardlake.session import run_folder
 WORDS = 5
 #: Sixteenths of the shingle domain that the first look at private shingles takes.
 FIRST_SIXTEENTHS = 5
-#: Further looks, and rounds of one comparison per set.
-LOOKS = 2
+#: Rounds of one comparison per set.
 HOOKS = 2
 #: Longs of a set's sketch: one bit for the parity of each of 64 times as many parts of the domain.
 SKETCH = 16
@@ -411,9 +410,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy("cls", "n_shingles")
         .agg(F.first("shingles").alias("shingles"))
     )
-    sets = written(sets, "sets-0", folder)
-    for look in range(1, LOOKS + 1):
-        sets = written(without_private_in_bands(sets), f"sets-{look}", folder)
+    sets = written(without_private_in_bands(written(sets, "likely-sets", folder)), "sets", folder)
     labels, links = class_components(sets, folder)
     ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls")))
     degree = ends.groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
