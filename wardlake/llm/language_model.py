@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlake.llm.base import fold, texts, written
@@ -34,15 +34,15 @@ from wardlake.session import run_folder
 
 CHUNK_BYTES = 12 << 20
 #: Classes: 0 stands before a text; then the end, frequent words, and endings of words.
-CLASSES = 64
-FREQUENT = 15
+CLASSES = 32
+FREQUENT = 7
 FIRST_ENDING = 2 + FREQUENT
 HASHED = 1 << 12
 PAIRS = CLASSES * CLASSES
 FEATURES = 2 * HASHED + 2 * PAIRS
-ROUNDS = 2
-STEP_TOKENS = 4096
-BATCH_TOKENS = 16_384
+ROUNDS = 1
+STEP_TOKENS = 2048
+BATCH_TOKENS = 4_096
 BLOCK_ROWS = 256
 FAN_IN = 64
 _U = np.uint64
@@ -155,26 +155,38 @@ class Chunk:
         )
 
 
-def class_logs(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log probabilities of the classes, but 0, for a batch of feature rows; column 0 is unused."""
-    sums = weights[rows[:, 0]] + weights[rows[:, 1]] + weights[rows[:, 2]] + weights[rows[:, 3]]
+def class_odds(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Unnormalised probabilities of the classes for a batch of feature rows; class 0 has none."""
+    sums = weights[rows[:, 0]]
+    for feature in range(1, rows.shape[1]):
+        sums += weights[rows[:, feature]]
     sums[:, 0] = -np.inf
     sums -= sums.max(1, keepdims=True)
-    return sums - np.log(np.exp(sums).sum(1, keepdims=True))
+    return np.exp(sums, out=sums)
+
+
+def class_logs(weights: np.ndarray, rows: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Log probability of one class for each feature row."""
+    odds = class_odds(weights, rows)
+    return np.log(odds[np.arange(len(kinds)), kinds] / odds.sum(1))
 
 
 def steps(weights: np.ndarray, slopes: np.ndarray, rows: np.ndarray, kinds: np.ndarray) -> None:
     """Gradient steps over tokens, in place, scaled by the squares of earlier slopes."""
     for at in range(0, len(kinds), STEP_TOKENS):
         some, want = rows[at : at + STEP_TOKENS], kinds[at : at + STEP_TOKENS]
-        error = np.exp(class_logs(weights, some))
+        error = class_odds(weights, some)
+        error /= error.sum(1, keepdims=True)
         error[np.arange(len(want)), want] -= 1
-        flat = some.T.ravel()
+        flat = some.T.ravel().astype(np.uint16)
         order = np.argsort(flat, kind="stable")
-        touched, edges = np.unique(flat[order], return_index=True)
-        slope = np.add.reduceat(error[order % len(want)], edges, axis=0)
-        slopes[touched] += slope * slope
-        weights[touched] -= 0.15 * slope / (np.sqrt(slopes[touched]) + 1.0)
+        flat = flat[order]
+        edges = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        touched = flat[edges].astype(np.int64)
+        slope = np.add.reduceat(error[np.tile(np.arange(len(want)), some.shape[1])[order]], edges, axis=0)
+        squares = slopes[touched] + slope * slope
+        slopes[touched] = squares
+        weights[touched] -= 0.15 * slope / (np.sqrt(squares) + 1.0)
 
 
 def trained(corpus: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -244,15 +256,28 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     entries = corpus.select("chunk", zipped).select(
         "chunk", "number", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"), F.col("entry.endings").alias("ending")
     )
-    counts = entries.groupBy("word").agg(F.sum("n").alias("n"), F.min("ending").alias("ending"))
-    counts = written(counts, "counts", folder)
+    # A word has one row per chunk, so its window has at most as many rows as there are chunks.
+    of_word = Window.partitionBy("word")
+    first = F.row_number().over(of_word.orderBy("chunk")) == 1
+    counts = written(
+        entries.select(
+            "chunk",
+            "number",
+            F.sum("n").over(of_word).alias("n"),
+            # The word and its ending stand in its first row only.
+            F.when(first, F.col("word")).alias("word"),
+            F.when(first, F.col("ending")).alias("ending"),
+        ),
+        "counts",
+        folder,
+    )
+    words = counts.where("ending IS NOT NULL").select("word", "n", "ending")
     end = int(np.array([END], _U).view(np.int64)[0])
-    top = counts.where((F.col("n") > 0) & (F.col("word") != end)).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    top = words.where((F.col("n") > 0) & (F.col("word") != end)).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     frequent = np.array([r.word for r in top], np.int64).view(_U)
     weights = trained(corpus, frequent, rounds)
-    tokens, types = class_totals(counts, [r.word for r in top])
-    # The counts of a chunk's words, back at the chunk.
-    back = entries.select("chunk", "number", "word").join(counts.select("word", "n"), "word").select(F.col("chunk").alias("of_chunk"), "number", "n")
+    tokens, types = class_totals(words, [r.word for r in top])
+    back = counts.select(F.col("chunk").alias("of_chunk"), "number", "n")
     shared = spark.sparkContext.broadcast((weights, tokens, types))
 
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -265,7 +290,7 @@ def scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         logs = np.log10((n + 1) / (tokens[kinds] + types[kinds] + 1))
         for at in range(0, len(kinds), BATCH_TOKENS):
             some = kinds[at : at + BATCH_TOKENS]
-            found = class_logs(weights, rows[at : at + BATCH_TOKENS])[np.arange(len(some)), some]
+            found = class_logs(weights, rows[at : at + BATCH_TOKENS], some)
             logs[at : at + len(some)] += found / np.log(10)
         base = np.log10((n + 1) / (total + distinct + 1))
         starts = np.cumsum(chunk.lengths) - chunk.lengths
