@@ -130,3 +130,29 @@ def test_query_against_brute_force(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text").collect()]
     found = op1_ngram_jaccard(spark, f"/root/testdata/{sf}")
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == brute_force(rows)
+
+
+def linked_classes(rows):
+    """Links of every row, counted over all pairs of different shingle sets."""
+    classes = {s for s in (shingles(t) for _, t in rows) if s}
+    links = {s: sum(100 * len(s & x) >= 75 * len(s | x) for x in classes if x != s) for s in classes}
+    return sorted(((d, links.get(shingles(t), 0)) for d, t in rows), key=str)
+
+
+@pytest.mark.parametrize(("cell", "most"), [(512, 1 << 20), (7, 300)])
+def test_links_against_brute_force(frame, monkeypatch, cell, most):
+    monkeypatch.setattr(nj, "CELL_SETS", cell)
+    monkeypatch.setattr(nj, "CELL_SHINGLES", most)
+    rng = np.random.default_rng(8)
+    rows, base = [(1, None), (2, "alone in the table with no one near")], WORDS[:120]
+    rows += [(10 + i, " ".join([*base, f"end{i}"])) for i in range(3)]
+    for group in range(3):
+        base = [WORDS[int(i)] for i in rng.integers(0, 400, 200)]
+        rows += [(100 * (group + 1) + i, edited(rng, base[: 200 - 3 * i], int(rng.integers(0, 5)))) for i in range(25)]
+    rows += [(1000 + i, " ".join(WORDS[i : i + 60])) for i in range(30)]
+    rows += [(2000, rows[4][1]), (None, rows[9][1])]
+    expected = linked_classes(rows)
+    assert [n for d, n in expected if d in (10, 11, 12)] == [2, 2, 2] and max(n for _, n in expected) > 8
+    docs = frame(rows, "doc_id long, text string")
+    found = nj.near_duplicates(docs.repartition(5)).select("doc_id", "links").collect()
+    assert sorted((tuple(r) for r in found), key=str) == expected

@@ -20,8 +20,11 @@ Two sets link when ``100 * |x & y| >= 75 * |x | y|``. Equal sets are one class a
    different components that have not been compared are, unless their sizes or the parities of their
    sketches show that they differ in too many shingles.
 4. *Components.* Least labels by alternating stars, as tables.
+5. *Links.* Linked sets are in one component, so all pairs of each component are compared once more and
+   counted. Large components are cut into cells of bounded size, and every two cells whose sizes may link
+   meet in a tile: a set is shuffled once per tile, not once per pair, and no pair becomes a row.
 
-No group of equal sets or of a hot signature is expanded into pairs within a component.
+No group of equal sets is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ FIRST_SIXTEENTHS = 5
 HOOKS = 2
 #: Longs of a set's sketch: one bit for the parity of each of 64 times as many parts of the domain.
 SKETCH = 16
+#: Bounds of a cell of a component: sets, and shingles of all of them unless one set alone has more.
+CELL_SETS = 512
+CELL_SHINGLES = 1 << 20
 #: Bits of the filter that keeps most rows without likely sets from being shuffled: 4 MB. Being full
 #: only lets more rows through.
 FILTER_BITS = 1 << 25
@@ -322,10 +328,10 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     return found.unionByName(roots)
 
 
-def class_components(sets: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(cls, component) of classes that link with another, and the links found (a, b).
+def class_components(sets: DataFrame, folder: str) -> DataFrame:
+    """(cls, component) of classes that link with another.
 
-    ``sets``: cls, n_shingles, shingles. The links are those needed to connect the components.
+    ``sets``: cls, n_shingles, shingles. Only the links needed to connect the components are looked for.
     """
     spark = sets.sparkSession
     for seed in range(20):
@@ -383,12 +389,75 @@ def class_components(sets: DataFrame, folder: str) -> tuple[DataFrame, DataFrame
         found = written(linked(written(pairs, f"pairs-{hook}", folder), sets), f"links-{hook}", folder)
         links = links.unionByName(found)
         labels = written(components(links.where("link"), f"{folder}/stars-{hook}"), f"labels-{hook}", folder)
-    return labels, links.where("link").select("a", "b")
+    return labels
+
+
+def shared_counts(sets: list[np.ndarray], left: int, right: int) -> np.ndarray:
+    """How many elements each of the first ``left`` sets shares with each one from place ``right`` on."""
+    member = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number, use = np.cumsum(holders > 1) - 1, holders[column] > 1
+    member, column = member[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    out, width = np.zeros((left, len(sets) - right)), max(1, (1 << 22) // len(sets))
+    for low in range(0, int((holders > 1).sum()), width):
+        a, b = np.searchsorted(column, [low, low + width])
+        has = np.zeros((len(sets), min(width, int((holders > 1).sum()) - low)), np.float32)
+        has[member[a:b], column[a:b] - low] = 1
+        out += has[:left] @ has[right:].T
+    return out
+
+
+def link_counts(sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """cls and links (how many other classes link with it), for classes of ``labels`` (cls, component)."""
+    ends = F.array(*map(F.lit, band_ends()))
+    placed = sets.select("cls", "n_shingles").join(labels, "cls")
+    totals = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    whole = totals.select("component", ((F.col("n") <= CELL_SETS) & (F.col("size") <= CELL_SHINGLES)).alias("whole"))
+    band = F.size(F.filter(ends, lambda end: end < F.col("n_shingles")))
+    banded = placed.join(whole, "component").withColumn("band", F.when(F.col("whole"), 0).otherwise(band))
+    cuts = banded.groupBy("component", "band").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / CELL_SETS), F.ceil(F.sum("n_shingles") / CELL_SHINGLES)).alias("parts")
+    )
+    cuts = written(cuts, "cuts", folder)
+    cell = banded.join(cuts, ["component", "band"]).select(
+        "cls", F.struct("component", "band", F.expr("pmod(xxhash64(cls), parts)").alias("part")).alias("cell")
+    )
+    cells = cuts.select("component", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    a, b = (cells.select("component", F.struct("component", "band", "part").alias(x)) for x in "ab")
+    # Linked sets lie in the same band or in neighbouring ones.
+    tiles = a.join(b, "component").where("(a.band = b.band and a.part <= b.part) or a.band + 1 = b.band")
+    sides = tiles.select("a", "b", F.explode(F.when(F.expr("a = b"), F.array("a")).otherwise(F.array("a", "b"))).alias("cell"))
+    rows = sides.join(cell, "cell")
+    rows = rows.select("a", "b", "cls", F.expr("cell = a").alias("first"), F.expr("a = b").alias("own")).join(sets, "cls")
+
+    def count(table: pa.Table) -> pa.Table:
+        first = table.column("first").to_numpy()
+        order = np.argsort(~first, kind="stable")
+        table = table.take(pa.array(order)).combine_chunks()
+        found, left = as_arrays(table.column("shingles").chunk(0)), int(first.sum())
+        n = np.zeros(len(found), np.int64)
+        own = table.column("own")[0].as_py()
+        if own or 0 < left < len(found):
+            sizes = np.array([len(s) for s in found])
+            right = 0 if own else left
+            shared = shared_counts(found, left, right)
+            link = 100 * shared >= 75 * (sizes[:left, None] + sizes[None, right:] - shared)
+            if own:
+                np.fill_diagonal(link, False)
+                n += link.sum(1)
+            else:
+                n[:left], n[left:] = link.sum(1), link.sum(0)
+        return pa.table({"cls": table.column("cls"), "links": pa.array(n)})
+
+    counted = rows.groupBy("a", "b").applyInArrow(count, "cls long, links long")
+    return counted.groupBy("cls").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, links (classes directly found to link with the row's own): one
-    row for each row of ``docs``.
+    """doc_id, n_shingles, component_id, links (how many other classes, sets of different shingles, link with
+    the row's own): one row for each row of ``docs``.
 
     component_id is the least doc_id that is reachable by links, the row's own included. Texts
     without a word, null or empty, have no shingles and are linked with nothing: their component is
@@ -411,9 +480,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.first("shingles").alias("shingles"))
     )
     sets = written(without_private_in_bands(written(sets, "likely-sets", folder)), "sets", folder)
-    labels, links = class_components(sets, folder)
-    ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls")))
-    degree = ends.groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    labels = class_components(sets, folder)
+    degree = link_counts(sets, labels, folder)
     placed = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     lowest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = placed.join(lowest, "component").join(degree, "cls", "left").select("key", "component_id", "links")
