@@ -82,3 +82,20 @@ def test_query_beats_the_base_on_held_out_texts(spark):
     same(rows, found.collect())
     total = found.where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert total[0] > 0.98 * total[1]
+
+
+def test_tasks_without_a_feature_take_nothing_from_its_weights(frame):
+    schema = "doc_id long, text string"
+    own = frame([(i, "red apple pie " * 40) for i in range(20)], schema).coalesce(1)
+    word = lm.Words(*lm.column_bytes(lm.pa.array(["red"]))).hashes()
+    row = int(lm.mixed(word, 6)[0] % np.uint64(lm.HASHED))
+    alone = lm.trained(lm.chunks(own), word, rounds=1)
+    docs = own
+    for part in range(1, 6):
+        docs = docs.union(frame([(100 * part + i, f"blue stone{part} wall " * 40) for i in range(20)], schema).coalesce(1))
+    among = lm.trained(lm.chunks(docs), word, rounds=1)
+    assert np.abs(alone[row]).max() > 0.1 and np.allclose(among[row], alone[row], rtol=1e-3, atol=1e-6)
+
+
+def test_size_of_the_model():
+    assert (lm.CLASSES, lm.FREQUENT) == (64, 15) and lm.ROUNDS >= 2

@@ -10,8 +10,9 @@ types; the one left over is what all words unknown in the class share, as in the
 1. Tasks cut the documents into chunks of bounded size and write each as a row: the words of the
    chunk as 64-bit hashes, and its documents as numbers of those words.
 2. Words are counted over all chunks by a shuffle of one row per chunk and word.
-3. Every task makes gradient steps over its chunks from the common weights; their moves,
-   weighted by tokens and summed in a tree, give the next weights. Every training token takes part.
+3. Every task makes gradient steps over its chunks from the common weights; their moves, summed in
+   a tree, give the next weights. The move of a feature is the mean over the tokens that have it, so that
+   tasks without it take nothing from it. Every training token takes part, in every round.
 4. The counts of its words go back to each chunk, which scores its documents in sparse batches.
 """
 
@@ -34,13 +35,13 @@ from wardlake.session import run_folder
 
 CHUNK_BYTES = 12 << 20
 #: Classes: 0 stands before a text; then the end, frequent words, and endings of words.
-CLASSES = 32
-FREQUENT = 7
+CLASSES = 64
+FREQUENT = 15
 FIRST_ENDING = 2 + FREQUENT
 HASHED = 1 << 12
 PAIRS = CLASSES * CLASSES
 FEATURES = 2 * HASHED + 2 * PAIRS
-ROUNDS = 1
+ROUNDS = 2
 STEP_TOKENS = 2048
 BATCH_TOKENS = 4_096
 BLOCK_ROWS = 256
@@ -198,35 +199,38 @@ def trained(corpus: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS) -> np
         shared = spark.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own, slopes, tokens = shared.value.copy(), np.zeros_like(shared.value), 0
+            own, slopes, tokens = shared.value.copy(), np.zeros_like(shared.value), np.zeros(FEATURES, np.int64)
             for batch in batches:
                 for at in range(batch.num_rows):
                     chunk = Chunk.of(batch, at, frequent)
                     use = np.repeat(~chunk.held_out, chunk.lengths)
                     if use.any():
-                        steps(own, slopes, chunk.features()[use], chunk.classes[chunk.ids][use])
-                        tokens += int(use.sum())
-            if tokens:
-                move = ((own - shared.value) * tokens).reshape(blocks, -1).astype("<f4")
+                        rows = chunk.features()[use]
+                        steps(own, slopes, rows, chunk.classes[chunk.ids][use])
+                        tokens += np.bincount(rows.ravel(), minlength=FEATURES)
+            if tokens.any():
+                move = ((own - shared.value) * tokens[:, None]).reshape(blocks, -1).astype("<f4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(range(blocks), pa.int32()), pa.array([TaskContext.get().partitionId()] * blocks, pa.int64()),
-                        pa.array([tokens] * blocks, pa.int64()), pa.array([m.tobytes() for m in move], pa.binary()),
+                        pa.array([n.tobytes() for n in tokens.reshape(blocks, -1).astype("<i8")], pa.binary()),
+                        pa.array([m.tobytes() for m in move], pa.binary()),
                     ],
                     ["block", "part", "tokens", "move"],
                 )
 
         def add(table: pa.Table) -> pa.Table:
             moves = np.stack([np.frombuffer(m, "<f4") for m in table.column("move").to_pylist()])
+            tokens = np.stack([np.frombuffer(n, "<i8") for n in table.column("tokens").to_pylist()])
             return pa.table(
                 {
                     "block": table.column("block")[:1], "part": pa.array([table.column("part")[0].as_py()], pa.int64()),
-                    "tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64()),
+                    "tokens": pa.array([tokens.sum(0).tobytes()], pa.binary()),
                     "move": pa.array([moves.sum(0).tobytes()], pa.binary()),
                 }
             )
 
-        schema = "block int, part long, tokens long, move binary"
+        schema = "block int, part long, tokens binary, move binary"
         moves = corpus.mapInArrow(run, schema)
         parts = corpus.rdd.getNumPartitions()
         while parts > 1:
@@ -235,7 +239,8 @@ def trained(corpus: DataFrame, frequent: np.ndarray, rounds: int = ROUNDS) -> np
             parts = -(-parts // FAN_IN)
         for r in moves.collect():
             at = r.block * BLOCK_ROWS
-            weights[at : at + BLOCK_ROWS] += (np.frombuffer(r.move, "<f4") / r.tokens).reshape(BLOCK_ROWS, CLASSES)
+            tokens = np.maximum(np.frombuffer(r.tokens, "<i8"), 1)[:, None]
+            weights[at : at + BLOCK_ROWS] += np.frombuffer(r.move, "<f4").reshape(BLOCK_ROWS, CLASSES) / tokens
         shared.unpersist()
     return weights
 
