@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ VITAL_BOUNDS = {
     "spo2": (50, 100),
     "temperature": (90, 110),
 }
-AGE_STEPS = ((17, "PEDIATRIC"), (64, "ADULT"))  # years, at most -> group
+AGE_STEPS = ((18, "PEDIATRIC"), (65, "ADULT"))  # years, less than -> group
 AGE_OTHERWISE = "SENIOR"
 GENDERS = {"M": "M", "MALE": "M", "F": "F", "FEMALE": "F"}
 GENDER_OTHERWISE = "U"
@@ -56,9 +58,9 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _ladder(value: Column, steps: tuple, otherwise, at_most: bool = True) -> Column:
+def _ladder(value: Column, steps: tuple, otherwise, holds=operator.le) -> Column:
     """What belongs to the first step whose limit holds ``value``; NULL falls through."""
-    pairs = [F.when(value <= limit if at_most else value >= limit, F.lit(then)) for limit, then in steps]
+    pairs = [F.when(holds(value, limit), F.lit(then)) for limit, then in steps]
     return F.coalesce(*pairs, F.lit(otherwise))
 
 
@@ -109,7 +111,7 @@ def normal_gender(gender="gender") -> Column:
 
 def age_group(age_years="age_years") -> Column:
     """Of whole years; an unknown age counts as SENIOR."""
-    return _ladder(_column(age_years), AGE_STEPS, AGE_OTHERWISE)
+    return _ladder(_column(age_years), AGE_STEPS, AGE_OTHERWISE, operator.lt)
 
 
 def spo2_points(spo2="spo2") -> Column:
@@ -123,7 +125,7 @@ def heart_rate_points(heart_rate="heart_rate") -> Column:
 
 
 def risk_level(score: Column | str) -> Column:
-    return _ladder(_column(score), RISK_STEPS, RISK_OTHERWISE, at_most=False)
+    return _ladder(_column(score), RISK_STEPS, RISK_OTHERWISE, operator.ge)
 
 
 def plausible(name: str) -> Column:

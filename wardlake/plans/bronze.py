@@ -53,6 +53,13 @@ def bronze_vitals(df: DataFrame, at: Column | None = None) -> DataFrame:
     return _stamp(flagged, "vitals", at)
 
 
+# What a rule adds that Silver goes on with.
+ADDED = {
+    "patients": (),
+    "adt_events": ("is_icu",),
+    "lab_results": ("result_numeric", "is_critical"),
+    "vitals": ("alert_flags", "has_alerts"),
+}
 BRONZE_RULES = {
     "patients": bronze_patients,
     "adt_events": bronze_adt,
