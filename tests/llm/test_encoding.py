@@ -16,7 +16,8 @@ FILE = public_tokenizers.path(token_shards.VOCABULARY)
 RANKS = public_tokenizers.path(byte_bpe.RANKS)
 ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "it's we'll  they're\n\n x", "\tx y", "été naïve — 12 34", "a  b",
-    "日本語 テキスト", "x᠎ y", "<|endoftext|> and <|endoftext|>", "a\x1c b", "'re 're", "x" * 500 + " " + "y z " * 900,
+    "日本語 テキスト", "x᠎ y", "<|endoftext|> and <|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>", "<|endoftext|>", "a <|endoftext| > b",
+    "a\x1c b", "'re 're", "x" * 500 + " " + "y z " * 900,
     "\n \n word.\nNext line", "emoji 🎉🎉 end", "é combining", "a\r\n b \r\n",
 ]
 
@@ -24,7 +25,6 @@ ODD = [
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 

@@ -1,7 +1,8 @@
 """Token ids of whole texts inside tasks, by the public tokenizer libraries.
 
 Most words of a corpus are repeats. A text is cut at safe spaces (below), and each distinct piece is
-encoded once per worker by the library; a text that has other spaces goes to the library whole.
+encoded once per worker by the library; a text that has other spaces, or the string of a token that the
+library adds to its vocabulary, goes to the library whole.
 
 A single space between two characters that are no white space, in any reading of white space, always
 starts a match of the pattern that splits text before the merges, and nothing before that space
@@ -37,8 +38,9 @@ class Encoder:
     """``encode`` takes a list of strings to lists of ids; ``spaced[id]`` tells whether the bytes of
     a token start with a space."""
 
-    def __init__(self, encode, spaced: np.ndarray):
+    def __init__(self, encode, spaced: np.ndarray, added: Iterable[str] = ()):
         self.encode, self.spaced = encode, spaced
+        self.added = tuple(added)
         self.known: dict[str, bytes] = {}
         self.stops = {stop: self.whole(stop) for stop in STOPS}
 
@@ -92,7 +94,7 @@ class Encoder:
         flat: list[str] = []
         cut = []
         for at, text in enumerate(texts):
-            if UNSAFE.search(text):
+            if UNSAFE.search(text) or any(token in text for token in self.added):
                 out[at] = self.whole(text)
             else:
                 first, *pieces = text.split(" ")
@@ -115,12 +117,11 @@ class Encoder:
 
 @functools.lru_cache(maxsize=4)
 def library_encoder(path: str) -> Encoder:
-    """The encoder of a ``tokenizers`` file; strings of special tokens are ordinary text."""
+    """The encoder of a ``tokenizers`` file, as the library reads it: the string of an added token is that token."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     spaced = np.zeros(tokenizer.get_vocab_size(), bool)
     for token, number in tokenizer.get_vocab().items():
         spaced[number] = token.startswith("Ġ")  # a space in the alphabet of byte-level files
@@ -128,7 +129,7 @@ def library_encoder(path: str) -> Encoder:
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Encoder(encode, spaced)
+    return Encoder(encode, spaced, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
 
 
 @functools.lru_cache(maxsize=4)
