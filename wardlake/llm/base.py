@@ -36,6 +36,24 @@ def written(frame: DataFrame, name: str, folder: str | None = None) -> DataFrame
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, *order: Column | str, name: str = "place") -> DataFrame:
+    """The frame with the place of every row in ``order``, from 0. Rows that are equal in ``order`` get their
+    places in any order. No task sorts more than its range: the rows before each range are added up
+    from one count per task."""
+    at = "_at"
+    ranges = frame.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(ranges.withColumn(at, F.monotonically_increasing_id()), f"by-{name}")
+    task = F.shiftright(at, 33)  # the upper bits of an increasing id are its task's number
+    counts = sorted(placed.groupBy(task.alias("task")).count().collect())
+    before, starts = 0, []
+    for number, count in counts:
+        starts.append((number, before - (number << 33)))
+        before += count
+    shift = frame.sparkSession.createDataFrame(starts, "_task LONG, _shift LONG")
+    joined = placed.join(F.broadcast(shift), task == F.col("_task"))
+    return joined.withColumn(name, F.col(at) + F.col("_shift")).drop(at, "_task", "_shift")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -40,4 +40,23 @@ ORACLE_SQL = {
             FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed,
                failed = 0 AS kept, failed, n_lines, n_distinct_words, n_upper FROM f""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                   CAST(list_dot_product(a.c, b.c) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.c) = len(b.c)),
+        p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INT) AS rank
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5""",
 }

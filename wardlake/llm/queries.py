@@ -11,8 +11,10 @@ from wardlake.llm import (
     base,
     byte_bpe,
     exact_dedup,
+    hard_negatives,
     language,
     language_model,
+    mixing,
     ngram_join,
     packing,
     perplexity,
@@ -102,5 +104,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(base.documents(spark, sf_dir))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0, label=label)
+
+
+@query
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(base.documents(spark, sf_dir))
+
+
 def registered() -> dict[str, Query]:
     return dict(QUERIES)
