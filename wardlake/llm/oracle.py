@@ -59,4 +59,36 @@ ORACLE_SQL = {
         FROM p JOIN s USING (anchor_id)
         WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
         QUALIFY rank <= 5""",
+    "op12_prefix_trie": """
+        WITH RECURSIVE own AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        shared AS (
+            -- The CRC-32 of the decimal id, bit by bit.
+            SELECT conv_id, turns, conv_id - conv_id % 5 AS lender,
+                   xor(list_reduce(
+                       list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                       lambda crc, b: list_reduce(
+                           list_concat([xor(crc, b)], range(8)),
+                           lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+                   ), 4294967295::BIGINT) % 9 AS h
+            FROM own),
+        rebuilt AS (
+            SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+            FROM shared a LEFT JOIN own b ON a.lender = b.conv_id),
+        prefixes AS (
+            SELECT conv_id, len(turns) AS total, unnest(range(len(turns) + 1)) AS depth, turns[1:depth] AS path FROM rebuilt),
+        nodes AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * CASE WHEN depth > 0 THEN strlen(path[depth].t) ELSE 0 END AS saved,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends_sha256
+            FROM prefixes GROUP BY path, depth),
+        children AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        known AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+        sums AS (
+            SELECT path[1:up] AS path, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+            FROM (SELECT *, unnest(range(depth + 1)) AS up FROM known) GROUP BY ALL)
+        SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children,
+               CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+        FROM known k JOIN sums USING (path) LEFT JOIN nodes p ON k.depth > 0 AND p.path = k.path[1:k.depth - 1]""",
 }

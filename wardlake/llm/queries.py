@@ -18,6 +18,7 @@ from wardlake.llm import (
     ngram_join,
     packing,
     perplexity,
+    prefix_trie,
     quality_rules,
     token_shards,
     toxicity,
@@ -111,6 +112,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0, label=label)
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("node", "parent")
+
+
 @query
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(base.documents(spark, sf_dir))
