@@ -10,7 +10,8 @@ from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import join_unique
 from wardlake.operators.merge import change_op, live_rows, merge_changes, merge_into
 from wardlake.operators.vectors import cosine_topk, left_out
-from wardlake.sources.versioned import CommittedTable, bucket_of, upsert_latest, upserted
+from wardlake.sources.splits import SplitTable
+from wardlake.sources.versioned import CommittedTable
 
 ROW = "k INT, v STRING, cdc_op STRING, pipeline_ts INT, kafka_offset INT"
 
@@ -78,7 +79,7 @@ LOG = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(log=LOG)
 def test_batches_of_changes_equal_a_row_by_row_fold(spark, tmp_path_factory, log):
     """A change log applied batch by batch, in any cut, gives the state of a simple fold."""
@@ -87,13 +88,13 @@ def test_batches_of_changes_equal_a_row_by_row_fold(spark, tmp_path_factory, log
     for offset, (key, op, cut) in enumerate(log):
         batches.setdefault(cut, []).append((key, f"v{offset}", op, 0, offset))
         folded[key] = None if op == "d" else f"v{offset}"
-    table = CommittedTable(spark, str(tmp_path_factory.mktemp("fold")))
+    table = SplitTable(spark, str(tmp_path_factory.mktemp("fold")), "k", split_bytes=1500, most_files=2)
     order = list(batches)
     random.Random(len(log)).shuffle(order)  # late batches hold older changes
     for cut in order + order[:1]:  # and one batch comes twice
         changes = spark.createDataFrame(batches[cut], ROW)
-        upsert_latest(table, changes, "k", ["pipeline_ts", "kafka_offset"], span=2, buckets=3)
-    found = {r.k: r.v for r in live_rows(table.read_buckets()).collect()}
+        table.merge(changes, newest_by=["pipeline_ts", "kafka_offset"])
+    found = {r.k: r.v for r in live_rows(table.read()).collect()}
     assert found == {k: v for k, v in folded.items() if v is not None}
 
 
@@ -102,7 +103,7 @@ def test_batches_of_changes_equal_a_row_by_row_fold(spark, tmp_path_factory, log
 
 def test_unfinished_commits_are_not_read(spark, tmp_path):
     table = CommittedTable(spark, str(tmp_path / "t"))
-    assert table.read() is None and table.read_buckets() is None
+    assert table.read() is None
     table.publish(spark.range(3))
     (tmp_path / "t" / "commit=0000000001").mkdir()
     assert table.read().count() == 3
@@ -120,67 +121,6 @@ def test_a_transaction_is_applied_once(spark, tmp_path):
     assert table.read().count() == 3
 
 
-def test_only_touched_buckets_are_rewritten(spark, frame, tmp_path):
-    table = CommittedTable(spark, str(tmp_path / "t"))
-    first = frame([(k, "a", "c", 1, k) for k in range(40)], ROW)
-    upsert_latest(table, first, "k", ["pipeline_ts"], span=10, buckets=8)
-    upsert_latest(table, frame([(11, "b", "u", 2, 0)], ROW), "k", ["pipeline_ts"], span=10, buckets=8)
-    second = spark.read.parquet(str(tmp_path / "t" / table.commits()[-1]))
-    assert {r.bucket for r in second.select("bucket").distinct().collect()} == {1}
-    rows = {r.k: r.v for r in table.read_buckets().collect()}
-    assert rows == {k: "b" if k == 11 else "a" for k in range(40)}
-    assert table.drop_superseded(keep=0) == []  # the first commit still holds three buckets
-    upsert_latest(table, frame([(k, "c", "u", 3, k) for k in range(40)], ROW), "k", ["pipeline_ts"], span=10, buckets=8)
-    assert len(table.drop_superseded(keep=1)) == 2
-    assert {r.v for r in table.read_buckets().collect()} == {"c"}
-
-
-def test_upsert_reads_touched_buckets_and_shuffles_twice(spark, frame, tmp_path):
-    table = CommittedTable(spark, str(tmp_path / "t"))
-    rows = frame([(k, "a", "c", 1, k) for k in range(40)], ROW)
-    upsert_latest(table, rows, "k", ["pipeline_ts"], span=10, buckets=8)
-    rows.write.parquet(str(tmp_path / "changes"))
-    changes = spark.read.parquet(str(tmp_path / "changes"))
-    existing = table.read_buckets({1, 2, 77})
-    assert {f.split("bucket=")[1].split("/")[0] for f in existing.inputFiles()} == {"1", "2"}
-    content = upserted(existing, changes, "k", ["pipeline_ts"], bucket_of("k", 10, 8))
-    plan = content._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(k#") == 1
-    assert plan.count("REPARTITION_BY_COL") == 1
-    assert plan.count("Exchange ") == 2
-
-
-def test_one_bucket_is_the_work_of_many_tasks(spark, frame):
-    """Recent keys share a bucket; with small shares left apart, they still reach many partitions."""
-    changes = spark.range(4000).select(
-        F.col("id").alias("k"), F.lit("a").alias("v"), F.lit("c").alias("cdc_op"), F.lit(1).alias("pipeline_ts"), F.lit(1).alias("kafka_offset")
-    )
-    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
-    try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        spark.conf.set("spark.sql.shuffle.partitions", "16")
-        content = upserted(None, changes, "k", ["pipeline_ts"], bucket_of("k"))
-        used = content.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("bucket").alias("b"), F.count("*").alias("n")).collect()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert len(used) == 16 and {r.b for r in used} == {1} and sum(r.n for r in used) == 4000
-
-
-def test_new_columns_appear_as_null_in_old_buckets(spark, frame, tmp_path):
-    table = CommittedTable(spark, str(tmp_path / "t"))
-    upsert_latest(table, frame([(1, "a", "c", 1, 1), (11, "a", "c", 1, 1)], ROW), "k", ["pipeline_ts"], span=10, buckets=8)
-    wider = frame([(1, "b", "u", 2, 1)], ROW).withColumn("extra", F.lit(7))
-    upsert_latest(table, wider, "k", ["pipeline_ts"], span=10, buckets=8)
-    assert {r.k: r.extra for r in table.read_buckets().collect()} == {1: 7, 11: None}
-
-
-def test_buckets_are_bounded(spark):
-    ids = spark.range(-50, 5000, 7)
-    buckets = [r[0] for r in ids.select(bucket_of("id", 10, 8)).distinct().collect()]
-    assert set(buckets) <= set(range(8))
-
-
 # Joins -------------------------------------------------------------------------------
 
 

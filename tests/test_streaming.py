@@ -7,13 +7,14 @@ from wardlake.operators.merge import OP
 from wardlake.schemas import SOURCE_TABLES, VITALS as VITALS_TABLE
 from wardlake.sources.changes import kafka_options, read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, jdbc_options, read_table, register_views
+from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
 from wardlake.streaming.bronze import append_bronze, await_all, batch_writer, start_bronze, write_bronze_batches
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import run_pipeline
-from wardlake.streaming.silver import merge_bronze, read_silver, rebuild_silver
+from wardlake.streaming.silver import merge_bronze, read_silver, rebuild_silver, silver_table
 
-LAYOUT = {"span": 2, "buckets": 4}
+LAYOUT = {"split_bytes": 4_000}
 
 
 def source(spark, folder, files=None):
@@ -106,8 +107,8 @@ def test_silver_follows_the_log(spark, tmp_path):
     ]
     assert run("2", changes) == {1: 60.0, 3: 71.0, 4: 88.0, 5: 95.0}
     assert run("3", [record("vitals", {**VITALS[1], "heart_rate": 99}, 15)])[2] == 99.0
-    commits = CommittedTable(spark, f"{base}/silver/vitals").commits()
-    assert len(commits) == 3 and commits[0].endswith("-0")
+    silver = silver_table(spark, base, "vitals")
+    assert silver.number() == 2 and silver.newest().endswith("-2")
 
 
 @pytest.mark.parametrize("sink", [append_bronze, write_bronze_batches])
@@ -116,11 +117,11 @@ def test_rebuild_equals_the_stream(spark, tmp_path, sink):
     land(tmp_path / "in", "1", messy())
     await_all([sink(source(spark, tmp_path / "in"), VITALS_TABLE, base, every=None)])
     await_all([merge_bronze(spark, base, VITALS_TABLE, SEED_DAY, **LAYOUT)])
-    target = CommittedTable(spark, str(tmp_path / "again"))
-    rebuild_silver(spark, spark.read.parquet(f"{base}/bronze/vitals"), target, VITALS_TABLE, SEED_DAY, **LAYOUT)
+    target = SplitTable(spark, str(tmp_path / "again"), "vital_id")
+    rebuild_silver(spark, spark.read.parquet(f"{base}/bronze/vitals"), target, VITALS_TABLE, SEED_DAY)
     columns = ["vital_id", "heart_rate", "alert_flags", "news2_score", "kafka_offset"]
-    streamed = CommittedTable(spark, f"{base}/silver/vitals").read_buckets()
-    assert target.read_buckets().select(columns).collect() == streamed.select(columns).collect()
+    streamed = silver_table(spark, base, "vitals").read()
+    assert target.read().select(columns).collect() == streamed.select(columns).collect()
     assert streamed.count() == 1
 
 

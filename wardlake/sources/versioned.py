@@ -1,45 +1,26 @@
-"""Parquet tables published as commits.
+"""Parquet tables published whole, as commits.
 
 A job must not overwrite the files it is reading, and a reader must not see half a
 write. So every write goes to a new directory ``commit=<n>`` below the table, which
-counts once Spark has put its ``_SUCCESS`` file there. A table may be split into
-buckets; a commit then holds the full content of the buckets it touched, and a reader
-takes each bucket from its newest commit. One writer per table at a time.
+counts once Spark has put its ``_SUCCESS`` file there. One writer per table at a time.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from wardlake.operators.dedupe import latest_per_key
-
-BUCKET = "bucket"
-_SHARE = "_share"
-# Keys are serial numbers, so neighbouring keys are neighbours in time. A bucket takes
-# runs of SPAN keys: a batch of recent changes touches few buckets. The modulus bounds
-# the number of buckets. Within a bucket, rows are dealt to SHARES tasks by a hash of the
-# key, so that a batch of recent changes, all in one or two buckets, uses as many; adaptive
-# execution joins shares that are small.
-SPAN = 1_000_000
-BUCKETS = 16_384
-SHARES = 1_024
+from pyspark.sql import DataFrame, SparkSession
 
 _COMMIT = re.compile(r"commit=(\d{10})(?:\.(.+))?$")
 
 
-def bucket_of(key: str, span: int = SPAN, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.expr(f"{key} div {span}"), F.lit(buckets)).cast("int")
-
-
 class CommittedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _list(self, path: str) -> list[str]:
+    def listed(self, path: str) -> list[str]:
+        """Names in a folder, none if it isn't there."""
         jvm = self.spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -48,14 +29,32 @@ class CommittedTable:
         return sorted(status.getPath().getName() for status in fs.listStatus(folder))
 
     def holds(self, name: str) -> bool:
-        return name in self._list(self.root)
+        return name in self.listed(self.root)
+
+    def names(self) -> list[str]:
+        """Names of all commits, those that failed too, oldest first."""
+        return [name for name in self.listed(self.root) if _COMMIT.match(name)]
+
+    @staticmethod
+    def number_of(name: str) -> int:
+        return int(_COMMIT.match(name).group(1))
 
-    def _names(self) -> list[str]:
-        return [name for name in self._list(self.root) if _COMMIT.match(name)]
+    @staticmethod
+    def txn_of(name: str) -> str | None:
+        return _COMMIT.match(name).group(2)
+
+    def next_name(self, txn: str | None) -> str:
+        names = self.names()
+        number = self.number_of(names[-1]) + 1 if names else 0
+        return f"commit={number:010d}" + (f".{txn}" if txn else "")
+
+    def delete(self, path: str) -> None:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
     def _finished(self) -> dict[str, list[str]]:
         """Finished commits, oldest first, with the names they contain."""
-        contents = {name: self._list(f"{self.root}/{name}") for name in self._names()}
+        contents = {name: self.listed(f"{self.root}/{name}") for name in self.names()}
         return {name: inside for name, inside in contents.items() if "_SUCCESS" in inside}
 
     def commits(self) -> list[str]:
@@ -63,19 +62,13 @@ class CommittedTable:
         return list(self._finished())
 
     def has(self, txn: str) -> bool:
-        return any(_COMMIT.match(name).group(2) == txn for name in self.commits())
+        return any(self.txn_of(name) == txn for name in self.commits())
 
-    def publish(self, df: DataFrame, txn: str | None = None, by_bucket: bool = False) -> bool:
+    def publish(self, df: DataFrame, txn: str | None = None) -> bool:
         """Write ``df`` as the next commit. A transaction already there is not repeated."""
         if txn is not None and self.has(txn):
             return False
-        names = self._names()
-        number = int(_COMMIT.match(names[-1]).group(1)) + 1 if names else 0
-        name = f"commit={number:010d}" + (f".{txn}" if txn else "")
-        writer = df.write.mode("errorifexists")
-        if by_bucket:
-            writer = writer.partitionBy(BUCKET)
-        writer.parquet(f"{self.root}/{name}")
+        df.write.mode("errorifexists").parquet(f"{self.root}/{self.next_name(txn)}")
         return True
 
     def read(self) -> DataFrame | None:
@@ -83,85 +76,13 @@ class CommittedTable:
         commits = self.commits()
         return self.spark.read.parquet(f"{self.root}/{commits[-1]}") if commits else None
 
-    def _newest_buckets(self) -> dict[str, str]:
-        newest = {}
-        for commit, inside in self._finished().items():
-            for name in inside:
-                if name.startswith(f"{BUCKET}="):
-                    newest[name] = commit
-        return newest
-
-    def read_buckets(self, only: set[int] | None = None) -> DataFrame | None:
-        """Every bucket (or ``only`` those named) from its newest commit, with the
-        ``bucket`` column. Other buckets are not even listed by the reader."""
-        newest = self._newest_buckets()
-        if only is not None:
-            wanted = {f"{BUCKET}={number}" for number in only}
-            newest = {name: commit for name, commit in newest.items() if name in wanted}
-        if not newest:
-            return None
-        paths = [f"{self.root}/{commit}/{name}" for name, commit in newest.items()]
-        # Columns of the newest commit; files written before a column existed give NULL.
-        schema = self.spark.read.parquet(f"{self.root}/{max(newest.values())}").schema
-        reader = self.spark.read.option("basePath", self.root).schema(schema)
-        return reader.parquet(*paths).select(*schema.names)
-
     def drop_superseded(self, keep: int = 2) -> list[str]:
-        """Delete commits of which nothing is current, sparing the last ``keep``, and
-        remains of writes that failed before them."""
+        """Delete old commits, sparing the last one and the last ``keep``, and remains of writes that failed
+        before them."""
         commits = self.commits()
-        current = set(self._newest_buckets().values()) or set(commits[-1:])
-        spared = current | set(commits[len(commits) - keep :] if keep else [])
+        spared = set(commits[-1:]) | set(commits[len(commits) - keep :] if keep else [])
         last = commits[-1] if commits else ""
-        stale = [name for name in self._names() if name < last and name not in spared]
-        jvm = self.spark.sparkContext._jvm
+        stale = [name for name in self.names() if name < last and name not in spared]
         for name in stale:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            fs.delete(folder, True)
+            self.delete(f"{self.root}/{name}")
         return stale
-
-
-def upserted(
-    existing: DataFrame | None, changes: DataFrame, key: str, newest_by: list[str], bucket: Column
-) -> DataFrame:
-    """The new content of the buckets in ``existing`` and of those the changes open.
-
-    Delete markers are rows like any other, so an older change arriving late cannot
-    revive a deleted key and applying a batch twice changes nothing.
-    """
-    # Repeated changes of a key are dropped before the shuffle by bucket.
-    rows = latest_per_key(changes.filter(F.col(key).isNotNull()), key, newest_by)
-    rows = rows.withColumn(BUCKET, bucket)
-    if existing is not None:
-        rows = existing.unionByName(rows, allowMissingColumns=True)
-    # One shuffle by bucket and share serves both the window and the partitioned write.
-    shared = rows.withColumn(_SHARE, F.pmod(F.xxhash64(key), F.lit(SHARES)))
-    latest = latest_per_key(shared.repartition(BUCKET, _SHARE), [BUCKET, _SHARE, key], newest_by)
-    return latest.drop(_SHARE)
-
-
-def upsert_latest(
-    table: CommittedTable,
-    changes: DataFrame,
-    key: str,
-    newest_by: list[str],
-    txn: str | None = None,
-    span: int = SPAN,
-    buckets: int = BUCKETS,
-    keys: DataFrame | None = None,
-) -> bool:
-    """Bring a bucketed table to the newest version of every changed key.
-
-    Only buckets that hold a changed key are read and rewritten. Their numbers, at most
-    ``buckets`` of them, are collected first, so that the paths of the others never enter
-    the plan. ``keys`` may name a frame with the same keys that is cheaper to read than
-    ``changes``.
-    """
-    if txn is not None and table.has(txn):
-        return False
-    bucket = bucket_of(key, span, buckets)
-    changed = (changes if keys is None else keys).filter(F.col(key).isNotNull())
-    touched = {row[0] for row in changed.select(bucket).distinct().collect()}
-    content = upserted(table.read_buckets(touched), changes, key, newest_by, bucket)
-    return table.publish(content, txn=txn, by_bucket=True)
