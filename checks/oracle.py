@@ -699,4 +699,28 @@ BODIES["report_runner"] = " UNION ALL ".join(
     )
 ) + " UNION ALL SELECT 'nonsense', -1"
 
+BODIES["snk_merge_on_read"] = BODIES["snk_merge_cdc"]
+TURNAROUND = """(SELECT CAST(make_timestamp(resulted_at) AS DATE) AS metric_date, test_code, COUNT(*) AS result_count,
+  MIN((resulted_at - collected_at) / 60000000) AS min_minutes, MAX((resulted_at - collected_at) / 60000000) AS max_minutes
+  FROM labs WHERE resulted_at IS NOT NULL GROUP BY ALL)"""
+MART_ROWS = {
+    "patient_summary": "patient_id, gender, latest_news2_risk, total_encounters, latest_hr, lab_count_90d, icu_admissions",
+    "encounter_metrics": "event_id, ward, news2_risk, vital_count, max_hr, min_spo2, max_news2_score",
+    "daily_census": "event_date, ward, event_type, event_count, NULL, NULL, NULL",
+    "critical_alerts": "result_id, gender, test_code, age_years, result_numeric, NULL, NULL",
+    "quality_dashboard": "metric_date, NULL, NULL, lab_count, vital_count, alert_count, abnormal_count",
+    "lab_turnaround": "metric_date, test_code, NULL, result_count, min_minutes, max_minutes, NULL",
+}
+
+
+def _mart_rows(mart: str, columns: str) -> str:
+    names = columns.split(", ")
+    chosen = [f"CAST({c} AS VARCHAR) AS k{i}" for i, c in enumerate(names[:3], 1)]
+    chosen += [f"CAST({c} AS DOUBLE) AS n{i}" for i, c in enumerate(names[3:], 1)]
+    source = TURNAROUND if mart == "lab_turnaround" else mart
+    some = " WHERE lab_count IS NOT NULL OR vital_count IS NOT NULL" if mart == "quality_dashboard" else ""
+    return f"SELECT '{mart}' AS mart, {', '.join(chosen)} FROM {source} m{some}"
+
+
+BODIES["pipe_changes"] = " UNION ALL ".join(_mart_rows(mart, columns) for mart, columns in MART_ROWS.items())
 ORACLE_SQL = {name: with_ctes(body).strip() for name, body in BODIES.items()}

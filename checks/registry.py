@@ -19,6 +19,7 @@ from wardlake.schemas import PATIENTS, SOURCE_TABLES, VITALS
 from wardlake.session import run_folder
 from wardlake.sources.changes import parse_table, parse_union, read_landing, route, to_records
 from wardlake.sources.tables import read_table, register_views
+from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
 from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, write_bronze_batches
 from wardlake.streaming.listener import MetricsListener
@@ -137,6 +138,16 @@ def snk_merge_cdc(t: Tables) -> DataFrame:
     return merge_changes(target, source, "patient_id", op="op")
 
 
+@query
+def snk_merge_on_read(t: Tables) -> DataFrame:
+    """The clauses of snk_merge_cdc on a stored table, of which a merge writes the changes alone."""
+    rows = t.patients_cdc.select(F.col("patient_id").cast("bigint").alias("patient_id"), "mrn", "insurance_id", "op", "ver")
+    table = SplitTable(t.spark, f"{run_folder(t.spark)}/patients", "patient_id")
+    table.merge(rows.filter("ver = 1"))
+    table.merge(latest_per_key(rows.filter("ver > 1"), "patient_id", ["ver"]), op="op")
+    return table.read()
+
+
 @query
 def chk_bronze_peek(t: Tables) -> DataFrame:
     return bronze.peek_patients(t.bronze["patients"])
@@ -771,8 +782,41 @@ def pipe_run(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     await_all(start_bronze(landing(t, folder, list(SOURCE_TABLES)), folder, every=None))
     run_pipeline(t.spark, folder, AS_OF)
-    summary = CommittedTable(t.spark, f"{folder}/gold/patient_summary").read()
-    return summary.drop("gold_computed_at")
+    return read_table(t.spark, "patient_summary", [f"{folder}/gold"]).drop("gold_computed_at")
+
+
+BATCHES = 3
+# What is compared of each mart: three names and four figures of a row.
+MART_ROWS = {
+    "patient_summary": "patient_id, gender, latest_news2_risk, total_encounters, latest_hr, lab_count_90d, icu_admissions",
+    "encounter_metrics": "event_id, ward, news2_risk, vital_count, max_hr, min_spo2, max_news2_score",
+    "daily_census": "event_date, ward, event_type, event_count, NULL, NULL, NULL",
+    "critical_alerts": "result_id, gender, test_code, age_years, result_numeric, NULL, NULL",
+    "quality_dashboard": "metric_date, NULL, NULL, lab_count, vital_count, alert_count, abnormal_count",
+    "lab_turnaround": "metric_date, test_code, NULL, result_count, min_minutes, max_minutes, NULL",
+}
+
+
+@query
+def pipe_changes(t: Tables) -> DataFrame:
+    """All marts after three runs, each of a third of the changes, later versions and deletes among them."""
+    folder = run_folder(t.spark)
+    records = change_records(t)
+    for batch in range(BATCHES):
+        for name, frame in records.items():
+            frame.where(F.pmod("offset", F.lit(BATCHES)) == batch).write.json(f"{folder}/landing/{name}/batch={batch}")
+        await_all(start_bronze(lambda table: read_landing(t.spark, f"{folder}/landing/{table.name}", [table.topic]), folder, every=None))
+        run_pipeline(t.spark, folder, AS_OF)
+    rows = []
+    for mart, columns in MART_ROWS.items():
+        names = columns.split(", ")
+        chosen = [f"cast({c} as string) AS k{i}" for i, c in enumerate(names[:3], 1)]
+        chosen += [f"cast({c} as double) AS n{i}" for i, c in enumerate(names[3:], 1)]
+        frame = read_table(t.spark, mart, [f"{folder}/gold"])
+        if mart == "quality_dashboard":  # patients count on the day of the run
+            frame = frame.where("lab_count IS NOT NULL OR vital_count IS NOT NULL")
+        rows.append(frame.selectExpr(f"'{mart}' AS mart", *chosen))
+    return union(rows)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

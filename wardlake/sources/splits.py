@@ -214,16 +214,26 @@ class SplitTable:
         told = {"schema": json.loads(_widened(about, columns).json())}
         anew = int(home.rsplit("commit=", 1)[1][:10]) if start_anew else about.get("anew", 0)
         about = told | {"anew": anew}
-        files = files or [File(0, None, None)]
-        located = self._located(incoming, files)
-        sizes = located.groupBy(SPLIT).agg(F.count(F.lit(1)), F.min(self.key), F.max(self.key)).collect()
-        touched = {r[0]: (r[1], r[2], r[3]) for r in sizes}
         measured = incoming.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
-        row_bytes = measured / max(1, sum(n for n, _, _ in touched.values()))
-        may_meet = [f for f in files if f.path and f.split in touched and f.least <= touched[f.split][2] and touched[f.split][1] <= f.greatest]
-        feed = self._feed(located, self._rows(may_meet, about, places=True), about, newest_by, op, f"{home}/feed")
-        met = {r[0]: (r[1], r[2]) for r in feed.groupBy(SPLIT).agg(F.count("new"), F.count("old")).collect()}
-        self._publish(home, files, about, feed, met, row_bytes, self._to_fold(files, met, row_bytes), stamp)
+        if not files:
+            # Nothing to meet: the changes are the table, and nobody has followed it so far.
+            about["anew"] = int(home.rsplit("commit=", 1)[1][:10])
+            if op:
+                incoming = incoming.where(F.col(op) != DELETE)
+            whole, n = File(0, None, None), incoming.count()
+            fold = {0} if measured > self.split_bytes else set()
+            rows = incoming.select(*[f.name for f in columns.fields], F.lit(0).cast("long").alias(SPLIT))
+            self._publish(home, [whole], about, rows, None, {0: (n, 0)}, measured / max(1, n), fold, stamp)
+        else:
+            located = self._located(incoming, files)
+            sizes = located.groupBy(SPLIT).agg(F.count(F.lit(1)), F.min(self.key), F.max(self.key)).collect()
+            touched = {r[0]: (r[1], r[2], r[3]) for r in sizes}
+            row_bytes = measured / max(1, sum(n for n, _, _ in touched.values()))
+            may_meet = [f for f in files if f.path and f.split in touched and f.least <= touched[f.split][2] and touched[f.split][1] <= f.greatest]
+            feed = self._feed(located, self._rows(may_meet, about, places=True), about, newest_by, op, f"{home}/feed")
+            met = {r[0]: (r[1], r[2]) for r in feed.groupBy(SPLIT).agg(F.count("new"), F.count("old")).collect()}
+            fold = self._to_fold(files, met, row_bytes)
+            self._publish(home, files, about, *_sides(feed), met, row_bytes, fold, stamp)
         self.folder.delete(f"{home}/incoming")
         return True
 
@@ -235,7 +245,7 @@ class SplitTable:
             return False
         home = self._new_commit(None)
         nothing = self._feed(self._rows([], about).withColumn(SPLIT, F.lit(0).cast("long")), self._rows([], about, places=True), about, None, None, f"{home}/feed")
-        self._publish(home, files, about, nothing, {}, 0.0, several, None)
+        self._publish(home, files, about, *_sides(nothing), {}, 0.0, several, None)
         return True
 
     def _new_commit(self, txn: str | None) -> str:
@@ -270,31 +280,30 @@ class SplitTable:
         return chosen
 
     def _publish(
-        self, home: str, files: list[File], about: dict, feed: DataFrame, met: dict, row_bytes: float, fold: set[int], stamp
-    ) -> None:
+        self, home: str, files: list[File], about: dict, new_rows: DataFrame, gone: DataFrame | None, met: dict,
+        row_bytes: float, fold: set[int], stamp,
+    ) -> None:
+        """Write data, marks and manifest of a commit: ``new_rows`` come, the places ``gone`` go."""
         kept = [f for f in files if f.split not in fold]
         name = home.rsplit("/", 1)[1]
-        new_rows = feed.where("new IS NOT NULL")
-        plain = new_rows.where(~F.col(SPLIT).isin(*fold)) if fold else new_rows
-        content = plain.select("new.*", SPLIT)
-        directory = kept
+        folds = F.col(SPLIT).isin(*fold) if fold else F.lit(False)
+        content, directory = new_rows.where(~folds), kept
         if fold:
             folded = [f for f in files if f.split in fold]
-            gone = feed.where("old IS NOT NULL").select(FILE, ROW)
-            stay = self._rows(folded, about, places=True).join(gone, [FILE, ROW], "left_anti").drop(FILE, ROW)
-            inside = stay.unionByName(new_rows.where(F.col(SPLIT).isin(*fold)).select("new.*"))
+            inside = new_rows.where(folds).drop(SPLIT)
+            if gone is not None:
+                stay = self._rows(folded, about, places=True).join(gone.select(FILE, ROW), [FILE, ROW], "left_anti").drop(FILE, ROW)
+                inside = stay.unionByName(inside)
             cut = self._cut(folded, inside, met, row_bytes, max(f.split for f in files) + 1)
             content = content.unionByName(self._located(inside, cut))
             directory = kept + cut
-        content = content.repartition(SPLIT).sortWithinPartitions(SPLIT, self.key)
-        content.write.partitionBy(SPLIT).parquet(f"{home}/data")
-        replaced = self._mark(home, feed.where(~F.col(SPLIT).isin(*fold)) if fold else feed)
+        content.repartition(SPLIT).sortWithinPartitions(SPLIT, self.key).write.partitionBy(SPLIT).parquet(f"{home}/data")
+        replaced = {} if gone is None else self._mark(home, gone.where(~folds))
         kept = [
             replace(f, marked=f.marked + replaced[f.path], marks=(*f.marks, name)) if replaced.get(f.path) else f for f in kept
         ]
         ranges = {f.split: (f.low, f.high) for f in directory}
-        written = self._measured(home, ranges) if "_SUCCESS" in self.folder.listed(f"{home}/data") else []
-        current = [f for f in kept if f.path] + written
+        current = [f for f in kept if f.path] + self._measured(home, ranges)
         current += [File(s, *bounds) for s, bounds in ranges.items() if s not in {f.split for f in current}]
         if stamp:
             about = about | {"stamp": {n: int(at.timestamp() * 1e6) for n, at in stamp.items()}}
@@ -332,11 +341,10 @@ class SplitTable:
                 number += 1
         return out
 
-    def _mark(self, home: str, feed: DataFrame) -> dict[str, int]:
-        """Bitmaps of replaced places, and how many there are of each file."""
-        replaced = feed.where(F.col(FILE).isNotNull())
+    def _mark(self, home: str, gone: DataFrame) -> dict[str, int]:
+        """Bitmaps of the places that go, and how many there are of each file."""
         (
-            replaced.groupBy(F.col(FILE).alias("file"), F.expr(f"bitmap_bucket_number({ROW} + 1)").alias("window"))
+            gone.groupBy(F.col(FILE).alias("file"), F.expr(f"bitmap_bucket_number({ROW} + 1)").alias("window"))
             .agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({ROW} + 1))").alias("bits"), F.count(F.lit(1)).alias("n"))
             .write.parquet(f"{home}/marks")
         )
@@ -390,6 +398,11 @@ class SplitTable:
         return stale
 
 
+def _sides(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New rows with their split, and the places of old ones."""
+    return feed.where("new IS NOT NULL").select("new.*", SPLIT), feed.where("old IS NOT NULL").select(SPLIT, FILE, ROW)
+
+
 def _file() -> Column:
     """Path of a row's file below the table."""
     return F.regexp_extract(F.col("_metadata.file_path"), r"(commit=\d{10}[^/]*/data/.*)$", 1)

@@ -76,6 +76,10 @@ class CommittedTable:
         commits = self.commits()
         return self.spark.read.parquet(f"{self.root}/{commits[-1]}") if commits else None
 
+    def read_commit(self, name: str) -> DataFrame:
+        """A commit by its name."""
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
     def drop_superseded(self, keep: int = 2) -> list[str]:
         """Delete old commits, sparing the last one and the last ``keep``, and remains of writes that failed
         before them."""
