@@ -21,7 +21,14 @@ from wardlake.sources.changes import parse_table, parse_union, read_landing, rou
 from wardlake.sources.tables import read_table, register_views
 from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
-from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, write_bronze_batches
+from wardlake.streaming.bronze import (
+    append_bronze,
+    await_all,
+    read_bronze,
+    read_dead_letters,
+    start_bronze,
+    write_bronze_batches,
+)
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import run_pipeline
 from wardlake.streaming.silver import merge_bronze, read_silver
@@ -174,7 +181,7 @@ def snk_stream_append(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     source = landing(t, folder, ["adt_events"])
     await_all([append_bronze(source, SOURCE_TABLES["adt_events"], folder, every=None)])
-    rows = t.spark.read.parquet(f"{folder}/bronze/adt_events")
+    rows = read_bronze(t.spark, folder, "adt_events")
     return rows.select("event_id", "patient_id", "event_type", "ward", "is_icu", OP)
 
 
@@ -183,10 +190,43 @@ def snk_foreach_batch(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
     source = landing(t, folder, ["lab_results"])
     await_all([write_bronze_batches(source, SOURCE_TABLES["lab_results"], folder, every=None)])
-    rows = t.spark.read.parquet(f"{folder}/bronze/lab_results")
+    rows = read_bronze(t.spark, folder, "lab_results")
     return rows.select("result_id", "test_code", "result_numeric", "is_critical", OP)
 
 
+@query
+def snk_schema_merge(t: Tables) -> DataFrame:
+    """A field that the source adds while the stream runs: later files have it, and Silver's run makes it a column."""
+    folder, table = run_folder(t.spark), SOURCE_TABLES["adt_events"]
+    records = change_records(t)["adt_events"]
+    later = F.regexp_replace("value", r"\}$", F.concat(F.lit(', "triage": '), F.col("offset") % 5, F.lit(', "Unit-no": "x"}')))
+    for batch, value in enumerate(("value", later)):
+        part = records.where(F.pmod("offset", F.lit(2)) == batch).withColumn("value", F.col("value") if batch == 0 else value)
+        part.coalesce(1).write.mode("append").json(f"{folder}/landing/adt_events")
+    source = lambda table: read_landing(t.spark, f"{folder}/landing/{table.name}", [table.topic], files_per_trigger=1)
+    await_all([append_bronze(source, table, folder, every=None)])
+    await_all([merge_bronze(t.spark, folder, table, AS_OF)])
+    rows = read_bronze(t.spark, folder, "adt_events")
+    return rows.select("event_id", "ward", "triage", F.try_element_at("rescued", F.lit("Unit-no")).alias("unit"))
+
+
+@query
+def src_dead_letters(t: Tables) -> DataFrame:
+    """Whole records, deletes with their tombstones, cut-off records and records without a key, and where each went."""
+    folder, table = run_folder(t.spark), PATIENTS
+    records = change_records(t)["patients"]
+    deletes = records.filter(F.get_json_object("value", "$.__deleted") == "true")
+    tombstones = deletes.withColumn("value", F.lit(None).cast("string"))
+    broken = records.where("offset % 5 = 0").withColumn("value", F.expr("left(value, length(value) - 3)"))
+    keyless = records.where("offset % 7 = 0").withColumn("value", F.regexp_replace("value", '"patient_id":', '"patient":'))
+    union([records, tombstones, broken, keyless]).repartition(4).write.json(f"{folder}/landing/patients")
+    source = lambda table: read_landing(t.spark, f"{folder}/landing/{table.name}", [table.topic])
+    await_all([write_bronze_batches(source, table, folder, every=None)])
+    rows = read_bronze(t.spark, folder, "patients").select(F.col("kafka_offset").alias("offset"), F.lit("row").alias("went"))
+    letters = read_dead_letters(t.spark, folder, "patients").select("offset", F.col("cause").alias("went"))
+    return union([rows, letters]).groupBy("offset", "went").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def snk_gold_overwrite(t: Tables) -> DataFrame:
     table = CommittedTable(t.spark, f"{run_folder(t.spark)}/gold/daily_census")
@@ -520,7 +560,7 @@ for report_name in reports.REPORTS:
 @query
 def report_runner(t: Tables) -> DataFrame:
     """How many rows the reports of all marts have, and an unknown mart as a problem."""
-    run = reports.run_reports(lambda name: t.marts[name], ["patient_summary", "daily_census", "critical_alerts", "nonsense"])
+    run = reports.run_reports(lambda name: t.marts[name], [*sorted({mart for mart, _ in reports.REPORTS.values()}), "nonsense"])
     counts = [frame.agg(F.count(F.lit(1)).alias("row_count")).withColumn("name", F.lit(n)) for n, frame in run.frames.items()]
     problem = t.spark.createDataFrame([(-1, name) for name in run.problems], "row_count BIGINT, name STRING")
     return union([*counts, problem]).select("name", "row_count")
@@ -743,7 +783,7 @@ def str_bronze_multi(t: Tables) -> DataFrame:
     await_all(start_bronze(landing(t, folder, names), folder, every=None))
     return union(
         [
-            t.spark.read.parquet(f"{folder}/bronze/{name}").select(
+            read_bronze(t.spark, folder, name).select(
                 "source_table", F.col(SOURCE_TABLES[name].key).alias("row_key"), OP
             )
             for name in names
@@ -757,7 +797,7 @@ def str_rate_limit(t: Tables) -> DataFrame:
     landing(t, folder, ["adt_events"])
     limited = read_landing(t.spark, f"{folder}/landing/adt_events", [table.topic], files_per_trigger=1)
     await_all([write_bronze_batches(lambda _: limited, table, folder, every=None)])
-    rows = t.spark.read.parquet(f"{folder}/bronze/adt_events")
+    rows = read_bronze(t.spark, folder, "adt_events")
     # A batch has the records of one file: those that one writer was given.
     files = t.spark.read.json(f"{folder}/landing/adt_events").select(F.input_file_name().alias("file"))
     of_files = files.groupBy("file").count().groupBy(F.col("count").alias("batch_rows")).agg(F.count(F.lit(1)).alias("files"))

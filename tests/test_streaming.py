@@ -9,7 +9,15 @@ from wardlake.sources.changes import kafka_options, read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, jdbc_options, read_table, register_views
 from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
-from wardlake.streaming.bronze import append_bronze, await_all, batch_writer, start_bronze, write_bronze_batches
+from wardlake.streaming.bronze import (
+    append_bronze,
+    await_all,
+    batch_writer,
+    read_bronze,
+    read_dead_letters,
+    start_bronze,
+    write_bronze_batches,
+)
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import run_pipeline
 from wardlake.streaming.silver import merge_bronze, read_silver, rebuild_silver, silver_table
@@ -39,11 +47,54 @@ def test_bronze_sinks(spark, tmp_path, sink):
     await_all([sink(source(spark, tmp_path / "in"), VITALS_TABLE, base, every=None)])  # restart
     land(tmp_path / "in", "2", [record("vitals", VITALS[1], 4, deleted="true")])
     await_all([sink(source(spark, tmp_path / "in"), VITALS_TABLE, base, every=None)])
-    rows = {r.kafka_offset: r for r in spark.read.parquet(f"{base}/bronze/vitals").collect()}
+    rows = {r.kafka_offset: r for r in read_bronze(spark, base, "vitals").collect()}
     assert set(rows) == {0, 1, 4}
     assert rows[1].alert_flags == "TACHYCARDIA" and rows[0][OP] == "c" and rows[4][OP] == "d"
 
 
+@pytest.mark.parametrize("sink", [append_bronze, write_bronze_batches])
+def test_what_is_read_is_kept_or_a_dead_letter_or_a_tombstone(spark, tmp_path, sink):
+    base, listener = str(tmp_path / "lake"), MetricsListener()
+    bad = ['{"patient_id": 7, "ssn": "123-45-6789", "phone": "555', "[1, 2]", '"text"', "", '{"mrn": "M-1", "email": null}', '{"patient_id": "x"}']
+    records = [record("patients", p, n) for n, p in enumerate(PATIENTS)]
+    records += [record("patients", value, 100 + n) for n, value in enumerate(bad)] + [record("patients", None, 200)]
+    land(tmp_path / "in", "1", records)
+    spark.streams.addListener(listener)
+    try:
+        query = sink(source(spark, tmp_path / "in"), SOURCE_TABLES["patients"], base, every=None)
+        await_all([query])
+        assert listener.wait_for_end([query])
+    finally:
+        spark.streams.removeListener(listener)
+    letters = {r.offset: r for r in read_dead_letters(spark, base, "patients").collect()}
+    assert {n: r.cause for n, r in letters.items()} == {
+        100: "not a JSON object", 101: "not a JSON object", 102: "not a JSON object", 103: "not a JSON object", 104: "no key", 105: "no key",
+    }
+    assert {r.topic for r in letters.values()} == {"ehr.public.patients"}
+    assert letters[100].value == '{"patient_id": 7, "ssn":"***", "phone":"***"' and letters[104].value == '{"mrn":"***", "email":"***"}'
+    figures = {r[2]: r[3] for r in listener.rows() if r[2] in ("records_read", "tombstones") and r[4] == "0"}
+    assert figures["records_read"] == read_bronze(spark, base, "patients").count() + len(letters) + figures["tombstones"]
+
+
+def test_new_fields_become_columns_while_the_stream_runs(spark, tmp_path):
+    base, table = str(tmp_path / "lake"), SOURCE_TABLES["vitals"]
+    extra = [{}, {"pain": 3, "note": "a"}, {"pain": 2.5, "ward_phone": "555"}, {"pain": "bad", "pipeline_ts": "x", "a b": 1}]
+    for n, fields in enumerate(extra):
+        land(tmp_path / "in", str(n), [record("vitals", {**VITALS[0], "vital_id": n, **fields}, n)])
+        if n in (0, 1, 2):
+            await_all([append_bronze(source(spark, tmp_path / "in", files=1), table, base, every=None)])
+            await_all([merge_bronze(spark, base, table, SEED_DAY)])
+        if n == 1:
+            assert dict(read_bronze(spark, base, "vitals").dtypes)["pain"] == "bigint"
+    assert dict(read_bronze(spark, base, "vitals").dtypes)["pain"] == "double"
+    await_all([append_bronze(source(spark, tmp_path / "in", files=1), table, base, every=None)])
+    await_all([merge_bronze(spark, base, table, SEED_DAY)])
+    rows = rows_by(read_bronze(spark, base, "vitals"), "vital_id")
+    assert [rows[n].pain for n in range(4)] == [None, "3", "2.5", "bad"] and rows[1].note == "a"
+    assert rows[3].rescued == {"pipeline_ts": "x", "a b": "1"} and rows[0].rescued is None
+    assert rows[2].ward_phone not in (None, "555")  # masked by its name
+
+
 def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
     write = batch_writer(str(tmp_path / "t"))
     write(spark.range(3), 7)
@@ -118,7 +169,7 @@ def test_rebuild_equals_the_stream(spark, tmp_path, sink):
     await_all([sink(source(spark, tmp_path / "in"), VITALS_TABLE, base, every=None)])
     await_all([merge_bronze(spark, base, VITALS_TABLE, SEED_DAY, **LAYOUT)])
     target = SplitTable(spark, str(tmp_path / "again"), "vital_id")
-    rebuild_silver(spark, spark.read.parquet(f"{base}/bronze/vitals"), target, VITALS_TABLE, SEED_DAY)
+    rebuild_silver(spark, read_bronze(spark, base, "vitals"), target, VITALS_TABLE, SEED_DAY)
     columns = ["vital_id", "heart_rate", "alert_flags", "news2_score", "kafka_offset"]
     streamed = silver_table(spark, base, "vitals").read()
     assert target.read().select(columns).collect() == streamed.select(columns).collect()

@@ -17,7 +17,7 @@ from wardlake.session import build_session, run_folder
 from wardlake.sources.changes import read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, read_table, register_views
 from wardlake.sources.versioned import CommittedTable
-from wardlake.streaming.bronze import append_bronze, await_all, start_bronze, write_bronze_batches
+from wardlake.streaming.bronze import append_bronze, await_all, read_bronze, start_bronze, write_bronze_batches
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import publish_gold, run_pipeline
 
@@ -124,6 +124,8 @@ def main(argv: list[str] | None = None) -> int:
             for name in names:
                 try:
                     found[name] = read_table(spark, name, [folder])
+                    if found is logs:
+                        logs[name] = read_bronze(spark, base, name)
                 except TableNotFound as missing:
                     print(missing)
         if marts:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,8 +63,8 @@ def parse_union(records: DataFrame) -> DataFrame:
     return payload.select("_row.*", "topic", F.col("timestamp").alias("kafka_ts"))
 
 
-def parse_table(records: DataFrame, table: SourceTable) -> DataFrame:
-    """Records of one topic through its own schema, ready for the Bronze rules.
+def parse_table(records: DataFrame, table: SourceTable, *more: Column) -> DataFrame:
+    """Records of one topic through its own schema, ready for the Bronze rules, with ``more`` columns of them.
 
     The position in the log is kept: it orders versions that share a pipeline time.
     """
@@ -75,6 +75,7 @@ def parse_table(records: DataFrame, table: SourceTable) -> DataFrame:
             F.col("timestamp").alias("kafka_timestamp"),
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
+            *more,
         )
     )
 
