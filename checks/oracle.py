@@ -690,6 +690,8 @@ SELECT vital_id, CAST(patient_id AS BIGINT) AS patient_id, heart_rate, spo2, rec
     "pipe_run": "SELECT * FROM patient_summary",
 }
 
+BODIES["met_published_health"] = " UNION ALL ".join(_health("gold", n, n, "12.0", "ok") for n in ("encounter_metrics", "daily_census"))
+BODIES["str_record_limit"] = "SELECT event_id, TRUE AS within_limit FROM brz_adt"
 BODIES["str_rate_limit"] = "SELECT event_id, CAST(0 AS INT) AS batches_not_of_one_file FROM brz_adt"
 BODIES["report_runner"] = " UNION ALL ".join(
     f"SELECT '{name}' AS name, COUNT(*) AS row_count FROM (SELECT * FROM ({BODIES[name]}) r)"
@@ -702,11 +704,11 @@ BODIES["report_runner"] = " UNION ALL ".join(
 BODIES["snk_schema_merge"] = """
 SELECT CAST(event_id AS BIGINT) AS event_id, ward, CASE WHEN event_id % 2 = 1 THEN CAST(event_id % 5 AS BIGINT) END AS triage,
   CASE WHEN event_id % 2 = 1 THEN 'x' END AS unit FROM adt_raw"""
-BODIES["src_dead_letters"] = """
-WITH log AS (SELECT CAST(patient_id AS BIGINT) * 3 + ver AS "offset" FROM patients_cdc)
-SELECT "offset", 'row' AS went, COUNT(*) AS n FROM log GROUP BY ALL
-UNION ALL SELECT "offset", 'not a JSON object', COUNT(*) FROM log WHERE "offset" % 5 = 0 GROUP BY ALL
-UNION ALL SELECT "offset", 'no key', COUNT(*) FROM log WHERE "offset" % 7 = 0 GROUP BY ALL"""
+_LOG = 'SELECT CAST(patient_id AS BIGINT) * 3 + ver AS "offset" FROM patients_cdc'
+BODIES["src_dead_letters"] = f"""
+SELECT "offset", 'row' AS went, COUNT(*) AS n FROM ({_LOG}) GROUP BY ALL
+UNION ALL SELECT "offset", 'not a JSON object', COUNT(*) FROM ({_LOG}) WHERE "offset" % 5 = 0 GROUP BY ALL
+UNION ALL SELECT "offset", 'no key', COUNT(*) FROM ({_LOG}) WHERE "offset" % 7 = 0 GROUP BY ALL"""
 BODIES["snk_merge_on_read"] = BODIES["snk_merge_cdc"]
 TURNAROUND = """(SELECT CAST(make_timestamp(resulted_at) AS DATE) AS metric_date, test_code, COUNT(*) AS result_count,
   MIN((resulted_at - collected_at) / 60000000) AS min_minutes, MAX((resulted_at - collected_at) / 60000000) AS max_minutes

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -28,6 +29,7 @@ from wardlake.streaming.bronze import (
     read_dead_letters,
     start_bronze,
     write_bronze_batches,
+    write_limited_batches,
 )
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import run_pipeline
@@ -776,6 +778,16 @@ def met_layer_health(t: Tables) -> DataFrame:
     return metrics.layer_health(t.marts, t.bronze, now)
 
 
+@query
+def met_published_health(t: Tables) -> DataFrame:
+    """The same figures of two published marts, from what their commits tell."""
+    folder, at = run_folder(t.spark), dt.datetime.fromisoformat(f"{AS_OF}T00:00:00+00:00")
+    SplitTable(t.spark, f"{folder}/gold/encounter_metrics", "event_id").merge(t.mart("encounter_metrics"), stamp={"gold_computed_at": at})
+    CommittedTable(t.spark, f"{folder}/gold/daily_census").publish(t.marts["daily_census"])
+    now = F.expr(f"timestamp'{AS_OF} 00:12:00'")
+    return metrics.published_health(t.spark, folder, ["encounter_metrics", "daily_census", "never_built"], now)
+
+
 @query
 def str_bronze_multi(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)
@@ -806,6 +818,21 @@ def str_rate_limit(t: Tables) -> DataFrame:
     return rows.select("event_id", F.lit(odd).cast("int").alias("batches_not_of_one_file"))
 
 
+@query
+def str_record_limit(t: Tables) -> DataFrame:
+    """A captured log in batches of at most 500 records, from several partitions: all rows once, and the largest batch."""
+    folder, table = run_folder(t.spark), SOURCE_TABLES["adt_events"]
+    records = change_records(t)["adt_events"].withColumn("partition", (F.col("offset") * 7 % 11 % 3).cast("int"))
+    records.write.parquet(f"{folder}/log")
+    limit = 500
+    log = t.spark.read.parquet(f"{folder}/log")
+    write_limited_batches(t.spark, log, table, folder, limit, batches=2)
+    write_limited_batches(t.spark, log, table, folder, limit)
+    rows = read_bronze(t.spark, folder, "adt_events")
+    largest = rows.groupBy("batch_id").count().agg(F.max("count")).first()[0]
+    return rows.select("event_id", F.lit(largest <= limit).alias("within_limit"))
+
+
 @query
 def str_silver_upsert(t: Tables) -> DataFrame:
     folder = run_folder(t.spark)

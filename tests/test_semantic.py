@@ -68,6 +68,12 @@ def test_run_sql(spark, frame):
     assert found["rows"][:2] == [["0", "x", "x"], ["1", "—", "—"]]
 
 
+def test_words_of_texts_and_columns_are_no_calls(spark, frame):
+    frame([("they reflect (well)", 1)], "note STRING, reflect INT").createOrReplaceTempView("words")
+    for sql in ("SELECT reflect FROM words WHERE note LIKE '%reflect (%'", 'SELECT note, "reflect(x)" FROM words -- reflect(y)'):
+        assert semantic.run_sql(spark, sql)["count"] == 1
+
+
 @pytest.mark.parametrize(
     "sql",
     [
@@ -80,6 +86,9 @@ def test_run_sql(spark, frame):
         "SELECT * FROM parquet.`/tmp`",
         "SELECT java_method('java.lang.System', 'getenv', 'HOME') FROM t",
         "SELECT `reflect`('java.lang.System', 'getenv', 'HOME') FROM t",
+        r"SELECT r'\', reflect('java.lang.System', 'getenv', 'HOME'), '' FROM t",
+        "SELECT 'it''s', /* ' */ reflect('java.lang.System', 'getenv', 'HOME') FROM t -- '",
+        "SELECT reflect/* call */('java.lang.System', 'getenv', 'HOME') FROM t",
         "SELECT TRY_REFLECT ('java.lang.System', 'getenv', 'HOME') FROM t",
         "",
     ],

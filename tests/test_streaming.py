@@ -5,7 +5,7 @@ from helpers import MICROS, PATIENTS, SEED_DAY, VITALS, land, record, rows_by, s
 
 from wardlake.operators.merge import OP
 from wardlake.schemas import SOURCE_TABLES, VITALS as VITALS_TABLE
-from wardlake.sources.changes import kafka_options, read_kafka, read_landing
+from wardlake.sources.changes import admitted, kafka_options, read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, jdbc_options, read_table, register_views
 from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
@@ -111,6 +111,25 @@ def test_a_failing_batch_is_raised(spark, tmp_path):
         await_all([write_bronze_batches(source(spark, tmp_path / "in"), VITALS_TABLE, str(tmp_path / "lake"), every=None)])
 
 
+def test_records_are_admitted_by_topic(spark, tmp_path):
+    rows = [("a", p, 10 * n + p) for p, count in ((0, 50), (1, 9), (2, 1)) for n in range(count)] + [("b", 0, n) for n in range(4)]
+    log = spark.createDataFrame(rows, "topic STRING, partition INT, offset LONG")
+    done, after, rounds = set(), {}, []
+    while True:
+        known = spark.createDataFrame([(t, p, o) for (t, p), o in after.items()], "topic STRING, partition INT, to_offset LONG")
+        found = admitted(log, known, 12).collect()
+        if not found:
+            break
+        rounds.append({(r.topic, r.partition): r.records for r in found})
+        for r in found:
+            taken = {x for x in rows if x[:2] == (r.topic, r.partition) and r.from_offset <= x[2] <= r.to_offset}
+            assert len(taken) == r.records and not taken & done
+            done |= taken
+            after[r.topic, r.partition] = r.to_offset
+    assert done == set(rows) and len(rounds) == 5
+    assert all(sum(n for (t, _), n in r.items() if t == "a") == 12 for r in rounds) and rounds[0]["b", 0] == 4
+
+
 def test_files_per_trigger_limits_batches(spark, tmp_path):
     for i in range(3):
         land(tmp_path / "in", str(i), [record("vitals", {**VITALS[0], "vital_id": i}, i)])

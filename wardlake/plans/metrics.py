@@ -8,6 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.sources.splits import SplitTable
+from wardlake.sources.versioned import CommittedTable
+
 # Age from which a mart is stale, and the age of an undated one.
 FRESH_MINUTES = 30
 UNKNOWN_AGE = -1.0
@@ -42,6 +45,45 @@ def topic_health(log: DataFrame | None, topics: Iterable[str]) -> DataFrame:
     )
 
 
+def published_health(
+    spark: SparkSession, base: str, marts: Iterable[str], now: dt.datetime | Column | None = None
+) -> DataFrame:
+    """The rows of ``layer_health`` for published marts, from what their commits tell: the manifest of a split table has
+    its rows and its stamp; of other tables the row groups' footers have the count, and the greatest stamp is that
+    of any row. No data page of a split table is read; a mart that isn't there is left out."""
+    rows, others = [], {}
+    for name in marts:
+        table = SplitTable(spark, f"{base}/gold/{name}")
+        files, about = table.manifest()
+        if about:
+            micros = max(about.get("stamp", {}).values(), default=None)
+            count = sum(f.rows - f.marked for f in files)
+            # A mart without rows has no newest row.
+            rows.append((name, count, micros if count else None))
+            continue
+        whole = CommittedTable(spark, f"{base}/gold/{name}").read()
+        if whole is not None:
+            others[name] = whole
+    told = spark.createDataFrame(rows, "table_name STRING, row_count LONG, micros LONG").select(
+        F.lit("gold").alias("layer"), "table_name", "row_count", F.timestamp_micros("micros").alias("_newest")
+    )
+    health = _aged(told, now)
+    return health.unionByName(layer_health(others, now=now)) if others else health
+
+
+def _aged(figures: DataFrame, now: dt.datetime | Column | None) -> DataFrame:
+    """Age and status of tables of which the newest stamp is known."""
+    micros = F.unix_micros(_moment(now)) - F.unix_micros("_newest")
+    minutes = F.round(micros / 60_000_000, 1)
+    aged = figures.withColumn("age_minutes", F.coalesce(minutes, F.lit(UNKNOWN_AGE)))
+    status = (
+        F.when(F.col("_newest").isNull(), "unknown")
+        .when(F.col("age_minutes") < FRESH_MINUTES, "ok")
+        .otherwise("stale")
+    )
+    return aged.select("layer", "table_name", "row_count", "age_minutes", status.alias("status"))
+
+
 def _moment(now: dt.datetime | Column | None) -> Column:
     if now is None:
         return F.current_timestamp()
@@ -62,21 +104,7 @@ def table_health(
         figures = df.agg(rows).withColumn("_newest", F.lit(None).cast("timestamp"))
     else:
         figures = df.agg(rows, F.max(computed_at).alias("_newest"))
-    micros = F.unix_micros(_moment(now)) - F.unix_micros("_newest")
-    minutes = F.round(micros / 60_000_000, 1)
-    aged = figures.withColumn("age_minutes", F.coalesce(minutes, F.lit(UNKNOWN_AGE)))
-    status = (
-        F.when(F.col("_newest").isNull(), "unknown")
-        .when(F.col("age_minutes") < FRESH_MINUTES, "ok")
-        .otherwise("stale")
-    )
-    return aged.select(
-        F.lit(layer).alias("layer"),
-        F.lit(name).alias("table_name"),
-        "row_count",
-        "age_minutes",
-        status.alias("status"),
-    )
+    return _aged(figures.withColumns({"layer": F.lit(layer), "table_name": F.lit(name)}), now)
 
 
 def layer_health(

@@ -161,7 +161,11 @@ def strip_fences(text: Column) -> Column:
 
 
 SQL_ON_FILES = "spark.sql.runSQLOnFiles"
-JVM_CALLS = re.compile(r"(?i)\b(java_method|reflect|try_reflect)\b")
+JVM_CALLS = re.compile(r"(?i)\b(java_method|reflect|try_reflect)`?\s*\(")
+# What the grammar takes as text: raw strings, in which a backslash is itself, other strings, and comments.
+LITERALS = re.compile(
+    r"""\b[rR]'[^']*'|\b[rR]"[^"]*"|'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|--[^\n]*|/\*(?!\+).*?\*/""", re.DOTALL
+)
 
 
 def clean_sql(text: Column) -> Column:
@@ -191,8 +195,8 @@ def select_only(spark: SparkSession, sql: str) -> DataFrame:
     grammar admits nothing but a query: no DDL, no insert, no second statement. Functions that
     call into the JVM are refused, and paths are not read as tables."""
     query = sql.strip().rstrip(";")
-    if called := JVM_CALLS.search(query.replace("`", "")):
-        raise ValueError(f"{called[0]} is not allowed")
+    if called := JVM_CALLS.search(LITERALS.sub(" ", query)):
+        raise ValueError(f"{called[1]} is not allowed")
     before = spark.conf.get(SQL_ON_FILES)
     spark.conf.set(SQL_ON_FILES, "false")
     try:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlake.operators.dedupe import first_per_group
 from wardlake.operators.merge import OP, change_op
 from wardlake.schemas import CHANGE_RECORD, SOURCE_TABLES, SourceTable, union_schema
 
@@ -99,3 +100,33 @@ def to_records(rows: DataFrame, table: SourceTable, offset: str, timestamp) -> D
         F.col(table.key).cast("string").alias("key"),
         F.to_json(F.struct(*names)).alias("value"),
     )
+
+
+def admitted(spans: DataFrame, after: DataFrame, records: int) -> DataFrame:
+    """The next range of each partition of a log, so that no topic gets more than ``records``.
+
+    ``spans`` has topic, partition, offset of the records that are there, ``after`` the last offset of each
+    partition that an earlier batch took. A topic's limit is shared among its partitions in proportion to what they have
+    waiting; one whose share is below a record waits until the others have less. Offsets may have gaps, and are
+    unique in their partition. Returns topic, partition, from_offset, to_offset, records.
+    """
+    waiting = spans.join(after.select("topic", "partition", F.col("to_offset").alias("_done")), ["topic", "partition"], "left")
+    waiting = waiting.where("_done IS NULL OR offset > _done").select("topic", "partition", "offset")
+    counts = waiting.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("n"))
+    by_topic = Window.partitionBy("topic")
+    earlier = by_topic.orderBy("partition").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Shares are differences of rounded running sums, so that they add up to the limit exactly.
+    whole = F.sum("n").over(by_topic)
+    limit = F.least(whole, F.lit(records))
+    upto = F.expr("cast(_upto as decimal(38,0)) * _limit div _whole").cast("long")
+    shared = counts.withColumns({"_upto": F.sum("n").over(earlier), "_whole": whole, "_limit": limit}).withColumn("_to", upto)
+    ordered = by_topic.orderBy("partition")
+    shares = shared.withColumn("share", F.col("_to") - F.coalesce(F.lag("_to").over(ordered), F.lit(0)))
+    shares = shares.where("share > 0").select("topic", "partition", "share")
+    # No share is above the limit: tasks send that many rows of a partition at most.
+    ranked = first_per_group(waiting, ["topic", "partition"], ["offset"], records)
+    ranked = ranked.withColumn("_place", F.row_number().over(Window.partitionBy("topic", "partition").orderBy("offset")))
+    taken = ranked.join(shares, ["topic", "partition"]).where("_place <= share")
+    return taken.groupBy("topic", "partition").agg(
+        F.min("offset").alias("from_offset"), F.max("offset").alias("to_offset"), F.count(F.lit(1)).alias("records")
+    )
