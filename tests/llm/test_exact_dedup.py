@@ -51,6 +51,31 @@ def test_state_outlives_a_run_and_never_expires(spark, frame, tmp_path):
     assert all(path in r.locator for r in state.select("locator").collect())
 
 
+def test_later_runs_meet_the_keepers_of_earlier_ones(spark, frame, tmp_path):
+    """A digest of one byte, so that new texts share entries with other texts of the first run."""
+    def weak(text):
+        return F.substring(F.unhex(F.sha2(text, 256)), 1, 1).cast("binary")
+
+    path, checkpoint = str(tmp_path / "in"), str(tmp_path / "state")
+
+    def run(rows):
+        docs = frame(rows, "doc_id long, text string")
+        docs.write.mode("append").parquet(path)
+        return ed.exact_duplicates(docs, ed.open_stream(spark, path), checkpoint, weak).collect()
+
+    run([(i, f"first {i}") for i in range(300)])
+    new = run([(1000 + i, f"second {i}") for i in range(50)])
+    assert len(new) == 50 and all(r.kept and r.keep_id == r.doc_id for r in new)
+
+    path, exact = str(tmp_path / "other"), str(tmp_path / "exact")
+    frame([(i, f"first {i}") for i in range(20)], "doc_id long, text string").write.parquet(path)
+    ed.update_state(ed.open_stream(spark, path), exact)
+    again = frame([(5, "first 7"), (6, "new")], "doc_id long, text string")
+    again.write.mode("append").parquet(path)
+    found = {r.doc_id: (r.keep_id, r.kept, r.group_size) for r in ed.exact_duplicates(again, ed.open_stream(spark, path), exact).collect()}
+    assert found == {5: (7, False, 2), 6: (6, True, 1)}
+
+
 def test_plans_run_no_python(frame):
     docs = frame(ROWS, "doc_id int, text string")
     plan = ed.exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()

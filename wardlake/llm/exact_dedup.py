@@ -27,6 +27,8 @@ STATE_OPTIONS = {
     f"{STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{STORE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{STORE}.rocksdb.allowFAllocate": "false",
+    f"{STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{STORE}.rocksdb.maxMemoryUsageMB": "128",
 }
 #: Bytes of files that one core takes in a micro-batch.
 BATCH_BYTES_PER_CORE = 64 << 20
@@ -93,6 +95,20 @@ def open_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(batch)).parquet(pattern)
 
 
+def earlier_keepers(spark: SparkSession, state: DataFrame, keyed: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """digest, keep_id and text of the keepers that entries of ``keyed`` rows have from earlier runs, read from the
+    files that their locators name."""
+    asked = keyed.select("digest", "doc_id").distinct()
+    here = asked.join(state.select("digest", F.col("keep_id").alias("doc_id")), ["digest", "doc_id"], "left_semi").select("digest")
+    missing = state.where("keep_id IS NOT NULL AND group_size > 1").join(asked.select("digest"), "digest", "left_semi")
+    missing = missing.join(here, "digest", "left_anti").select("digest", "keep_id", "locator")
+    paths = [r[0] for r in missing.select("locator").distinct().collect()]  # one of each file
+    if not paths:
+        return keyed.select("digest", F.col("doc_id").alias("keep_id"), "text").limit(0)
+    stored = with_key(spark.read.parquet(*paths), digest).select("digest", F.col("doc_id").alias("keep_id"), "text")
+    return stored.join(missing.select("digest", "keep_id"), ["digest", "keep_id"], "left_semi").distinct()
+
+
 def exact_duplicates(
     docs: DataFrame,
     stream: DataFrame | None = None,
@@ -105,7 +121,11 @@ def exact_duplicates(
     and streamed from there. Of equal texts the row with the largest doc_id stays. A null text
     counts as empty. Rows that repeat a doc_id and its text are one group and are all marked kept
     if theirs is the largest id; a null doc_id sorts lowest and stays only where no other row has
-    its text. No rows give no rows. Other columns are not read.
+    its text. No rows give no rows. Other columns are not read. Texts of any length are compared whole, as Spark's strings.
+
+    With a ``checkpoint`` of earlier runs, ``docs`` are the new rows; a text that an earlier row has already goes to the group of
+    that entry's keeper, whose file must still be there. Where a digest turns out to stand for several texts, the group's
+    size counts the rows of this run and the keeper.
     """
     spark = docs.sparkSession
     folder = run_folder(spark)
@@ -123,25 +143,17 @@ def exact_duplicates(
         "found",
         folder,
     )
-    # Full bytes of every row that hit an entry, against those of the entry's keeper. Texts are
-    # shuffled once; what goes on from there are hits only.
-    hits = written(keyed.join(repeated, "digest"), "hits", folder)
-    keepers = (
-        hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .groupBy("digest")
-        .agg(F.max("text").alias("kept_text"))
-    )
-    differing = (
-        hits.select("digest", "text")
-        .join(keepers, "digest")
-        .where(F.col("text") != F.col("kept_text"))
-        .select("digest")
-        .distinct()
-    )
-    differing = written(differing, "differing", folder)
+    # Full bytes of every row that hit an entry, and of keepers of earlier runs: an entry is one text if its least and
+    # its greatest text are equal. They are found before the shuffle, so copies of a text are one row of each task.
+    hits = keyed.join(repeated, "digest")
+    earlier = written(earlier_keepers(spark, state, keyed, digest), "earlier", folder)
+    texts = hits.select("digest", "text").unionByName(earlier.select("digest", "text"))
+    differing = texts.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("greatest"))
+    differing = written(differing.where("least != greatest").select("digest"), "differing", folder)
     split = hits.select("doc_id", "digest", "text").join(differing, "digest", "left_semi")
-    by_text = split.groupBy("digest", "text").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    known = split.unionByName(earlier.select(F.col("keep_id").alias("doc_id"), "digest", "text"))
+    by_text = written(
+        known.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "by-text", folder
     )
     apart = split.join(by_text, ["digest", "text"]).select(
         "doc_id", "digest", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"
