@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.llm.encoding import slices
 from wardlake.session import run_folder, ship_package
 
 # What separates words (space, and tab to carriage return).
@@ -27,6 +32,24 @@ def fold(modulus: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def rows_where(docs: DataFrame, decide: Callable[[pa.RecordBatch], np.ndarray], **more: Column) -> DataFrame:
+    """The rows of ``docs``, whatever their columns, for which ``decide`` says so. It is given batches of whole texts
+    (``text``: null as empty) and the columns ``more``. Every row is decided on its own: ids may be null or repeat,
+    and nothing is shuffled."""
+    ship_package(docs.sparkSession)
+    kept, names = docs.schema, [f"_{name}" for name in more]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    asked = docs.withColumns({"_text": text} | {f"_{name}": column for name, column in more.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                given = batch.select(["_text", *names]).rename_columns(["text", *more])
+                yield batch.select(kept.names).filter(pa.array(decide(given), pa.bool_()))
+
+    return asked.mapInArrow(run, kept)
+
+
 def written(frame: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The frame, written once in the shared folder and read again: what follows neither repeats
     the work nor depends on the executor that did it."""

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlake.llm.base import fold, texts
+from wardlake.llm.base import fold, rows_where, texts
 from wardlake.llm.encoding import slices
 from wardlake.llm.hashing import column_bytes
 
@@ -204,6 +204,28 @@ def pooled(network: Network, column: pa.Array) -> np.ndarray:
     return sums / np.maximum(sizes, 1)[:, None]
 
 
+def decided(network: Network | None, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of every text of a batch with ``text`` and ``lettered``."""
+    lettered = batch.column("lettered").to_numpy(zero_copy_only=False)
+    if network is None:
+        return np.full(len(lettered), UNDETERMINED, object), np.zeros(len(lettered))
+    means = pooled(network, batch.column("text"))
+    best = means.argmax(1)
+    names = np.where(lettered, np.array(network.languages, object)[best], UNDETERMINED)
+    return names, np.where(lettered, means[np.arange(len(best)), best].clip(0, 1), 0.0)
+
+
+def of_a_language(docs: DataFrame, network: Network | None, least: float) -> DataFrame:
+    """The rows of ``docs`` whose whole text has a letter and a language with at least ``least`` of its bytes. Null
+    and empty texts have none; ids are not looked at; no rows give none."""
+
+    def decide(batch: pa.RecordBatch) -> np.ndarray:
+        names, scores = decided(network, batch)
+        return (names != UNDETERMINED) & (scores >= least)
+
+    return rows_where(docs, decide, lettered=has_letter(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
 def identified(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, lang_pred, score of every row's whole text.
 
@@ -215,14 +237,7 @@ def identified(docs: DataFrame, network: Network | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                lettered = batch.column("lettered").to_numpy(zero_copy_only=False)
-                if network is None:
-                    names, scores = np.full(len(lettered), UNDETERMINED, object), np.zeros(len(lettered))
-                else:
-                    means = pooled(network, batch.column("text"))
-                    best = means.argmax(1)
-                    names = np.where(lettered, np.array(network.languages, object)[best], UNDETERMINED)
-                    scores = np.where(lettered, means[np.arange(len(best)), best].clip(0, 1), 0.0)
+                names, scores = decided(network, batch)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(names.tolist(), pa.string()), pa.array(scores)],
                     ["doc_id", "lang_pred", "score"],

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.base import fold, texts
+from wardlake.llm.base import fold, rows_where, texts
 from wardlake.llm.encoding import slices
 from wardlake.llm.hashing import ALPHANUMERIC, Words, as_lists, column_bytes, mixed
 
@@ -178,6 +178,15 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def calm(docs: DataFrame, machine: Machine) -> DataFrame:
+    """The rows of ``docs`` whose whole text scores below 0.5; ids are not looked at, and no rows give none."""
+
+    def decide(batch: pa.RecordBatch) -> np.ndarray:
+        return machine.scores(terms_of(batch.column("text"), machine.terms)) < 0.5
+
+    return rows_where(docs, decide)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted; see ``train`` and ``scored``."""
     rows = scored(docs, train(docs, labels))
