@@ -37,14 +37,14 @@ def rows_where(docs: DataFrame, decide: Callable[[pa.RecordBatch], np.ndarray],
     (``text``: null as empty) and the columns ``more``. Every row is decided on its own: ids may be null or repeat,
     and nothing is shuffled."""
     ship_package(docs.sparkSession)
-    kept, names = docs.schema, [f"_{name}" for name in more]
+    kept, given_as, names = docs.schema, ["text", *more], ["_text", *[f"_{name}" for name in more]]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     asked = docs.withColumns({"_text": text} | {f"_{name}": column for name, column in more.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
-                given = batch.select(["_text", *names]).rename_columns(["text", *more])
+                given = batch.select(names).rename_columns(given_as)
                 yield batch.select(kept.names).filter(pa.array(decide(given), pa.bool_()))
 
     return asked.mapInArrow(run, kept)
