@@ -54,19 +54,19 @@ def test_stages_keep_columns_rows_and_odd_documents(spark, frame):
     assert len(pipeline.STAGES) == 5
 
 
-def test_rows_without_an_id_are_decided_one_by_one(spark, frame):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    scored = toxicity.toxicity(docs, spark.read.parquet(f"{FOLDER}/labels.parquet")).join(docs, "doc_id").orderBy("score").collect()
-    toxic, clean = scored[-1].text, next(r.text for r in scored if r.text and len(r.text) > 200)
-    assert scored[-1].predicted == 1
-    odd = [(None, clean), (None, toxic), (None, None), (7_000_001, clean + " end"), (7_000_001, toxic), (7_000_002, clean), (7_000_002, clean)]
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    left = docs.unionByName(frame([(*r, "en", "s", 1) for r in odd], schema))
-    for name, stage in pipeline.STAGES[:3]:
-        left = spark.createDataFrame(stage(spark, left, FOLDER).collect(), schema)
-        texts = [(r.doc_id, r.text) for r in left.collect() if r.doc_id is None or r.doc_id > 7_000_000]
-        assert (None, None) not in texts and (name == "language_id" or toxic not in [t for _, t in texts])
-    assert sorted(texts) == [(7_000_001, clean + " end"), (7_000_002, clean)]
+def test_rows_without_an_id_are_decided_one_by_one(spark, frame, tmp_path):
+    toxic, clean = "you idiot there", "calm words here"
+    frame([(i, int(i % 3 == 0), 1) for i in range(90)], "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(i, f"{toxic if i % 3 == 0 else clean} {i}") for i in range(90)]
+    odd = [(None, clean), (None, toxic), (None, None), (None, clean), (201, clean + " end"), (201, toxic), (202, "own"), (202, "own"), (203, clean)]
+    docs = frame([(*r, "en", "s", 1) for r in rows + odd], "doc_id long, text string, lang string, source string, n_chars long")
+    calm = pipeline.toxic(spark, docs, str(tmp_path))
+    assert calm.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in calm.collect() if r.doc_id is None or r.doc_id > 200) == sorted(
+        (str(i), str(t)) for i, t in odd if t != toxic
+    )
+    left = [(r.doc_id, r.text) for r in pipeline.exact(spark, calm, str(tmp_path)).collect() if r.doc_id is None or r.doc_id > 200]
+    assert sorted(left, key=str) == sorted([(None, None), (201, clean + " end"), (202, "own"), (203, clean)], key=str)
 
 
 def test_a_run_without_rows(spark, frame, tmp_path):

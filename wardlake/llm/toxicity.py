@@ -153,9 +153,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mach
         .limit(MOST_TERMS)
     )
     terms = np.sort(np.array([r.term for r in chosen.select("term").collect()], np.int64).view(_U))
-    rows = run(terms).collect()
-    found = [np.array(r.terms, np.int64).view(_U) for r in rows]
-    return fit(terms, found, np.array([r.toxic for r in rows], float))
+    # As Arrow: rows as Python numbers would take several times the memory on the driver.
+    table = run(terms).toArrow()
+    found = [np.asarray(f.values).view(_U) for f in table.column("terms")]
+    return fit(terms, found, table.column("toxic").to_numpy().astype(float))
 
 
 def scored(docs: DataFrame, machine: Machine) -> DataFrame:
