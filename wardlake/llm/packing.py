@@ -86,7 +86,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW)
         for whole in batches:
             for batch in slices(whole, "text"):
                 rows = []
-                encoded = encoder.many(batch.column("text").to_pylist())
+                encoded = encoder.many(batch.column("text"))
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
                     ids += end
                     total = len(ids) // 4

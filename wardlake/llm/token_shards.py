@@ -163,7 +163,7 @@ def shards(docs: DataFrame, vocabulary: str | None = None, shard_tokens: int = S
         found: list[bytes] = []
         for whole in batches:
             for batch in slices(whole, "text"):
-                encoded = encoder.many(batch.column("text").to_pylist())
+                encoded = encoder.many(batch.column("text"))
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
                     doc_ids.append(doc_id)
                     found.append(ids + end)
