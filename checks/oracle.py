@@ -497,6 +497,10 @@ SELECT CAST(make_timestamp(resulted_at) AS DATE) AS metric_date, test_code,
   COUNT(*) AS result_count, AVG((resulted_at - collected_at) / 60000000) AS avg_minutes,
   MIN((resulted_at - collected_at) / 60000000) AS min_minutes,
   MAX((resulted_at - collected_at) / 60000000) AS max_minutes
+FROM labs WHERE resulted_at IS NOT NULL AND collected_at IS NOT NULL GROUP BY ALL""",
+    "gold_turnaround_quantiles": """
+SELECT test_code, CAST(date_trunc('month', make_timestamp(resulted_at)) AS DATE) AS month, COUNT(*) AS result_count,
+  TRUE AS p50_within, TRUE AS p95_within
 FROM labs WHERE resulted_at IS NOT NULL AND collected_at IS NOT NULL GROUP BY ALL""",
     "win_latest_per_key": """
 SELECT patient_id, op, ver, insurance_id FROM patients_cdc
@@ -617,6 +621,10 @@ SELECT latest_news2_risk, COUNT(*) AS patient_count FROM patient_summary GROUP B
     "nl_note_search": f"""
 SELECT note_id, patient_id, authored_by, gender, latest_news2_risk
 FROM notes JOIN patient_summary USING (patient_id)
+WHERE lower(note_text) LIKE '%{NOTE_KEYWORD}%'""",
+    "nl_note_search_indexed": f"""
+SELECT note_id, patient_id, authored_by, gender, latest_news2_risk
+FROM notes JOIN patient_summary USING (patient_id)
 WHERE lower(note_text) LIKE '%{NOTE_KEYWORD}%'""",
     "nl_notes_by_author": """
 SELECT authored_by, COUNT(*) AS note_count FROM notes GROUP BY authored_by

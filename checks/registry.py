@@ -14,6 +14,7 @@ from wardlake.functions import clinical, mask_pii, mrn_digest, temporal
 from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import join_unique
 from wardlake.operators.merge import OP, change_op, merge_changes
+from wardlake.operators.postings import TextIndex
 from wardlake.operators.vectors import cosine_topk
 from wardlake.plans import bronze, gold, metrics, questions, reports, retrieval, semantic, silver
 from wardlake.schemas import PATIENTS, SOURCE_TABLES, VITALS
@@ -533,6 +534,24 @@ for mart_name in gold.MARTS:
     mart_query(f"gold_{mart_name}", mart_name)
 
 
+@query
+def gold_turnaround_quantiles(t: Tables) -> DataFrame:
+    """Quantiles per test and month from stored daily sketches, and whether their exact ranks are within the stated error."""
+    store = CommittedTable(t.spark, f"{run_folder(t.spark)}/sketches")
+    store.publish(gold.turnaround_sketches(t.silver["lab_results"]))
+    month = F.trunc("metric_date", "month").alias("month")
+    found = gold.turnaround_quantiles(store.read(), ["test_code", month])
+    exact = gold.lab_minutes(t.silver["lab_results"]).select("test_code", month, "minutes")
+    ranks = []
+    for name, share in (("p50", 0.5), ("p95", 0.95)):
+        below = F.avg(F.when(F.col("minutes") < F.col(f"{name}_minutes"), 1.0).otherwise(0.0))
+        upto = F.avg(F.when(F.col("minutes") <= F.col(f"{name}_minutes"), 1.0).otherwise(0.0))
+        within = (below <= share + gold.RANK_ERROR) & (upto >= share - gold.RANK_ERROR)
+        ranks.append(within.alias(f"{name}_within"))
+    joined = exact.join(found, ["test_code", "month"])
+    return joined.groupBy("test_code", "month").agg(F.max("result_count").alias("result_count"), *ranks)
+
+
 # Windows ---------------------------------------------------------------------------
 
 
@@ -653,6 +672,15 @@ def nl_note_search(t: Tables) -> DataFrame:
     return found.select("note_id", "patient_id", "authored_by", "gender", "latest_news2_risk")
 
 
+@query
+def nl_note_search_indexed(t: Tables) -> DataFrame:
+    """The same notes by the posting lists of their trigrams."""
+    index = TextIndex(t.spark, f"{run_folder(t.spark)}/notes", "note_id", "note_text")
+    index.build(t.notes)
+    found = questions.notes_with_patients(index.search(NOTE_KEYWORD), t.mart("patient_summary"))
+    return found.select("note_id", "patient_id", "authored_by", "gender", "latest_news2_risk")
+
+
 @query
 def nl_notes_by_author(t: Tables) -> DataFrame:
     return questions.notes_by_author(t.notes)

@@ -167,6 +167,24 @@ def test_lab_turnaround(spark):
     assert (found.result_count, found.avg_minutes, found.max_minutes) == (2, 1.5, 2.0)
 
 
+def test_turnaround_quantiles_from_merged_sketches(spark):
+    day, n = 86_400_000_000, 30_000
+    df = spark.range(n).selectExpr(
+        "id AS result_id", "if(id % 3 = 0, 'K', 'NA') AS test_code", f"id % 40 * {day} AS resulted_at",
+        f"id % 40 * {day} - (id * 7919 % {n}) * 60000000 AS collected_at",
+    )
+    sketches = gold.turnaround_sketches(df.unionByName(spark.createDataFrame([(-1, "NULLS", 0, None)], df.schema)))
+    assert sketches.select("metric_date", "test_code").distinct().count() == sketches.count()
+    shares = {"p1": 0.01, "p50": 0.5, "p95": 0.95}
+    for r in gold.turnaround_quantiles(sketches, ["test_code"], shares).collect():
+        times = sorted(i * 7919 % n for i in range(n) if (i % 3 == 0) == (r.test_code == "K"))
+        assert r.result_count == len(times)
+        for name, share in shares.items():
+            assert r[name] in times and abs(times.index(r[name]) / len(times) - share) <= gold.RANK_ERROR
+    whole = gold.turnaround_quantiles(sketches, []).collect()
+    assert [r.result_count for r in whole] == [n] and abs(whole[0].p50_minutes - n / 2) <= gold.RANK_ERROR * n
+
+
 def test_unknown_mart(silver_tables):
     with pytest.raises(KeyError, match="patient_360"):
         gold.build_mart("patient_360", silver_tables)
