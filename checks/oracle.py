@@ -639,6 +639,7 @@ FROM (SELECT *, sqrt(SUM(value * value) OVER (PARTITION BY note_id)) AS norm
       FROM (SELECT note_id, bucket, n * weight AS value FROM note_words JOIN note_weights USING (bucket)))""",
     "rag_topk_odd_vectors": "SELECT query_id, note_id, round(score, 3) AS score FROM odd_hits",
     "rag_cosine_topk": "SELECT query_id, note_id, round(score, 3) AS score FROM hits",
+    "rag_cosine_cells": "SELECT query_id, note_id, round(score, 3) AS score FROM hits",
     "rag_structured_ctx": f"""
 SELECT 'STRUCTURED DATA' AS section, patient_id, CAST(NULL AS BIGINT) AS result_id,
   {_ABOUT} AS line

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.adapters import AS_OF, CENSUS_AS_OF, Tables, plain_times
 from wardlake.functions import clinical, mask_pii, mrn_digest, temporal
+from wardlake.operators.balls import BallIndex
 from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import join_unique
 from wardlake.operators.merge import OP, change_op, merge_changes
@@ -719,6 +720,16 @@ def rag_cosine_topk(t: Tables) -> DataFrame:
     return hits(t.vectors).withColumn("score", F.round("score", 3))
 
 
+@query
+def rag_cosine_cells(t: Tables) -> DataFrame:
+    """The same hits from a stored corpus, by the cells that a query's bounds admit."""
+    folder = run_folder(t.spark)
+    index = BallIndex(t.spark, f"{folder}/balls")
+    index.build(t.vectors.withColumnRenamed("vec_id", "note_id"))
+    found = index.search(t.vectors.withColumnRenamed("vec_id", "query_id"), f"{folder}/asked")
+    return found.hits.withColumn("score", F.round("score", 3))
+
+
 @query
 def rag_topk_odd_vectors(t: Tables) -> DataFrame:
     """Some vectors are longer, some have an unknown or an undefined element, some are missing."""
