@@ -4,7 +4,7 @@ from helpers import SEED_DAY, land, seed_records
 
 from pyspark.sql import functions as F
 
-from wardlake.__main__ import main
+from wardlake.__main__ import main, stored_cells
 from wardlake.schemas import SOURCE_TABLES
 
 
@@ -33,6 +33,7 @@ def test_the_jobs_in_order(spark, tmp_path, capsys):
     assert answer["rows"] == [["1", "M"]] and answer["truncated"] is True
     assert main([*base, "embed"]) == 0
     assert main([*base, "retrieve", "oxygen support", "--hits", "1"]) == 0
+    assert stored_cells(spark, str(tmp_path / "lake")).members().count() == 2
     parts = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
     assert [(p["query_id"], p["note_id"]) for p in parts if p["part"] == "hits"] == [(0, 2)]
     assert {p["part"] for p in parts} == {"hits", "patients", "notes", "note_context", "structured_context"}

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.operators.balls import BallIndex
 from wardlake.operators.vectors import TOP_K
 from wardlake.plans import metrics, reports, retrieval, semantic
 from wardlake.plans.gold import MARTS
@@ -77,6 +79,19 @@ def embedded(spark: SparkSession, base: str) -> tuple[DataFrame, retrieval.Embed
     return read_table(spark, "notes", [f"{base}/retrieval"]), model
 
 
+def store_cells(spark: SparkSession, base: str, notes: DataFrame) -> None:
+    """The cells of the notes' vectors in a new folder, which counts once its name is published."""
+    root = f"{base}/retrieval/cells-{uuid.uuid4().hex}"
+    BallIndex(spark, root).build(notes)
+    CommittedTable(spark, f"{base}/retrieval/cells").publish(spark.createDataFrame([(root,)], "root STRING"))
+
+
+def stored_cells(spark: SparkSession, base: str) -> BallIndex | None:
+    """The cells published last; none for vectors that were stored without."""
+    published = CommittedTable(spark, f"{base}/retrieval/cells").read()
+    return BallIndex(spark, published.first()["root"]) if published is not None else None
+
+
 def main(argv: list[str] | None = None) -> int:
     given = arguments().parse_args(argv)
     spark = build_session(f"wardlake-{given.job}", given.master)
@@ -148,11 +163,12 @@ def main(argv: list[str] | None = None) -> int:
         model = retrieval.fit_embedder(texts)
         CommittedTable(spark, f"{base}/retrieval/weights").publish(model.weights)
         CommittedTable(spark, f"{base}/retrieval/notes").publish(retrieval.embed(model, texts))
+        store_cells(spark, base, embedded(spark, base)[0])
     elif given.job == "retrieve":
         notes, model = embedded(spark, base)
         asked = spark.createDataFrame(list(enumerate(given.question)), "query_id BIGINT, embed_text STRING")
         marts = [read_table(spark, name, gold) for name in ("patient_summary", "critical_alerts")]
-        answer = retrieval.retrieve(notes, asked, model, *marts, run_folder(spark), given.hits)
+        answer = retrieval.retrieve(notes, asked, model, *marts, run_folder(spark), given.hits, stored_cells(spark, base))
         for name, frame in answer.items():
             for line in frame.toJSON().toLocalIterator():
                 print(json.dumps({"part": name} | json.loads(line), ensure_ascii=False))

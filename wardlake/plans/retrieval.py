@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardlake.operators.balls import BallIndex
 from wardlake.operators.vectors import SCORE_DIGITS, TOP_K, cosine_topk
 
 # Fixed value: characters of a note that an answer cites.
@@ -84,15 +85,24 @@ def embed(model: Embedder, texts: DataFrame, column: str = "embed_text", key: st
 
 
 def retrieve(
-    corpus: DataFrame, asked: DataFrame, model: Embedder, summary: DataFrame, alerts: DataFrame, folder: str, k: int = TOP_K
+    corpus: DataFrame,
+    asked: DataFrame,
+    model: Embedder,
+    summary: DataFrame,
+    alerts: DataFrame,
+    folder: str,
+    k: int = TOP_K,
+    index: BallIndex | None = None,
 ) -> dict[str, DataFrame]:
     """From questions (query_id, embed_text) to hits, patients, notes used and both contexts.
 
-    ``corpus`` are notes with stored vectors. The hits are written once below ``folder``, since every
-    part of an answer starts from them.
+    ``corpus`` are notes with stored vectors, and ``index`` the cells of these vectors; without it all of them are
+    compared, with the same hits. The hits are written once below ``folder``, since every part of an answer starts
+    from them.
     """
     spark = corpus.sparkSession
-    hits = cosine_topk(corpus, embed(model, asked, key="query_id"), k)
+    vectors = embed(model, asked, key="query_id")
+    hits = index.search(vectors, f"{folder}/asked", k).hits if index else cosine_topk(corpus, vectors, k)
     found = hit_notes(hits, corpus.drop("embedding"))
     found.write.mode("overwrite").parquet(f"{folder}/hits")
     found = spark.read.schema(found.schema).parquet(f"{folder}/hits")
