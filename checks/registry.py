@@ -488,10 +488,7 @@ def join_notes(t: Tables) -> DataFrame:
 
 @query
 def join_id_filter(t: Tables) -> DataFrame:
-    lines = retrieval.structured_context(t.notes, t.mart("patient_summary"), t.mart("critical_alerts"))
-    return lines.groupBy("section").agg(
-        F.count(F.lit(1)).alias("line_count"), F.count_distinct("patient_id").alias("patient_count")
-    )
+    return retrieval.section_counts(retrieval.structured_context(t.notes, t.mart("patient_summary"), t.mart("critical_alerts")))
 
 
 # Aggregations and marts ------------------------------------------------------------

@@ -322,3 +322,10 @@ def test_preview_is_cut_but_the_note_is_not(notes):
 
 def test_seed_has_every_table():
     assert set(SEED) == set(SOURCE_TABLES)
+
+
+def test_a_section_without_lines_counts_zero(frame):
+    lines = frame([(retrieval.STRUCTURED, 1), (retrieval.STRUCTURED, 1), (retrieval.STRUCTURED, 2)], "section string, patient_id int")
+    counts = {tuple(r) for r in retrieval.section_counts(lines).collect()}
+    assert counts == {(retrieval.STRUCTURED, 3, 2), (retrieval.ALERTS, 0, 0)}
+    assert {tuple(r)[1:] for r in retrieval.section_counts(lines.limit(0)).collect()} == {(0, 0)}

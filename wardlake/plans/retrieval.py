@@ -156,7 +156,10 @@ def note_context(found: DataFrame) -> DataFrame:
     return blocks.groupBy("query_id").agg(F.array_join(ordered, "\n\n").alias("context"))
 
 
-# The wording of the lines below, which readers of an answer parse.
+# The sections, and the wording of the lines below, which readers of an answer parse.
+STRUCTURED, ALERTS = "STRUCTURED DATA", "CRITICAL ALERTS"
+
+
 def structured_context(
     patients: DataFrame, summary: DataFrame, alerts: DataFrame
 ) -> DataFrame:
@@ -186,15 +189,24 @@ def structured_context(
         F.lit(" ("), _shown("abnormal_direction"), F.lit(")"),
     )
     summaries = summary.join(ids, "patient_id", "left_semi").select(
-        F.lit("STRUCTURED DATA").alias("section"),
+        F.lit(STRUCTURED).alias("section"),
         "patient_id",
         F.lit(None).cast("bigint").alias("result_id"),
         about.alias("line"),
     )
     alert_lines = alerts.join(ids, "patient_id", "left_semi").select(
-        F.lit("CRITICAL ALERTS").alias("section"),
+        F.lit(ALERTS).alias("section"),
         "patient_id",
         F.col("result_id").cast("bigint").alias("result_id"),
         alert.alias("line"),
     )
     return summaries.unionByName(alert_lines)
+
+
+def section_counts(lines: DataFrame) -> DataFrame:
+    """Lines and patients of each section of a context; a section without lines counts 0."""
+    sections = lines.sparkSession.createDataFrame([(STRUCTURED,), (ALERTS,)], "section string")
+    counts = lines.groupBy("section").agg(
+        F.count(F.lit(1)).alias("line_count"), F.count_distinct("patient_id").alias("patient_count")
+    )
+    return sections.join(counts, "section", "left").fillna(0, ["line_count", "patient_count"])
