@@ -1,11 +1,13 @@
 """The change stream on landing files: sinks, restart, replay, late changes, the whole run."""
 
+import shutil
+
 import pytest
 from helpers import MICROS, PATIENTS, SEED_DAY, VITALS, land, record, rows_by, seed_records
 
 from wardlake.operators.merge import OP
-from wardlake.schemas import SOURCE_TABLES, VITALS as VITALS_TABLE
-from wardlake.sources.changes import admitted, kafka_options, read_kafka, read_landing
+from wardlake.schemas import CHANGE_RECORD, SOURCE_TABLES, VITALS as VITALS_TABLE
+from wardlake.sources.changes import admitted, all_waiting, in_batches, kafka_options, read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, jdbc_options, read_table, register_views
 from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
@@ -17,6 +19,7 @@ from wardlake.streaming.bronze import (
     read_dead_letters,
     start_bronze,
     write_bronze_batches,
+    write_limited_batches,
 )
 from wardlake.streaming.listener import MetricsListener
 from wardlake.streaming.pipeline import run_pipeline
@@ -245,3 +248,33 @@ def test_source_options(spark):
 
 def test_seed_time():
     assert MICROS // 1_000_000 == 1_700_000_000
+
+
+def test_batches_of_a_log_mix_its_partitions(spark):
+    rows = [("a", p, 10 * n + p) for p, count in ((0, 50), (1, 9), (2, 1)) for n in range(count)] + [("b", 0, n) for n in range(4)]
+    log = spark.createDataFrame(rows, "topic STRING, partition INT, offset LONG")
+    ranges = all_waiting(log, spark.createDataFrame([("a", 0, 99)], "topic STRING, partition INT, to_offset LONG"))
+    found = in_batches(log, ranges, 7, bin_records=8).collect()
+    left = [r for r in rows if not (r[:2] == ("a", 0) and r[2] <= 99)]
+    assert sorted(r[:3] for r in found) == sorted(left)
+    own = {p: sorted((r.offset, r.batch) for r in found if (r.topic, r.partition) == ("a", p)) for p in range(3)}
+    sizes = [sum(b == at for o in own.values() for _, b in o) for at in range(8)]
+    assert sizes == [7] * 7 + [1] and all([b for _, b in o] == sorted(b for _, b in o) for o in own.values())
+    assert {sum(b == at for _, b in own[1]) for at in range(7)} == {1, 2}
+
+
+def test_limited_batches_take_one_job_and_replace_what_failed(spark, tmp_path):
+    rows = [record("vitals", {**VITALS[0], "vital_id": i}, i) for i in range(40)]
+    land(tmp_path / "in", "1", rows)
+    log = spark.read.schema(CHANGE_RECORD).json(str(tmp_path / "in"))
+    base, folder = str(tmp_path / "lake"), tmp_path / "lake" / "bronze" / "vitals"
+    assert write_limited_batches(spark, log, VITALS_TABLE, base, 3, batches=2) == 2
+    # A try that failed after it had written its batches.
+    shutil.copytree(folder / "batch_id=1", folder / "batch_id=5")
+    assert write_limited_batches(spark, log, VITALS_TABLE, base, 3) == 12
+    found = spark.read.parquet(str(folder)).groupBy("batch_id").count().collect()
+    assert sorted((r.batch_id, r["count"]) for r in found) == [(i, 3) for i in range(13)] + [(13, 1)]
+    assert spark.read.parquet(str(folder)).select("vital_id").distinct().count() == 40
+    assert write_limited_batches(spark, log, VITALS_TABLE, base, 3) == 0
+    # As many commits as calls that wrote, not as batches.
+    assert spark.read.parquet(f"{base}/_ledger/bronze_vitals").select("commit").distinct().count() == 2
