@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import join_unique
 from wardlake.operators.merge import change_op, live_rows, merge_changes, merge_into
-from wardlake.operators.vectors import cosine_topk, left_out
+from wardlake.operators.vectors import RANK_DIGITS, _top_of_cell, cosine_topk, left_out, unit
 from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
 
@@ -208,3 +209,19 @@ def test_vectors_that_cannot_be_compared(spark):
     expected = brute_force(good, [(1, good[0][1]), (2, good[5][1])], 3) | brute_force(other, [(9, other[1][1])], 3)
     assert {(r.query_id, r.note_id) for r in found} == {(q, n) for q, n, _ in expected}
     assert {(r.length, r.row_count) for r in left_out(corpus).collect()} >= {(2, 4), (0, 1)}
+
+
+def test_scores_of_many_queries_take_bounded_memory():
+    r = np.random.default_rng(5)
+    asked, vectors, ids = unit(r.normal(size=(20_001, 4))), r.normal(size=(3_000, 4)), np.arange(3_000)
+    tracemalloc.start()
+    query, score, key = _top_of_cell(asked, ids, vectors, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All scores of a slice would be 328 MB.
+    assert peak < 100 << 20
+    assert (np.bincount(query, minlength=20_001) == 3).all()
+    for at in (0, 511, 512, 20_000):
+        whole = np.round(unit(vectors) @ asked[at], RANK_DIGITS)
+        assert set(key[query == at]) == set(np.argsort(whole)[-3:])
+    assert all(len(part) == 0 for part in _top_of_cell(asked[:0], ids, vectors, 3))

@@ -20,8 +20,9 @@ SCORE_DIGITS = 3
 # Bytes of vectors, as doubles, that a cell of the grid holds of either side.
 CORPUS_BYTES = 128 << 20
 QUERY_BYTES = 32 << 20
-# Corpus rows a task scores at a time, which bounds its score matrix.
+# Corpus rows and queries that a task scores at a time, which bound its score matrix.
 SLICE = 2_048
+QUERIES = 512
 # Scores are ranked at this precision: equal vectors tie whatever cell they are in.
 RANK_DIGITS = 12
 
@@ -66,16 +67,21 @@ def _candidates(found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(found >= limit)
 
 
+NOTHING = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+
+
 def _top_of_cell(query_units: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
     """Top-k of every query over a cell: k rows per query are kept while it is scored."""
-    best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+    blocks = range(0, len(query_units), QUERIES)
+    best = [NOTHING for _ in blocks]
     for start in range(0, len(ids), SLICE):
-        part = ids[start : start + SLICE]
-        found = np.round(unit(vectors[start : start + SLICE]) @ query_units.T, RANK_DIGITS)
-        row, query = _candidates(found, k)
-        seen = (query, found[row, query], part[row])
-        best = _first_k(*[np.r_[old, new] for old, new in zip(best, seen)], k)
-    return best
+        part, rows = ids[start : start + SLICE], unit(vectors[start : start + SLICE])
+        for block, first in enumerate(blocks):
+            found = np.round(rows @ query_units[first : first + QUERIES].T, RANK_DIGITS)
+            row, query = _candidates(found, k)
+            seen = (query + first, found[row, query], part[row])
+            best[block] = _first_k(*[np.r_[old, new] for old, new in zip(best[block], seen)], k)
+    return tuple(np.concatenate(own) for own in zip(*best)) if best else NOTHING
 
 
 def cosine_topk(
