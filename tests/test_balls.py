@@ -84,3 +84,10 @@ def test_no_rows(spark, tmp_path):
     full.build(spark.createDataFrame([(5, [1.0, 2.0], "")], CORPUS))
     assert full.search(one.limit(0), str(tmp_path / "b")).hits.count() == 0
     assert collected(full.search(one, str(tmp_path / "c")).hits) == [("a", 5, 1.0)]
+
+
+def test_queries_of_a_part_are_bounded_by_rows(spark):
+    rows = spark.createDataFrame([(1_000_000, 2), (10, 2), (1, 4_000_000)], "n long, length int")
+    parts = [r[0] for r in rows.select(balls._query_parts("n", 32 << 20)).collect()]
+    # Narrow queries: 16 MB in all, but each may go to all cells.
+    assert parts == [-(-1_000_000 // balls.QUERY_ROWS), 1, 1]

@@ -23,15 +23,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardlake.operators.dedupe import first_per_group
-from wardlake.operators.vectors import CORPUS_BYTES, QUERY_BYTES, SLICE, TOP_K, _matrix, _top_of_cell, comparable, unit
+from wardlake.operators.vectors import CORPUS_BYTES, QUERIES, QUERY_BYTES, SLICE, TOP_K, _matrix, _top_of_cell, comparable, unit
 from wardlake.session import ship_package
 
 #: Pivots of one length: the square root of its rows, and no more than this. They are a layout, not a limit on results.
 MOST_PIVOTS = 1_024
 #: Bytes of queries, as doubles, that pass by one reading of a cell; beyond them the cell is read again elsewhere.
 PASS_BYTES = 1 << 30
-#: Queries scored at a time.
-QUERIES = 512
+#: Queries that a task compares with all cells: every one of them may be admitted to every cell.
+QUERY_ROWS = 2_048
 NO_ANGLE = -1
 LEAST_NORM = 1e-4
 #: What rounding, and the offset that is added to norms, can move a bound by.
@@ -62,6 +62,11 @@ def _parts(rows: str, size: int):
     return F.ceil(F.col(rows) * F.col("length") * 8 / size).cast("int")
 
 
+def _query_parts(rows: str, size: int):
+    """Into how many parts queries go: of ``size`` bytes, and of ``QUERY_ROWS`` rows, at most."""
+    return F.greatest(_parts(rows, size), F.ceil(F.col(rows) / QUERY_ROWS).cast("int"))
+
+
 def _share(column: str, parts: str):
     return F.pmod(F.xxhash64(column), F.col(parts)).cast("int")
 
@@ -130,7 +135,7 @@ class BallIndex:
         """query, length, cell: where the queries go. Without a ``limit``, to the nearest cells that hold k rows
         together; with one, to all cells that may hold a score of it."""
         counts = queries.groupBy("length").agg(F.count(F.lit(1)).alias("_rows"))
-        parts = counts.select("length", _parts("_rows", query_bytes).alias("parts"))
+        parts = counts.select("length", _query_parts("_rows", query_bytes).alias("parts"))
         asked = queries.join(parts, "length").withColumn("part", _share("id", "parts")).drop("parts")
         cells = self.cells().join(parts, "length").withColumn("part", _every("parts")).drop("parts")
         schema = T.StructType([T.StructField("id", queries.schema["id"].dataType), *_fields("length int, cell int")])
