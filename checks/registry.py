@@ -73,7 +73,8 @@ def change_records(t: Tables, writers: int | None = None) -> dict[str, DataFrame
         "vitals": t.vitals_raw.withColumn("log_offset", vitals_offset),
     }
     if writers:
-        rows = {name: frame.repartition(writers) for name, frame in rows.items()}
+        # What lies in that many parts is not dealt out again.
+        rows = {name: frame if frame.rdd.getNumPartitions() >= writers else frame.repartition(writers) for name, frame in rows.items()}
     return {
         name: to_records(frame, SOURCE_TABLES[name], "log_offset", sent)
         for name, frame in rows.items()
@@ -169,14 +170,18 @@ def chk_bronze_count(t: Tables) -> DataFrame:
     return bronze.count_rows(t.bronze["patients"])
 
 
-def landing(t: Tables, folder: str, names: list[str]) -> Callable:
+#: Compressed landing files are read whole, by one task each: none has more records.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 500_000}
+
+
+def landing(t: Tables, folder: str, names: list[str], **options) -> Callable:
     """Write change records as landing files; returns the stream source reading them.
 
     A topic has several partitions, so the records are spread over several writers.
     """
     records = change_records(t, writers=t.spark.sparkContext.defaultParallelism)
     for name in names:
-        records[name].write.json(f"{folder}/landing/{name}")
+        records[name].write.options(**LANDED | options).json(f"{folder}/landing/{name}")
     return lambda table: read_landing(t.spark, f"{folder}/landing/{table.name}", [table.topic])
 
 
@@ -842,7 +847,8 @@ def str_bronze_multi(t: Tables) -> DataFrame:
 @query
 def str_rate_limit(t: Tables) -> DataFrame:
     folder, table = run_folder(t.spark), SOURCE_TABLES["adt_events"]
-    landing(t, folder, ["adt_events"])
+    # A batch is one file, whatever its size: not compressed, several tasks share it.
+    landing(t, folder, ["adt_events"], compression="none", maxRecordsPerFile=0)
     limited = read_landing(t.spark, f"{folder}/landing/adt_events", [table.topic], files_per_trigger=1)
     await_all([write_bronze_batches(lambda _: limited, table, folder, every=None)])
     rows = read_bronze(t.spark, folder, "adt_events")
