@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlake.operators.merge import merge_changes
+from wardlake.sources import splits
 from wardlake.sources.splits import SplitTable
 
 ROW = "k LONG, v STRING, cdc_op STRING, ver INT"
@@ -128,3 +129,25 @@ def test_a_stamp_is_shown_by_all_rows(spark, tmp_path):
     assert [r[0] for r in table.read().select(F.date_format("at", "yyyy-MM-dd")).distinct().collect()] == ["2024-01-02"]
     table.merge(rows_of(spark, [(3, "a", 1)]), start_anew=True)
     assert content(table) == {3: "a"} and table.feed(0) is None
+
+
+def test_a_first_commit_is_dealt_out_by_ranges_and_written_once(spark, tmp_path):
+    table = SplitTable(spark, str(tmp_path / "t"), "k")
+    rows = spark.range(400_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit("c").alias("cdc_op"), F.lit(1).alias("ver"))
+    table.merge(rows, newest_by=["ver"])
+    files = sorted(table.manifest()[0], key=lambda f: f.least)
+    assert len(files) > 1 and len({f.split for f in files}) <= len(files)
+    assert all(a.greatest < b.least for a, b in zip(files, files[1:]))
+    assert sum(f.rows for f in files) == 400_000 == table.read().count()
+    bounds = sorted({(f.low is not None, f.low or 0, f.high) for f in files})
+    assert bounds[0][0] is False and bounds[-1][2] is None and all(a[2] == b[1] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_rows_of_a_first_commit_meet_in_ranges_unless_a_key_is_hot(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(splits, "LEAST_HOT", 100)
+    table = SplitTable(spark, str(tmp_path / "t"), "k")
+    even = rows_of(spark, [(k % 500, "a", k) for k in range(1000)] + [(None, "x", 1)])
+    assert table.ranges_for_first(rows_of(spark, [(7 if k % 3 else k, "a", k) for k in range(1000)])) is None
+    table.merge(table.ranges_for_first(even), newest_by=["ver"], ranged=True)
+    assert {r.k: r.ver for r in table.read().collect()} == {k: k + 500 for k in range(500)}
+    assert table.ranges_for_first(even) is None  # the table has rows to meet
