@@ -4,9 +4,11 @@ import shutil
 
 import pytest
 from helpers import MICROS, PATIENTS, SEED_DAY, VITALS, land, record, rows_by, seed_records
+from pyspark.sql import functions as F
 
 from wardlake.operators.merge import OP
 from wardlake.schemas import CHANGE_RECORD, SOURCE_TABLES, VITALS as VITALS_TABLE
+from wardlake.sources.evolution import fields_of, rescued_fields, with_more_fields
 from wardlake.sources.changes import admitted, all_waiting, in_batches, kafka_options, read_kafka, read_landing
 from wardlake.sources.tables import TableNotFound, jdbc_options, read_table, register_views
 from wardlake.sources.splits import SplitTable
@@ -278,3 +280,20 @@ def test_limited_batches_take_one_job_and_replace_what_failed(spark, tmp_path):
     assert write_limited_batches(spark, log, VITALS_TABLE, base, 3) == 0
     # As many commits as calls that wrote, not as batches.
     assert spark.read.parquet(f"{base}/_ledger/bronze_vitals").select("commit").distinct().count() == 2
+
+
+def test_all_fields_are_taken_only_where_there_are_more(spark):
+    values = [
+        '{"a": 1, "b": "x"}', '{"a": 1}', "{}", '{"a": 1, "c": [1, {"d": 2}]}', '{"a": 1, "c": null}', "{'a': 1}", '{"a": 1', '{"a": 1}, x',
+        '[{"a": 1}]', "[1]", "1", '"a"', "null", "", " ", "text", '{"a": "line\nbreak"}', '{\n"a": 1\n}', '{"a": NaN}', '{"a": {"b": "x\ty"}}', '{"a": 1, "a": 2}', None,
+    ]
+    rows = with_more_fields(spark.createDataFrame([(v,) for v in values], "value string"), ["a", "b"])
+    wanted = fields_of("value")
+    others = lambda of: rescued_fields(of, ["a", "b"])
+    found = rows.select(
+        "value", "_fields", (F.col("_more") & F.col("_fields").isNull()).alias("is_none"), wanted.isNull().alias("none"),
+        others(F.col("_fields")).alias("rescued"), others(wanted).alias("all_rescued"),
+    ).collect()
+    for r in found:
+        assert r.is_none == r.none and r.rescued == r.all_rescued, r.value
+    assert [r._fields for r in found[:3]] == [None] * 3
