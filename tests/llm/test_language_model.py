@@ -99,3 +99,17 @@ def test_tasks_without_a_feature_take_nothing_from_its_weights(frame):
 
 def test_size_of_the_model():
     assert (lm.CLASSES, lm.FREQUENT) == (64, 15) and lm.ROUNDS >= 2
+
+
+def test_slopes_are_summed_by_feature_whether_it_has_few_tokens_or_many():
+    rng = np.random.default_rng(3)
+    rows = np.stack([rng.zipf(1.3, 2_048) % 5_000, rng.integers(5_000, 12_000, 2_048), np.arange(2_048) // 25 + 12_000], 1)
+    error = rng.random((2_048, lm.CLASSES), dtype=np.float32)
+    expected = np.zeros((lm.FEATURES, lm.CLASSES))
+    for column in rows.T:
+        np.add.at(expected, column, error)
+    features, sums = lm.slope_sums(error, rows)
+    found = np.zeros_like(expected)
+    found[features] = sums
+    assert len(set(features.tolist())) == len(features) and set(features.tolist()) == set(rows.ravel().tolist())
+    assert np.bincount(rows.ravel()).max() > lm.MANY_TOKENS and np.allclose(found, expected, rtol=1e-4)
