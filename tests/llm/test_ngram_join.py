@@ -156,3 +156,29 @@ def test_links_against_brute_force(frame, monkeypatch, cell, most):
     docs = frame(rows, "doc_id long, text string")
     found = nj.near_duplicates(docs.repartition(5)).select("doc_id", "links").collect()
     assert sorted((tuple(r) for r in found), key=str) == expected
+
+
+def test_sets_that_share_many_groups_are_compared_once_each(spark, tmp_path):
+    groups = {s: [1, 2, 3, 4] for s in range(9)} | {100 + i: [10, 11 + i] for i in range(20)}
+    rows = [(s, len(m), c, c, (min(m), min(m))) for s, m in groups.items() for c in m]
+    schema = "signature long, n long, cls long, component long, lead struct<component: long, cls: long>"
+    dense, rest = nj.clusters_of(spark.createDataFrame(rows, schema), str(tmp_path))
+    assert sorted(map(tuple, dense.collect())) == [(c, 1) for c in (1, 2, 3, 4)]
+    assert {r.signature for r in rest.collect()} == {100 + i for i in range(20)}
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=12))
+def test_a_forest_connects_what_the_links_do(pairs):
+    link = np.zeros((10, 10), bool)
+    for a, b in pairs:
+        link[a, b] = link[b, a] = a != b
+    found = nj.forest(pa.array(range(100, 110)), link).to_pylist()
+    reach = {x: {x} for x in range(100, 110)}
+    for e in found:
+        whole = reach[e["a"]] | reach[e["b"]]
+        for x in whole:
+            reach[x] = whole
+    power = np.linalg.matrix_power((link | np.eye(10, dtype=bool)).astype(np.float64), 10) > 0
+    assert len(found) < 10
+    assert all((100 + b in reach[100 + a]) == power[a, b] for a in range(10) for b in range(10))

@@ -16,9 +16,11 @@ Two sets link when ``100 * |x & y| >= 75 * |x | y|``. Equal sets are one class a
    every such choice is enumerated, and its content is a signature. The condition is counted for
    every set; should a set miss it, all are cut again by another hash.
 3. *Verification.* Of the signatures that exactly the same sets share, one is kept. Every set is first
-   compared with one other of the smallest group that it is in. Signature groups within one component then are done. In the others, sets of
-   different components that have not been compared are, unless their sizes or the parities of their
-   sketches show that they differ in too many shingles.
+   compared with one other of the smallest group that it is in. Signature groups within one component then are done. The
+   others, joined wherever they share a set, make up clusters. Sets that are near each other share many signatures, and then a
+   cluster has not many more pairs than its groups have together: it is compared in tiles (see 5), each pair once, of which only links
+   that connect something leave the task. In clusters whose groups overlap little, sets of different components that share a group
+   and have not been compared are, unless their sizes or the parities of their sketches show that they differ in too many shingles.
 4. *Components.* Least labels by alternating stars, as tables.
 5. *Links.* Linked sets are in one component, so all pairs of each component are compared once more and
    counted. Large components are cut into cells of bounded size, and every two cells whose sizes may link
@@ -48,6 +50,8 @@ WORDS = 5
 FIRST_SIXTEENTHS = 5
 #: Rounds of one comparison per set.
 HOOKS = 2
+#: A cluster of signature groups is compared in tiles if it has at most this many times the pairs that its groups have.
+TILED = 4
 #: Longs of a set's sketch: one bit for the parity of each of 64 times as many parts of the domain.
 SKETCH = 16
 #: Bounds of a cell of a component: sets, and shingles of all of them unless one set alone has more.
@@ -328,6 +332,20 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     return found.unionByName(roots)
 
 
+def clusters_of(open_rows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Clusters of the signature groups of ``open_rows`` (signature, n, cls, component, lead), which hold every two sets that
+    share one: cls and component (the cluster) of those with at most ``TILED`` times the pairs of sets that their groups
+    have together, and the rows of the others."""
+    members = components(open_rows.select(F.col("cls").alias("a"), F.col("lead.cls").alias("b")), f"{folder}/clusters")
+    members = written(members.withColumnRenamed("component", "cluster"), "clusters/members", folder)
+    pairs = members.groupBy("cluster").agg((F.count(F.lit(1)) * F.count(F.lit(1))).alias("pairs"))
+    grouped = open_rows.join(members, "cls").groupBy("cluster").agg(F.sum("n").alias("grouped"))
+    dense = written(pairs.join(grouped, "cluster").where(F.col("pairs") <= TILED * F.col("grouped")).select("cluster"), "clusters/dense", folder)
+    inside = members.join(dense, "cluster", "left_semi")
+    rest = open_rows.join(inside, "cls", "left_anti")
+    return inside.select("cls", F.col("cluster").alias("component")), rest
+
+
 def class_components(sets: DataFrame, folder: str) -> DataFrame:
     """(cls, component) of classes that link with another.
 
@@ -373,8 +391,13 @@ def class_components(sets: DataFrame, folder: str) -> DataFrame:
                 .distinct()
             )
         else:
+            open_rows = written(open_rows, "open", folder)
+            dense, rest = clusters_of(open_rows, folder)
+            connecting = tiled(sets, dense, forest, "a long, b long", f"{folder}/clusters")
+            connecting = written(connecting.withColumn("link", F.lit(True)), "connecting", folder)
+            links = links.unionByName(connecting)
             # Sizes and sketches rule out most pairs that cannot link before they become rows.
-            sized = open_rows.select("signature", "cls", "component").join(measures(table), "cls")
+            sized = rest.select("signature", "cls", "component").join(measures(table), "cls")
             left, right = (
                 sized.select([F.col(c).alias(f"{x}_{c}") if c != "signature" else F.col(c) for c in sized.columns]) for x in "ab"
             )
@@ -409,8 +432,50 @@ def shared_counts(sets: list[np.ndarray], left: int, right: int) -> np.ndarray:
     return out
 
 
-def link_counts(sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
-    """cls and links (how many other classes link with it), for classes of ``labels`` (cls, component)."""
+def links_of(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """The classes of a tile, and the symmetric matrix of their links. Of a tile of two cells, only links between them are looked for."""
+    first = table.column("first").to_numpy()
+    order = np.argsort(~first, kind="stable")
+    table = table.take(pa.array(order)).combine_chunks()
+    found, left = as_arrays(table.column("shingles").chunk(0)), int(first.sum())
+    link = np.zeros((len(found), len(found)), bool)
+    own = table.column("own")[0].as_py()
+    if own or 0 < left < len(found):
+        sizes = np.array([len(s) for s in found])
+        right = 0 if own else left
+        shared = shared_counts(found, left, right)
+        link[:left, right:] = 100 * shared >= 75 * (sizes[:left, None] + sizes[None, right:] - shared)
+        if own:
+            np.fill_diagonal(link, False)
+        else:
+            link[left:, :left] = link[:left, left:].T
+    return table.column("cls"), link
+
+
+def degrees(cls: pa.Array, link: np.ndarray) -> pa.Table:
+    """cls and links, how many others of the tile link with it."""
+    return pa.table({"cls": cls, "links": pa.array(link.sum(1).astype(np.int64))})
+
+
+def forest(cls: pa.Array, link: np.ndarray) -> pa.Table:
+    """Links or chains of links, a and b, that connect all that the tile's links do: fewer than it has classes."""
+    waiting, names = np.ones(len(link), bool), cls.to_numpy()
+    a, b = [], []
+    for start in range(len(link)):
+        reached = [start] if waiting[start] else []
+        waiting[start] = False
+        for at in reached:
+            near = np.flatnonzero(link[at] & waiting)
+            waiting[near] = False
+            reached += near.tolist()
+        a += [start] * len(reached[1:])
+        b += reached[1:]
+    return pa.table({"a": names[np.array(a, np.int64)], "b": names[np.array(b, np.int64)]})
+
+
+def tiled(sets: DataFrame, labels: DataFrame, of_links, schema: str, folder: str) -> DataFrame:
+    """``of_links`` (classes, matrix of their links) of the tiles of every component of ``labels`` (cls, component).
+    A component is cut into cells by band, and every two cells whose sizes may link meet in a tile."""
     ends = F.array(*map(F.lit, band_ends()))
     placed = sets.select("cls", "n_shingles").join(labels, "cls")
     totals = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
@@ -431,27 +496,12 @@ def link_counts(sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     sides = tiles.select("a", "b", F.explode(F.when(F.expr("a = b"), F.array("a")).otherwise(F.array("a", "b"))).alias("cell"))
     rows = sides.join(cell, "cell")
     rows = rows.select("a", "b", "cls", F.expr("cell = a").alias("first"), F.expr("a = b").alias("own")).join(sets, "cls")
+    return rows.groupBy("a", "b").applyInArrow(lambda table: of_links(*links_of(table)), schema)
+
 
-    def count(table: pa.Table) -> pa.Table:
-        first = table.column("first").to_numpy()
-        order = np.argsort(~first, kind="stable")
-        table = table.take(pa.array(order)).combine_chunks()
-        found, left = as_arrays(table.column("shingles").chunk(0)), int(first.sum())
-        n = np.zeros(len(found), np.int64)
-        own = table.column("own")[0].as_py()
-        if own or 0 < left < len(found):
-            sizes = np.array([len(s) for s in found])
-            right = 0 if own else left
-            shared = shared_counts(found, left, right)
-            link = 100 * shared >= 75 * (sizes[:left, None] + sizes[None, right:] - shared)
-            if own:
-                np.fill_diagonal(link, False)
-                n += link.sum(1)
-            else:
-                n[:left], n[left:] = link.sum(1), link.sum(0)
-        return pa.table({"cls": table.column("cls"), "links": pa.array(n)})
-
-    counted = rows.groupBy("a", "b").applyInArrow(count, "cls long, links long")
+def link_counts(sets: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """cls and links (how many other classes link with it), for classes of ``labels`` (cls, component)."""
+    counted = tiled(sets, labels, degrees, "cls long, links long", folder)
     return counted.groupBy("cls").agg(F.sum("links").alias("links"))
 
 
