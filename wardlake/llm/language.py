@@ -33,10 +33,6 @@ BLOCK = 4096
 UNDETERMINED = "und"
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
 @dataclass
 class Network:
     """Arrays have a first axis for the two directions, and features before examples.
@@ -73,19 +69,37 @@ class Network:
         return [self.table, self.recur, self.candidate, self.out, self.bias]
 
     def states(self, data: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States (time, direction, unit, example) for bytes (example, time)."""
+        """States (time, direction, unit, example) for bytes (example, time). Arrays of a step are used again by the
+        next, unless ``keep`` takes them."""
         size, width = data.shape
-        h = np.zeros((2, UNITS, size), np.float32)
+        kind = np.result_type(self.table, self.recur, self.candidate)
+        h = np.zeros((2, UNITS, size), kind)
         states = np.empty((width, 2, UNITS, size), np.float32)
         both = np.stack([data.T, data.T[::-1]])
+        # sigmoid(x) is 0.5 + 0.5 * tanh(0.5 * x): the inner half goes into the weights, which is exact.
+        half = np.float32(0.5)
+        table, recur = self.table.astype(kind), self.recur * half
+        table[:, : 2 * UNITS] *= half
+        given, gates, c, reset = (np.empty((2, n * UNITS, size), kind) for n in (3, 2, 1, 1))
         for t in range(width):
-            given = np.stack([self.table[d][:, both[d, t]] for d in (0, 1)])
-            gates = sigmoid(given[:, : 2 * UNITS] + self.recur @ h)
+            if keep is not None:
+                gates, c = np.empty_like(gates), np.empty_like(c)
+            for d in (0, 1):
+                np.take(table[d], both[d, t], axis=1, out=given[d], mode="clip")
+            np.matmul(recur, h, out=gates)
+            gates += given[:, : 2 * UNITS]
+            np.tanh(gates, out=gates)
+            gates *= half
+            gates += half
             z, r = gates[:, :UNITS], gates[:, UNITS:]
-            c = np.tanh(given[:, 2 * UNITS :] + self.candidate @ (r * h))
+            np.matmul(self.candidate, np.multiply(r, h, out=reset), out=c)
+            c += given[:, 2 * UNITS :]
+            np.tanh(c, out=c)
             if keep is not None:
                 keep.append((both[:, t], h, gates, c))
-            h = c + z * (h - c)
+            h = np.subtract(h, c, out=None if keep is not None else h)
+            h *= z
+            h += c
             states[t, 0], states[width - 1 - t, 1] = h[0], h[1]
         return states
 
