@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wardlake.operators.merge import live_rows
 from wardlake.plans import bronze, gold, silver
 from wardlake.schemas import SOURCE_TABLES
-from wardlake.session import use_utc
+from wardlake.session import bound_scans, use_utc
 
 AS_OF = "2001-08-01"
 CENSUS_AS_OF = "2024-01-31"
@@ -128,7 +128,7 @@ class Tables:
     """All adapters and layers of one data folder, built lazily."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = use_utc(spark)
+        self.spark = bound_scans(use_utc(spark))
         self.folder = folder
         self.at = F.lit(AS_OF).cast("timestamp")
 

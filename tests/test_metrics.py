@@ -3,7 +3,9 @@ import datetime as dt
 from helpers import NOON, rows_by
 from pyspark.sql import functions as F
 
+from checks.adapters import Tables
 from wardlake.plans import metrics
+from wardlake.session import SCAN_BYTES, SCAN_OPTION
 
 
 def test_topic_offsets(frame):
@@ -37,3 +39,13 @@ def test_metric_rows(frame):
     rows = metrics.as_metric_rows(health, NOON).collect()
     assert [(r.entity, r.metric, r.value, r.tag) for r in rows] == [
         ("gold.mart", "row_count", 1.0, "ok"), ("gold.mart", "age_minutes", 5.0, "ok")]
+
+
+def test_no_task_of_a_query_reads_more_than_a_bounded_part_of_a_file(spark):
+    before = spark.conf.get(SCAN_OPTION)
+    try:
+        for given, expected in (("128m", str(SCAN_BYTES)), ("16m", "16m")):
+            spark.conf.set(SCAN_OPTION, given)
+            assert Tables(spark, "/root/testdata/sf0.001").spark.conf.get(SCAN_OPTION) == expected
+    finally:
+        spark.conf.set(SCAN_OPTION, before)
