@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardlake.operators.dedupe import latest_per_key
 from wardlake.operators.joins import join_unique
 from wardlake.operators.merge import change_op, live_rows, merge_changes, merge_into
-from wardlake.operators.vectors import RANK_DIGITS, _top_of_cell, cosine_topk, left_out, unit
+from wardlake.operators.vectors import RANK_DIGITS, Asked, Held, _top_of_cell, cosine_topk, left_out, unit
 from wardlake.sources.splits import SplitTable
 from wardlake.sources.versioned import CommittedTable
 
@@ -225,3 +225,38 @@ def test_scores_of_many_queries_take_bounded_memory():
         whole = np.round(unit(vectors) @ asked[at], RANK_DIGITS)
         assert set(key[query == at]) == set(np.argsort(whole)[-3:])
     assert all(len(part) == 0 for part in _top_of_cell(asked[:0], ids, vectors, 3))
+
+
+def test_few_pairs_are_scored_in_doubles(monkeypatch):
+    """Scores that only doubles tell apart are ranked rightly, and most pairs are only multiplied as floats."""
+    r = np.random.default_rng(6)
+    base = r.normal(size=(6_000, 16))
+    vectors = np.concatenate([base, base[:50] + r.normal(size=(50, 16)) * 1e-9, np.repeat(base[:3], 40, axis=0)])
+    asked, ids = unit(base[:300]), r.permutation(len(vectors))
+    gathered = []
+    units = Held.units
+    monkeypatch.setattr(Held, "units", lambda held, at: gathered.append(len(held.ids[at])) or units(held, at))
+    query, score, key = _top_of_cell(asked, ids, vectors, 4)
+    for at in range(300):
+        whole = np.round(unit(vectors) @ asked[at], RANK_DIGITS)
+        order = np.lexsort((ids, whole))[::-1][:4]
+        assert key[query == at].tolist() == ids[order].tolist()
+        assert np.abs(score[query == at] - whole[order]).max() < 1e-11
+    assert sum(gathered) < 0.05 * len(asked) * len(vectors)
+
+
+def test_scores_below_a_limit_are_not_kept():
+    r = np.random.default_rng(8)
+    vectors, asked = r.normal(size=(500, 8)).astype(np.float32), unit(r.normal(size=(20, 8)))
+    whole = np.round(asked @ unit(vectors).T, RANK_DIGITS)
+    limits = np.sort(whole, axis=1)[:, -2]
+    met = Asked(asked, 3, limits)
+    met.meet(Held(np.arange(500), vectors), 0, 500)
+    query, score, key = met.best()
+    assert sorted(zip(query, key)) == sorted(zip(*np.nonzero(whole >= limits[:, None])))
+
+
+def test_a_row_without_an_id_can_be_found(spark):
+    corpus = spark.createDataFrame([(None, [1.0, 0.0]), (2, [0.0, 1.0])], "note_id INT, embedding ARRAY<FLOAT>")
+    one = spark.createDataFrame([(1, [0.8, 0.6])], "query_id INT, embedding ARRAY<FLOAT>")
+    assert {(r.note_id, round(r.score, 3)) for r in cosine_topk(corpus, one).collect()} == {(None, 0.8), (2, 0.6)}

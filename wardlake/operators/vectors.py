@@ -21,10 +21,17 @@ SCORE_DIGITS = 3
 CORPUS_BYTES = 128 << 20
 QUERY_BYTES = 32 << 20
 # Corpus rows and queries that a task scores at a time, which bound its score matrix.
-SLICE = 2_048
+SLICE = 1_024
 QUERIES = 512
+CELLS_PER_CORE = 2
 # Scores are ranked at this precision: equal vectors tie whatever cell they are in.
 RANK_DIGITS = 12
+# Numbers of either side that are gathered at a time to score candidates one by one; beyond one pair in so many, all pairs
+# of a slice are scored.
+GATHERED = 1 << 20
+DENSE = 16
+# Stands for no id, which is the last of equal scores.
+NO_ID = np.iinfo(np.int64).min
 
 
 def comparable(vector: str = "embedding") -> Column:
@@ -40,31 +47,100 @@ def left_out(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Equally long vectors as rows of doubles."""
+    """Equally long vectors as rows of floats or doubles, whichever they are; other numbers become doubles."""
     column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    rows = column.flatten().to_numpy(zero_copy_only=False)
+    return rows.astype(rows.dtype if rows.dtype == np.float32 else np.float64, copy=False).reshape(len(column), -1)
 
 
-def unit(rows: np.ndarray) -> np.ndarray:
-    return rows / (np.linalg.norm(rows, axis=1, keepdims=True) + NORM_OFFSET)
-
-
-def _first_k(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int):
-    """The k best candidates of every query: greatest score first, ties by greater id."""
-    order = np.lexsort((ids, score, -query))[::-1]
-    query, score, ids = query[order], score[order], ids[order]
-    starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
-    place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
-    kept = place < k
-    return query[kept], score[kept], ids[kept]
+def _divisors(rows: np.ndarray) -> np.ndarray:
+    return np.linalg.norm(rows, axis=1, keepdims=True) + NORM_OFFSET
 
 
-def _candidates(found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and queries of all scores not below the k-th of their query, ties included."""
-    if len(found) <= k:
-        return np.indices(found.shape).reshape(2, -1)
-    limit = np.partition(found, len(found) - k, axis=0)[len(found) - k]
-    return np.nonzero(found >= limit)
+def unit(rows: np.ndarray) -> np.ndarray:
+    rows = rows.astype(np.float64, copy=False)
+    return rows / _divisors(rows)
+
+
+class Held:
+    """Vectors of a corpus with their ids. Their directions are held as floats, which find the candidates; the score of a
+    candidate is then computed in doubles."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors, self._room = ids, vectors, np.empty(0, np.float32)
+        self.floats, self.divisors = np.empty(vectors.shape, np.float32), np.empty((len(vectors), 1))
+        for start in range(0, len(vectors), SLICE):
+            rows = vectors[start : start + SLICE].astype(np.float64)
+            self.divisors[start : start + SLICE] = _divisors(rows)
+            self.floats[start : start + SLICE] = rows / self.divisors[start : start + SLICE]
+
+    def room(self, queries: int, rows: int) -> np.ndarray:
+        """Space for scores, used again by the next ones."""
+        if len(self._room) < queries * rows:
+            self._room = np.empty(queries * rows, np.float32)
+        return self._room[: queries * rows].reshape(queries, rows)
+
+    def units(self, at: slice | np.ndarray) -> np.ndarray:
+        return self.vectors[at].astype(np.float64) / self.divisors[at]
+
+
+class Asked:
+    """Queries with the k best candidates that each has met so far: greatest score first, ties by greater id. Scores below
+    ``limits`` are not wanted."""
+
+    def __init__(self, units: np.ndarray, k: int, limits: np.ndarray | None = None):
+        self.units, self.floats = units, units.astype(np.float32)
+        self.score = np.full((len(units), k), -np.inf)
+        self.ids = np.full((len(units), k), NO_ID, np.int64)
+        self.limits = np.full(len(units), -np.inf) if limits is None else limits
+        # More than rounding to floats, and summing as many products of them, can move the score of two directions.
+        self.error = (units.shape[1] + 8) * 2.0**-23
+
+    def meet(self, held: Held, start: int, end: int, asked: slice | np.ndarray = slice(None)) -> None:
+        """Scores rows ``start`` to ``end`` for all queries, or for those ``asked``."""
+        k, end = self.score.shape[1], min(end, len(held.ids))
+        limit = np.maximum(self.score[asked, -1], self.limits[asked])
+        floats = self.floats[asked]
+        found = held.room(len(floats), end - start)
+        np.matmul(floats, held.floats[start:end].T, out=found)
+        bar = limit - self.error
+        if end - start > k and bar.min(initial=0) == -np.inf:
+            kth = np.partition(found, end - start - k, axis=1)[:, end - start - k]
+            bar = np.maximum(bar, kth - 2 * self.error)
+        bar = bar.astype(np.float32)
+        # Most queries have no candidate in most slices.
+        some = np.flatnonzero(found.max(axis=1, initial=-np.inf) >= bar)
+        at = np.flatnonzero(found[some] >= bar[some, None])
+        if not len(at):
+            return
+        query, row = np.divmod(at, end - start)
+        query = some[query]
+        if len(at) * DENSE > found.size:
+            exact = (self.units[asked] @ held.units(slice(start, end)).T)[query, row]
+        else:
+            units, exact, step = self.units[asked], np.empty(len(at)), max(1, GATHERED // self.units.shape[1])
+            for a in range(0, len(at), step):
+                pairs = slice(a, a + step)
+                exact[pairs] = np.einsum("ij,ij->i", units[query[pairs]], held.units(row[pairs] + start))
+        exact = np.round(exact, RANK_DIGITS)
+        kept = exact >= limit[query]
+        self._admit(np.arange(len(self.score))[asked][query[kept]], exact[kept], held.ids[start:end][row[kept]])
+
+    def _admit(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        k = self.score.shape[1]
+        touched, place = np.unique(query, return_inverse=True)
+        place = np.r_[np.repeat(np.arange(len(touched)), k), place]
+        score = np.r_[self.score[touched].ravel(), score]
+        ids = np.r_[self.ids[touched].ravel(), ids]
+        order = np.lexsort((ids, score, -place))[::-1]
+        counts = np.bincount(place, minlength=len(touched))
+        first = order[(np.cumsum(counts) - counts)[:, None] + np.arange(k)]
+        self.score[touched], self.ids[touched] = score[first], ids[first]
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, score and id of all candidates kept."""
+        query, place = np.nonzero(self.score > -np.inf)
+        return query, self.score[query, place], self.ids[query, place]
 
 
 NOTHING = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
@@ -72,15 +148,12 @@ NOTHING = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
 
 def _top_of_cell(query_units: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
     """Top-k of every query over a cell: k rows per query are kept while it is scored."""
-    blocks = range(0, len(query_units), QUERIES)
-    best = [NOTHING for _ in blocks]
+    firsts = range(0, len(query_units), QUERIES)
+    held, blocks = Held(ids, vectors), [Asked(query_units[first : first + QUERIES], k) for first in firsts]
     for start in range(0, len(ids), SLICE):
-        part, rows = ids[start : start + SLICE], unit(vectors[start : start + SLICE])
-        for block, first in enumerate(blocks):
-            found = np.round(rows @ query_units[first : first + QUERIES].T, RANK_DIGITS)
-            row, query = _candidates(found, k)
-            seen = (query + first, found[row, query], part[row])
-            best[block] = _first_k(*[np.r_[old, new] for old, new in zip(best[block], seen)], k)
+        for block in blocks:
+            block.meet(held, start, start + SLICE)
+    best = [(query + first, score, found) for first, (query, score, found) in zip(firsts, (b.best() for b in blocks))]
     return tuple(np.concatenate(own) for own in zip(*best)) if best else NOTHING
 
 
@@ -119,12 +192,17 @@ def cosine_topk(
         known = frame.filter(comparable(vector)).select(F.col(own).alias("_id"), F.col(vector).alias("_vector"))
         sides[name] = known.withColumn("_length", F.size("_vector"))
 
-    def parts(name: str, cell: int) -> DataFrame:
-        rows = F.count(F.lit(1))
-        count = F.ceil(rows * F.col("_length") * 8 / cell).cast("int").alias(f"{name}_parts")
-        return sides[name].groupBy("_length").agg(count)
+    def counts(name: str) -> DataFrame:
+        return sides[name].groupBy("_length").agg(F.count(F.lit(1)).alias(f"{name}_rows"))
+
+    def parts(name: str, cell: int) -> Column:
+        return F.ceil(F.col(f"{name}_rows") * F.col("_length") * 8 / cell)
 
-    grid = parts("corpus", corpus_bytes).join(parts("query", query_bytes), "_length")
+    # Few cells leave cores idle: queries are then cut further, into no less than what is scored at a time.
+    enough = F.ceil(CELLS_PER_CORE * corpus.sparkSession.sparkContext.defaultParallelism / F.col("corpus_parts"))
+    grid = counts("corpus").join(counts("query"), "_length").withColumn("corpus_parts", parts("corpus", corpus_bytes).cast("int"))
+    some = F.greatest(parts("query", query_bytes), F.least(F.ceil(F.col("query_rows") / QUERIES), enough))
+    grid = grid.select("_length", "corpus_parts", some.cast("int").alias("query_parts"))
 
     def spread(name: str, other: str) -> DataFrame:
         own = F.pmod(F.xxhash64("_id"), F.col(f"{name}_parts")).cast("int").alias(f"{name}_part")
@@ -135,11 +213,12 @@ def cosine_topk(
     def answer(corpus_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         if not corpus_rows.num_rows or not query_rows.num_rows:
             return schema.empty_table()
-        ids = corpus_rows.column("_id").to_numpy()
+        ids = corpus_rows.column("_id").cast(pa.int64()).fill_null(NO_ID).to_numpy()
         vectors = _matrix(corpus_rows.column("_vector"))
         query, score, found = _top_of_cell(unit(_matrix(query_rows.column("_vector"))), ids, vectors, k)
         named = query_rows.column("_id").combine_chunks().take(pa.array(query, pa.int64()))
-        columns = [named.cast(schema.field(0).type), pa.array(found, schema.field(1).type), pa.array(score, pa.float64())]
+        keys = pa.array(found, mask=found == NO_ID).cast(schema.field(1).type)
+        columns = [named.cast(schema.field(0).type), keys, pa.array(score, pa.float64())]
         return pa.Table.from_arrays(columns, schema=schema)
 
     cell = ["_length", "corpus_part", "query_part"]
