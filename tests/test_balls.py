@@ -91,3 +91,19 @@ def test_queries_of_a_part_are_bounded_by_rows(spark):
     parts = [r[0] for r in rows.select(balls._query_parts("n", 32 << 20)).collect()]
     # Narrow queries: 16 MB in all, but each may go to all cells.
     assert parts == [-(-1_000_000 // balls.QUERY_ROWS), 1, 1]
+
+
+def test_a_query_goes_to_a_region_once(spark, tmp_path):
+    """Vectors without structure: nearly all cells are visited, in as many rows as there are regions."""
+    r = np.random.default_rng(11)
+    corpus = spark.createDataFrame([(n, v, "") for n, v in enumerate(r.normal(size=(900, 12)).tolist())], CORPUS)
+    asked = corpus.where("note_id % 9 = 0").select(F.col("note_id").cast("string").alias("query_id"), "embedding")
+    index = BallIndex(spark, str(tmp_path / "index"))
+    index.build(corpus)
+    part_bytes = 900 * 12 * 8 // 4
+    found = index.search(asked, str(tmp_path / "asked"), part_bytes=part_bytes)
+    assert collected(found.hits) == collected(cosine_topk(corpus, asked))
+    regions = index._regions(part_bytes).select("region").distinct().count()
+    moved = spark.read.parquet(str(tmp_path / "asked" / "rest")).count()
+    assert found.visits.count() > 10 * 100 and 4 <= regions <= 5 and moved <= regions * 100
+    assert found.visits.groupBy("query_id", "length", "cell").count().where("count > 1").count() == 0
